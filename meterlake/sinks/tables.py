@@ -26,17 +26,18 @@ def balanced_by_day(df: DataFrame) -> DataFrame:
     return clustered.sortWithinPartitions(*PARTITION_KEYS, "meter_id", "timestamp")
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "partitions") -> None:
+def write_partitioned(df: DataFrame, path: str, mode: str = "partitions", balance: bool = True) -> None:
     """Snappy Parquet under year=/month=/day=.
 
     ``partitions`` replaces only the days in ``df``, so a rerun of the same days
-    changes nothing. ``rebuild`` clears the target first.
+    changes nothing. ``rebuild`` clears the target first. ``balance`` off saves
+    the shuffle for rows that are clustered by day already.
     """
-    dynamic = {"partitions": "dynamic", "rebuild": "static"}[mode]
+    overwrite = {"partitions": "dynamic", "rebuild": "static"}[mode]
     (
-        balanced_by_day(df)
+        (balanced_by_day(df) if balance else df)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", dynamic)
+        .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .partitionBy(*PARTITION_KEYS)
         .parquet(path)

@@ -75,3 +75,18 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_text(raw: DataFrame) -> DataFrame:
     """Every cell as text, the way a CSV export carries it."""
     return raw.select(*(F.col(name).cast("string").alias(name) for name in raw.columns))
+
+
+def faulty_text(raw: DataFrame) -> DataFrame:
+    """Text cells of which some do not parse, beside the ones that are missing."""
+    i = F.col("event_id")
+    text = raw.withColumns({name: F.col(name).cast("string") for name in RAW_COLUMNS})
+    faults = {
+        "timestamp": (i % 509 == 11, F.lit("garbage")),
+        "voltage": (i % 61 == 7, F.lit("abc")),
+        "battery_pct": (i % 67 == 3, F.concat("battery_pct", F.lit(".7"))),
+        "comm_issue": (i % 71 == 5, F.lit("maybe")),
+    }
+    return text.withColumns(
+        {name: F.when(where, bad).otherwise(F.col(name)) for name, (where, bad) in faults.items()}
+    )
