@@ -17,8 +17,10 @@ def main(argv=None) -> None:
     parser.add_argument("--rebuild", action="store_true", help="replace the whole table")
     parser.add_argument("--extracts", help="folder for the materialised views")
     parser.add_argument("--lag-mode", choices=("elapsed", "boundary"), default="elapsed")
-    args = parser.parse_args(argv)
-    load(build_session(), **vars(args)).show(truncate=False)
+    parser.add_argument("--input-bytes", type=int, help="size of the delivery, to size splits and shuffles")
+    args = vars(parser.parse_args(argv))
+    spark = build_session(input_bytes=args.pop("input_bytes"))
+    load(spark, **args).show(truncate=False)
 
 
 if __name__ == "__main__":

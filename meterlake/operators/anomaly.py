@@ -64,6 +64,8 @@ def rolling_outliers(
         "meter_id", "timestamp", F.col(measure).alias("value"), F.date_trunc(chunk, "timestamp").alias("_chunk")
     )
     readings = readings.withColumn("_micros", micros(F.col("value")))
+    # Both passes read this projection, so Spark shuffles it once and reuses the exchange.
+    readings = readings.withColumn("_square", _square(F.col("_micros")))
 
     def preceding(ordered) -> dict[str, Column]:
         frame = ordered.rowsBetween(-window, -1)
@@ -71,7 +73,7 @@ def rolling_outliers(
             "_rows": F.count("*").over(frame),
             "_n": F.count("_micros").over(frame),
             "_total": F.sum("_micros").over(frame),
-            "_squares": F.sum(_square(F.col("_micros"))).over(frame),
+            "_squares": F.sum("_square").over(frame),
         }
 
     within = Window.partitionBy("meter_id", "_chunk")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -211,11 +213,8 @@ def range_violations(df: DataFrame, ranges: Mapping[str, tuple[float, float]] |
             for name, broken in outside.items()
         )
     )
-    any_broken = F.lit(False)
-    for broken in outside.values():
-        any_broken = any_broken | F.coalesce(broken, F.lit(False))
     return (
-        df.filter(any_broken)
+        df.filter(reduce(or_, outside.values()))
         .select(*IDENTITY, F.explode(F.array_compact(found)).alias("finding"))
         .select(*IDENTITY, "finding.*")
     )

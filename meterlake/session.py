@@ -19,11 +19,34 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "meterlake", master: str | None = None, **settings) -> SparkSession:
+MIB = 1 << 20
+
+
+def size_settings(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for an input of this many bytes.
+
+    A shuffle of M map and R reduce tasks has M x R blocks, so at 100 TB neither
+    may grow with the data alone: splits go up to 1 GiB and the initial number
+    of shuffle partitions stops at 40,000. Adaptive execution merges partitions
+    that turn out small and splits skewed ones.
+    """
+    split = min(max(input_bytes // 100_000, 128 * MIB), 1024 * MIB)
+    partitions = min(max(input_bytes // (256 * MIB), 200), 40_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB if partitions > 200 else 64 * MIB),
+    }
+
+
+def build_session(
+    app: str = "meterlake", master: str | None = None, input_bytes: int | None = None, **settings
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+    sized = size_settings(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
