@@ -13,11 +13,14 @@ from meterlake.schema import CRITICAL, FLAGS, HEALTHY, OFFLINE_MINUTES, WARNING
 MICRO = 1_000_000
 
 
-def parse(source: Column, dtype: str) -> Column:
-    """The cell as ``dtype``, or null if it does not parse."""
-    if dtype == "int":
-        return source.try_cast("double").try_cast("int")
-    return source.try_cast(dtype)
+def parse_sql(column: str, dtype: str) -> str:
+    """The cell as ``dtype``, or null if it does not parse. ``5.7`` as an int is 5."""
+    source = f"try_cast(`{column}` AS double)" if dtype == "int" else f"`{column}`"
+    return f"try_cast({source} AS {dtype})"
+
+
+def parse(column: str, dtype: str) -> Column:
+    return F.expr(parse_sql(column, dtype))
 
 
 def lag_minutes(at="timestamp", last="last_communication_time", mode: str = "elapsed") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars
@@ -13,6 +13,7 @@ from meterlake.schema import (
     DOUBLES,
     IDENTITY,
     PROCESSED_COLUMNS,
+    RAW_COLUMNS,
     RAW_FIELDS,
     RAW_TYPES,
     UNDEFAULTED,
@@ -38,11 +39,15 @@ def add_missing(raw: DataFrame) -> DataFrame:
     )
 
 
-def _cell(name: str, dtype: str, default, fill: bool) -> Column:
-    value = scalars.parse(F.col(name), dtype)
+def _literal(value) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value).lower()
+
+
+def _cell(name: str, dtype: str, default, fill: bool) -> str:
+    value = scalars.parse_sql(name, dtype)
     if fill and default is not None:
-        value = F.when(F.col(name).isNull(), F.lit(default).cast(dtype)).otherwise(value)
-    return value.alias(name)
+        value = f"CASE WHEN `{name}` IS NULL THEN CAST({_literal(default)} AS {dtype}) ELSE {value} END"
+    return f"{value} AS `{name}`"
 
 
 def conform(raw: DataFrame, fill_numeric: bool = True, keep: Sequence[str] = ()) -> DataFrame:
@@ -51,14 +56,21 @@ def conform(raw: DataFrame, fill_numeric: bool = True, keep: Sequence[str] = ())
     Only a missing cell takes the default. A cell that is there but does not
     parse, or is no finite number, becomes null and stays null. ``fill_numeric``
     off leaves missing numbers null too, so they do not pull averages to zero.
+    The cells are SQL text, which builds in one call whatever their number.
     """
-    filled = [
-        _cell(name, dtype, default, fill_numeric or dtype not in ("double", "int"))
-        for name, dtype, default in RAW_FIELDS
-    ]
-    typed = raw.select(*filled, *(F.col(name) for name in keep))
-    limit = F.lit(float("inf"))
-    return typed.withColumns({name: F.when(F.abs(name) < limit, F.col(name)) for name in DOUBLES})
+    kept = [f"`{name}`" for name in keep]
+    typed = raw.selectExpr(
+        *(
+            _cell(name, dtype, default, fill_numeric or dtype not in ("double", "int"))
+            for name, dtype, default in RAW_FIELDS
+        ),
+        *kept,
+    )
+    finite = (
+        f"CASE WHEN abs(`{name}`) < double('Infinity') THEN `{name}` END AS `{name}`" if name in DOUBLES else f"`{name}`"
+        for name in RAW_COLUMNS
+    )
+    return typed.selectExpr(*finite, *kept)
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

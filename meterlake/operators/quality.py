@@ -262,7 +262,7 @@ def unparseable_counts(raw: DataFrame) -> DataFrame:
     present = [name for name in RAW_COLUMNS if name in raw.columns]
 
     def bad(name: str) -> Column:
-        value = parse(F.col(name), RAW_TYPES[name])
+        value = parse(name, RAW_TYPES[name])
         lost = value.isNull()
         if RAW_TYPES[name] == "double":
             lost = lost | ~(F.abs(value) < float("inf"))

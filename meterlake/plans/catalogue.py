@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 _WRITTEN: dict[tuple, str] = {}
+_OPENED: dict[str, DataFrame] = {}
 _SOURCES = ("events", "customer", "nation", "region")
 
 
@@ -29,8 +30,8 @@ def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
     stamps = []
     for name in _SOURCES:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        stamps.append((fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        stamps.append((status.getLen(), status.getModificationTime()))
     return tuple(stamps)
 
 
@@ -54,8 +55,14 @@ def _load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed table of ``sf_dir``: loaded once, then read by every query."""
-    path = _once(spark, sf_dir, "readings", lambda p: tables.write_partitioned(_load(spark, sf_dir), p))
-    return files.read_processed(spark, path)
+    path = _readings_path(spark, sf_dir)
+    if path not in _OPENED:
+        _OPENED[path] = files.read_processed(spark, path)
+    return _OPENED[path]
+
+
+def _readings_path(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "readings", lambda p: tables.write_partitioned(_load(spark, sf_dir), p))
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -121,9 +128,7 @@ def _(spark, sf_dir):
 
 
 def _registered(spark: SparkSession, sf_dir: str, name: str) -> str:
-    readings(spark, sf_dir)
-    path = _once(spark, sf_dir, "readings", lambda p: None)
-    tables.register_table(spark, name, path)
+    tables.register_table(spark, name, _readings_path(spark, sf_dir))
     return name
 
 
@@ -256,8 +261,8 @@ def _(spark, sf_dir):
     text = demo.faulty_text(raw(spark, sf_dir))
     return text.select(
         *demo.SOURCE_ORDER,
-        scalars.parse(F.col("timestamp"), "timestamp").alias("timestamp"),
-        scalars.parse(F.col("last_communication_time"), "timestamp").alias("last_communication_time"),
+        scalars.parse("timestamp", "timestamp").alias("timestamp"),
+        scalars.parse("last_communication_time", "timestamp").alias("last_communication_time"),
     )
 
 

@@ -9,6 +9,7 @@ count columns beside them (``readings``, ``devices``) suggest; ``meters`` and
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -248,17 +249,24 @@ def register_views(df: DataFrame, prefix: str = "vw_") -> list[str]:
     return names
 
 
-def materialise_views(df: DataFrame, base: str, names=tuple(VIEWS)) -> dict[str, str]:
+def materialise_views(
+    df: DataFrame, base: str, names=tuple(VIEWS), at_once: int = 4
+) -> dict[str, str]:
     """Refresh the views as Parquet extracts, reading the table once.
 
     The rollup is written first and all views read it, so N views cost one scan
-    of the readings rather than N.
+    of the readings rather than N. The views are small jobs; a few run at once,
+    so that one's last tasks do not leave the cluster idle.
     """
     spark = df.sparkSession
     base = base.rstrip("/")
     meter_day_rollup(df).write.mode("overwrite").parquet(f"{base}/meter_day_rollup")
     rollup = spark.read.parquet(f"{base}/meter_day_rollup")
     paths = {name: f"{base}/{name}" for name in names}
-    for name, path in paths.items():
-        VIEWS[name](rollup).write.mode("overwrite").parquet(path)
+
+    def refresh(name: str) -> None:
+        VIEWS[name](rollup).write.mode("overwrite").parquet(paths[name])
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(refresh, paths))
     return paths

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites in error messages cost several round trips per column object.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

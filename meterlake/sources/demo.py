@@ -7,20 +7,39 @@ engine derives the same rows, including missing cells and duplicate copies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.schema import RAW_COLUMNS
 
 SOURCE_ORDER = ("event_id", "dup")
 
-
-def _null_where(missing: Column, value: Column) -> Column:
-    return F.when(~missing, value)
-
-
-def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+# Rules over event_id, user_id, ts, value, dup and the names of the place.
+CELLS = {
+    "meter_id": "CASE WHEN event_id % 401 <> 400 THEN concat('MTR-', lpad(user_id, 6, '0')) END",
+    "timestamp": "CASE WHEN event_id % 503 <> 502 THEN ts END",
+    "voltage": "CASE WHEN event_id % 97 <> 96 THEN (1980 + (event_id * 37) % 560) / 10 END",
+    "current": "((event_id * 53) % 1435) / 100",
+    "power_factor": "(85 + (event_id * 7) % 11) / 100",
+    "last_communication_time": "CASE WHEN event_id % 89 <> 88 THEN "
+    "timestampadd(SECOND, -int((event_id * 7919) % 11400), ts) END",
+    "battery_status": "CASE WHEN 5 + (event_id * 13) % 96 >= 50 THEN 'Good' "
+    "WHEN 5 + (event_id * 13) % 96 >= 20 THEN 'Medium' ELSE 'Low' END",
+    "battery_pct": "int(5 + (event_id * 13) % 96)",
+    "rssi": "double(-115 + (event_id * 17) % 71)",
+    "firmware_version": "CASE WHEN user_id % 11 <> 10 THEN concat('FW-2.', user_id % 5, '.0') END",
+    "state": "r_name",
+    "district": "n_name",
+    "discom": "concat('DISCOM-', c_nationkey % 10)",
+    "feeder_id": "concat('FDR-', lpad(user_id % 40, 3, '0'))",
+    "consumption_kwh": "value + dup",
+    "voltage_issue": "(event_id * 37) % 560 >= 530",
+    "power_factor_issue": "(event_id * 7) % 11 = 0",
+    "comm_issue": "(event_id * 7919) % 11400 > 10800",
+    "signal_issue": "CASE WHEN event_id % 79 <> 78 THEN (event_id * 17) % 71 < 25 END",
+    "battery_issue": "(event_id * 13) % 96 < 15",
+    "health_status": "CAST(NULL AS string)",
+}
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,64 +48,37 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    i, u = F.col("event_id"), F.col("user_id")
-    copies = F.when(i % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     # No broadcast hint: customer grows with the data, so its measured size decides.
     placed = (
         table("events")
-        .select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
-        .join(table("customer").select("c_custkey", "c_nationkey"), u == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .withColumn("dup", F.explode(copies))
+        .selectExpr("event_id", "CAST(ts AS timestamp) AS ts", "user_id", "value")
+        .join(table("customer"), F.expr("user_id = c_custkey"))
+        .join(table("nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table("region"), F.expr("n_regionkey = r_regionkey"))
     )
-    battery = 5 + (i * 13) % 96
-    silence = (i * 7919) % 11400
-    cells = {
-        "meter_id": _null_where(i % 401 == 400, _padded("MTR-", u, 6)),
-        "timestamp": _null_where(i % 503 == 502, F.col("ts")),
-        "voltage": _null_where(i % 97 == 96, (1980 + (i * 37) % 560) / 10),
-        "current": ((i * 53) % 1435) / 100,
-        "power_factor": (85 + (i * 7) % 11) / 100,
-        "last_communication_time": _null_where(
-            i % 89 == 88, F.timestamp_add("SECOND", (-silence).cast("int"), F.col("ts"))
-        ),
-        "battery_status": F.when(battery >= 50, "Good").when(battery >= 20, "Medium").otherwise("Low"),
-        "battery_pct": battery.cast("int"),
-        "rssi": (-115 + (i * 17) % 71).cast("double"),
-        "firmware_version": _null_where(
-            u % 11 == 10, F.concat(F.lit("FW-2."), (u % 5).cast("string"), F.lit(".0"))
-        ),
-        "state": F.col("r_name"),
-        "district": F.col("n_name"),
-        "discom": F.concat(F.lit("DISCOM-"), (F.col("c_nationkey") % 10).cast("string")),
-        "feeder_id": _padded("FDR-", u % 40, 3),
-        "consumption_kwh": F.col("value") + F.col("dup"),
-        "voltage_issue": (i * 37) % 560 >= 530,
-        "power_factor_issue": (i * 7) % 11 == 0,
-        "comm_issue": silence > 10800,
-        "signal_issue": _null_where(i % 79 == 78, (i * 17) % 71 < 25),
-        "battery_issue": (i * 13) % 96 < 15,
-        "health_status": F.lit(None).cast("string"),
-    }
-    return placed.select(*(cells[name].alias(name) for name in RAW_COLUMNS), *SOURCE_ORDER)
+    copied = placed.selectExpr("*", "explode(if(event_id % 50 = 0, array(0, 1), array(0))) AS dup")
+    return copied.selectExpr(*(f"{CELLS[name]} AS {name}" for name in RAW_COLUMNS), *SOURCE_ORDER)
 
 
 def as_text(raw: DataFrame) -> DataFrame:
     """Every cell as text, the way a CSV export carries it."""
-    return raw.select(*(F.col(name).cast("string").alias(name) for name in raw.columns))
+    return raw.selectExpr(*(f"CAST(`{name}` AS string) AS `{name}`" for name in raw.columns))
 
 
 def faulty_text(raw: DataFrame) -> DataFrame:
     """Text cells of which some do not parse, beside the ones that are missing."""
-    i = F.col("event_id")
-    text = raw.withColumns({name: F.col(name).cast("string") for name in RAW_COLUMNS})
     faults = {
-        "timestamp": (i % 509 == 11, F.lit("garbage")),
-        "voltage": (i % 61 == 7, F.lit("abc")),
-        "battery_pct": (i % 67 == 3, F.concat("battery_pct", F.lit(".7"))),
-        "comm_issue": (i % 71 == 5, F.lit("maybe")),
+        "timestamp": ("event_id % 509 = 11", "'garbage'"),
+        "voltage": ("event_id % 61 = 7", "'abc'"),
+        "battery_pct": ("event_id % 67 = 3", "concat(battery_pct, '.7')"),
+        "comm_issue": ("event_id % 71 = 5", "'maybe'"),
     }
-    return text.withColumns(
-        {name: F.when(where, bad).otherwise(F.col(name)) for name, (where, bad) in faults.items()}
-    )
+
+    def cell(name: str) -> str:
+        text = f"CAST({name} AS string)"
+        if name in faults:
+            where, bad = faults[name]
+            text = f"if({where}, {bad}, {text})"
+        return f"{text} AS {name}"
+
+    return raw.selectExpr(*(cell(name) for name in RAW_COLUMNS), *SOURCE_ORDER)
