@@ -52,7 +52,8 @@ def rolling_outliers(
     """Each reading against the ``window`` readings of its meter before it.
 
     A reading with fewer predecessors, or with no spread among them, has no
-    score and is not flagged. Unnamed meters share one label and are left out.
+    score and is not flagged. Nor has a reading without a meter name, since the
+    readings under that label come from different meters.
 
     A meter's history is cut into time chunks, so no task holds all of it. In a
     chunk, all but the first ``window`` rows see their whole frame. The others
@@ -60,10 +61,10 @@ def rolling_outliers(
     each can matter. So the second pass, per meter, handles at most
     ``2 * window`` rows per chunk, whatever the number of readings.
     """
-    readings = df.filter(F.col("meter_id") != UNKNOWN_METER).select(
-        "meter_id", "timestamp", F.col(measure).alias("value"), F.date_trunc(chunk, "timestamp").alias("_chunk")
+    everything = df.select("meter_id", "timestamp", F.col(measure).alias("value"))
+    readings = everything.filter(F.col("meter_id") != UNKNOWN_METER).withColumns(
+        {"_chunk": F.date_trunc(chunk, "timestamp"), "_micros": micros(F.col("value"))}
     )
-    readings = readings.withColumn("_micros", micros(F.col("value")))
     # Both passes read this projection, so Spark shuffles it once and reuses the exchange.
     readings = readings.withColumn("_square", _square(F.col("_micros")))
 
@@ -93,9 +94,11 @@ def rolling_outliers(
     enough = framed.withColumn("_n", F.when(F.col("_rows") == window, F.col("_n")))
     scored = _scored(enough, "value", "_n", "_total", "_squares", threshold)
     mean = F.when(F.col("_n").isNotNull(), F.col("mean_value"))
-    return scored.select(
+    named = scored.select(
         "meter_id", "timestamp", "value", mean.alias("mean_value"), "deviation", "z_score", "is_outlier"
     )
+    unnamed = everything.filter(F.col("meter_id") == UNKNOWN_METER).withColumn("is_outlier", F.lit(False))
+    return named.unionByName(unnamed, allowMissingColumns=True)
 
 
 def group_outliers(

@@ -13,9 +13,13 @@ def read_csv(spark: SparkSession, path, sniff: bool = False, sampling_ratio: flo
 
     Every column is text by default, so that cleaning can tell a missing cell
     from one that does not parse, and no extra pass is spent on inference.
-    ``sniff`` infers types instead, from a sample of rows if asked.
+    ``sniff`` infers types instead, from a sample of rows if asked. Files whose
+    header differs from the first one's are an error: Spark would otherwise
+    take their cells by position.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = (
+        spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    )
     if sniff:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(path)

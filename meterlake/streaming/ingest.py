@@ -24,7 +24,8 @@ MAX_LISTED_DAYS = 1000
 
 
 def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Text cells of arriving CSV files, columns matched by the files' header."""
+    """Text cells of arriving CSV files. A file with another header stops the stream, rather than
+    have its cells taken by position."""
     reader = spark.readStream.schema(RAW_STRINGS).option("header", True).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

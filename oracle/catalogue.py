@@ -594,7 +594,8 @@ def scored(source: str, value: str, keep: str, threshold: float) -> str:
 
 add(
     "x01_rolling_outliers",
-    scored("framed", "value", "meter_id, timestamp, value", 2.5),
+    scored("framed", "value", "meter_id, timestamp, value", 2.5)
+    + """ UNION ALL SELECT meter_id, timestamp, consumption_kwh, NULL, NULL, NULL, false FROM readings WHERE meter_id = 'UNKNOWN'""",
     """micro AS (
          SELECT meter_id, timestamp, consumption_kwh AS value, CAST(round(consumption_kwh * 1000000) AS HUGEINT) AS m
          FROM readings WHERE meter_id <> 'UNKNOWN')""",

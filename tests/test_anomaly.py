@@ -54,9 +54,11 @@ def test_flat_history_has_no_score(spark):
     assert (last.mean_value, last.deviation, last.z_score, last.is_outlier) == (5.0, 0.0, None, False)
 
 
-def test_unnamed_meters_are_left_out(spark):
-    df = spark.createDataFrame([("UNKNOWN", START, 1.0)], "meter_id string, timestamp timestamp, consumption_kwh double")
-    assert rolling_outliers(df).count() == 0
+def test_unnamed_meters_are_kept_without_a_score(spark):
+    rows = [("UNKNOWN", START + dt.timedelta(minutes=n), float(n)) for n in range(9)]
+    df = spark.createDataFrame(rows, "meter_id string, timestamp timestamp, consumption_kwh double")
+    found = rolling_outliers(df, window=3).collect()
+    assert len(found) == 9 and {(r.mean_value, r.z_score, r.is_outlier) for r in found} == {(None, None, False)}
 
 
 def test_group_outliers(spark):

@@ -103,6 +103,15 @@ def test_csv_columns_go_by_name(spark, tmp_path):
     assert records(clean(files.read_csv(spark, csv))) == records(clean(raw(spark, day(1))))
 
 
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    csv = str(tmp_path / "csv")
+    source = raw(spark, day(1))
+    source.coalesce(1).write.option("header", True).csv(csv)
+    source.select(*reversed(source.columns)).coalesce(1).write.mode("append").option("header", True).csv(csv)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, csv).collect()
+
+
 def test_load_preview_and_checks(spark, tmp_path):
     csv = str(tmp_path / "csv")
     raw(spark, day(1), day(1), day(2, timestamp=None)).write.option("header", True).csv(csv)
