@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions import scalars
+from meterlake.functions import measures, scalars
 from meterlake.operators import anomaly, clean, filters, quality
 from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
@@ -375,14 +375,14 @@ over_readings(
 )
 over_readings(
     "a05_sum",
-    lambda df: views.components(df).groupBy("district").agg(
-        views.total("consumption_kwh").alias("consumption_kwh"), views.total("issue_count").alias("issues")
+    lambda df: measures.components(df).groupBy("district").agg(
+        measures.total("consumption_kwh").alias("consumption_kwh"), measures.total("issue_count").alias("issues")
     ),
 )
 over_readings(
     "a06_avg",
-    lambda df: views.components(df).groupBy("district").agg(
-        *(views.mean(name).alias(f"average_{name}") for name in ("voltage", "current", "power_factor", "rssi", "battery_pct"))
+    lambda df: measures.components(df).groupBy("district").agg(
+        *(measures.mean(name).alias(f"average_{name}") for name in ("voltage", "current", "power_factor", "rssi", "battery_pct"))
     ),
 )
 over_readings("a07_min", lambda df: df.groupBy("district").agg(F.min("rssi").alias("worst_rssi"), F.min("voltage").alias("lowest_voltage")))
@@ -396,20 +396,20 @@ over_readings(
 )
 over_readings(
     "a09_rounding",
-    lambda df: views.components(df).groupBy("meter_id").agg(
-        views.rounded_mean("voltage", 2).alias("voltage_2"), views.rounded_mean("power_factor", 3).alias("power_factor_3")
+    lambda df: measures.components(df).groupBy("meter_id").agg(
+        measures.rounded_mean("voltage", 2).alias("voltage_2"), measures.rounded_mean("power_factor", 3).alias("power_factor_3")
     ),
 )
 over_readings(
     "a10_row_percentage",
-    lambda df: views.components(df).groupBy("feeder_id").agg(
-        views.pct_of_rows(F.col("health_status") == CRITICAL).alias("critical_pct")
+    lambda df: measures.components(df).groupBy("feeder_id").agg(
+        measures.pct_of_rows(F.col("health_status") == CRITICAL).alias("critical_pct")
     ),
 )
 over_readings(
     "a11_global",
-    lambda df: views.components(df).agg(
-        views.row_count().alias("readings"), views.meters().alias("meters"), views.total("consumption_kwh").alias("consumption_kwh")
+    lambda df: measures.components(df).agg(
+        measures.row_count().alias("readings"), measures.meters().alias("meters"), measures.total("consumption_kwh").alias("consumption_kwh")
     ),
 )
 over_readings(

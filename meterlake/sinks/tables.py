@@ -51,25 +51,42 @@ def _columns_ddl(schema: T.StructType) -> str:
 def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType = PROCESSED
 ) -> DataFrame:
-    """(Re)create the external table over ``path`` and load its partitions. Files are not touched."""
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    """(Re)create the external table over ``path`` with its partitions. Files are not touched.
+
+    The new entry is complete, partitions listed, before it takes the name, so
+    readers wait for two catalog calls rather than for the listing.
+    """
+    following = f"{name}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(following)}")
     spark.sql(
-        f"CREATE TABLE {_quoted(name)} ({_columns_ddl(schema)}) USING parquet "
+        f"CREATE TABLE {_quoted(following)} ({_columns_ddl(schema)}) USING parquet "
         f"PARTITIONED BY ({', '.join(PARTITION_KEYS)}) LOCATION '{path}'"
     )
-    spark.catalog.recoverPartitions(name)
+    spark.catalog.recoverPartitions(following)
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(following)} RENAME TO {_quoted(name)}")
     return spark.table(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
 def load_table(df: DataFrame, name: str, path: str, mode: str = "partitions") -> DataFrame:
-    """Write and keep the catalog entry in step."""
+    """Write and keep the catalog entry in step.
+
+    A table that is there already is written where it lives, which after a
+    rebuild is not ``path``.
+    """
     spark = df.sparkSession
-    write_partitioned(df, path, mode)
-    if spark.catalog.tableExists(name):
-        spark.catalog.recoverPartitions(name)
-        spark.catalog.refreshTable(name)
-        return spark.table(name)
-    return register_table(spark, name, path)
+    if not spark.catalog.tableExists(name):
+        write_partitioned(df, path, mode)
+        return register_table(spark, name, path)
+    write_partitioned(df, table_location(spark, name), mode)
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def rebuild_table(df: DataFrame, name: str, base: str) -> DataFrame:
@@ -77,6 +94,8 @@ def rebuild_table(df: DataFrame, name: str, base: str) -> DataFrame:
 
     The rows go to a fresh folder under ``base``; only when they are complete
     does the name move there. A failed write leaves the old table as it was.
+    The old folder stays for readers that still use it; removing it is up to
+    the caller.
     """
     spark = df.sparkSession
     path = f"{base.rstrip('/')}/build-{uuid.uuid4().hex}"

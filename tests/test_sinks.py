@@ -59,6 +59,19 @@ def test_catalog_load_and_rebuild(spark, cleaned, tmp_path):
     rebuilt = tables.rebuild_table(clean(raw(spark, day(1))), "t_load", str(tmp_path / "b"))
     assert rebuilt.count() == 1
     assert files.read_processed(spark, str(tmp_path / "a")).count() == 6
+    # A later load goes where the rebuilt table lives now.
+    tables.load_table(clean(raw(spark, day(2))), "t_load", str(tmp_path / "a"))
+    assert spark.table("t_load").count() == 2
+    assert files.read_processed(spark, tables.table_location(spark, "t_load")).count() == 2
+    assert not spark.catalog.tableExists("t_load__next")
+
+
+def test_qualified_table_name(spark, cleaned, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_db LOCATION '%s'" % (tmp_path / "db"))
+    tables.load_table(cleaned, "t_db.readings", str(tmp_path / "a"))
+    assert files.read_table(spark, "t_db.readings").count() == 5
+    tables.rebuild_table(cleaned.limit(3), "t_db.readings", str(tmp_path / "b"))
+    assert spark.table("t_db.readings").count() == 3
 
 
 def test_failed_rebuild_keeps_the_old_table(spark, cleaned, tmp_path):
