@@ -20,6 +20,7 @@ from meterlake.schema import (
     REQUIRED_FIELDS,
     UNKNOWN_METER,
 )
+from meterlake.session import fresh_path
 
 # Columns the published profile describes.
 PROFILED_NUMBERS = ("voltage", "current", "power_factor", "rssi", "battery_pct")
@@ -34,77 +35,158 @@ def _rows(pairs: Iterable[Mapping[str, Column]]) -> Column:
     return F.inline(F.array(*(F.struct(*(c.alias(n) for n, c in row.items())) for row in pairs)))
 
 
-def shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("row_count")).select(
-        "row_count",
-        F.lit(len(df.columns)).alias("column_count"),
-        F.lit(",".join(df.columns)).alias("column_names"),
+def _row_fact() -> Column:
+    return F.count("*").alias("_rows")
+
+
+def _shape_report(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return facts.select(
+        F.col("_rows").alias("row_count"),
+        F.lit(len(columns)).alias("column_count"),
+        F.lit(",".join(columns)).alias("column_names"),
     )
 
 
+def shape(df: DataFrame) -> DataFrame:
+    return _shape_report(df.agg(_row_fact()), df.columns)
+
+
 def missing_required(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> list[str]:
     return [name for name in required if name not in df.columns]
 
 
+def _present(df: DataFrame, required: Sequence[str]) -> list[str]:
+    return [name for name in required if name in df.columns]
+
+
+def _null_facts(present: Sequence[str]) -> list[Column]:
+    return [F.count(name).alias(f"{name}__filled") for name in present]
+
+
+def _null_report(facts: DataFrame, present: Sequence[str], required: Sequence[str]) -> DataFrame:
+    def nulls(name: str) -> Column:
+        if name not in present:
+            return F.lit(None).cast("bigint")
+        return F.col("_rows") - F.col(f"{name}__filled")
+
+    return facts.select(
+        _rows(
+            {"field": F.lit(name), "present": F.lit(name in present), "null_count": nulls(name)}
+            for name in required
+        )
+    )
+
+
 def null_counts(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
     """Presence and null count per required field; an absent field has no count."""
-    present = [name for name in required if name in df.columns]
-    counted = df.agg(F.count("*").alias("_rows"), *(F.count(name).alias(name) for name in present))
-    return counted.select(
+    present = _present(df, required)
+    return _null_report(df.agg(_row_fact(), *_null_facts(present)), present, required)
+
+
+def _range_facts(columns: Sequence[str]) -> list[Column]:
+    facts = []
+    for name in columns:
+        facts += [
+            F.min(name).cast("double").alias(f"{name}__min"),
+            F.max(name).cast("double").alias(f"{name}__max"),
+            F.round(exact_avg(name), 3).alias(f"{name}__mean"),
+        ]
+    return facts
+
+
+def _range_report(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return facts.select(
         _rows(
             {
-                "field": F.lit(name),
-                "present": F.lit(name in present),
-                "null_count": F.col("_rows") - F.col(name) if name in present else F.lit(None).cast("bigint"),
+                "column_name": F.lit(name),
+                "min_value": F.col(f"{name}__min"),
+                "max_value": F.col(f"{name}__max"),
+                "mean_value": F.col(f"{name}__mean"),
             }
-            for name in required
+            for name in columns
         )
     )
 
 
-def identity_profile(df: DataFrame) -> DataFrame:
-    """Rows, distinct meters, surplus copies and time range.
+def numeric_ranges(df: DataFrame, columns: Sequence[str] = PROFILED_NUMBERS) -> DataFrame:
+    return _range_report(df.agg(*_range_facts(columns)), columns)
+
+
+def _rate_facts(flags: Sequence[str]) -> list[Column]:
+    facts = []
+    for flag in flags:
+        facts += [F.count_if(flag).alias(f"{flag}__set"), F.count(flag).alias(f"{flag}__known")]
+    return facts
+
+
+def _rate_report(facts: DataFrame, flags: Sequence[str]) -> DataFrame:
+    def rate(flag: str) -> Column:
+        return F.round(F.try_divide(100.0 * F.col(f"{flag}__set"), F.col(f"{flag}__known")), 2)
+
+    return facts.select(_rows({"flag": F.lit(flag), "issue_rate_pct": rate(flag)} for flag in flags))
+
+
+def issue_rates(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
+    """Share of set flags among known ones, in percent."""
+    return _rate_report(df.agg(*_rate_facts(flags)), flags)
+
+
+def _key_facts(df: DataFrame, present: Sequence[str] = ()) -> DataFrame:
+    """Row, meter, copy and null counts and the time range, in one pass.
 
     Two distinct counts in one aggregate would copy every row. Folding by
     (meter, time), then by meter, needs no copies, and a meter or key that holds
     a large part of the rows shrinks before each shuffle.
     """
-    by_key = df.groupBy(*IDENTITY).agg(F.count("*").alias("copies"))
+    zero = F.lit(0).cast("bigint")
+    empty_cells = sum((F.col(name).isNull().cast("bigint") for name in present), zero)
+    by_key = df.groupBy(*IDENTITY).agg(F.count("*").alias("copies"), F.sum(empty_cells).alias("empty"))
     by_meter = by_key.groupBy("meter_id").agg(
         F.sum("copies").alias("copies"),
+        F.sum("empty").alias("empty"),
         F.count("*").alias("keys"),
         F.min("timestamp").alias("first_at"),
         F.max("timestamp").alias("last_at"),
     )
-    zero = F.lit(0)
     return by_meter.agg(
         F.coalesce(F.sum("copies"), zero).alias("row_count"),
         F.count("meter_id").alias("unique_meters"),
         F.coalesce(F.sum("copies") - F.sum("keys"), zero).alias("duplicate_rows"),
         F.min("first_at").alias("first_reading_at"),
         F.max("last_at").alias("last_reading_at"),
+        F.coalesce(F.sum("empty"), zero).alias("null_cells"),
     )
 
 
-def numeric_ranges(df: DataFrame, columns: Sequence[str] = PROFILED_NUMBERS) -> DataFrame:
-    facts = []
-    for name in columns:
-        facts += [
-            F.min(name).cast("double").alias(f"{name}__min"),
-            F.max(name).cast("double").alias(f"{name}__max"),
-            F.round(exact_avg(name), 3).alias(f"{name}__mean"),
-        ]
-    return df.agg(*facts).select(
-        _rows(
-            {
-                "column_name": F.lit(name),
-                "min_value": F.col(f"{name}__min"),
-                "max_value": F.col(f"{name}__max"),
-                "mean_value": F.col(f"{name}__mean"),
-            }
-            for name in columns
+def _identity_report(keys: DataFrame) -> DataFrame:
+    return keys.drop("null_cells")
+
+
+def identity_profile(df: DataFrame) -> DataFrame:
+    """Rows, distinct meters, surplus copies and time range."""
+    return _identity_report(_key_facts(df))
+
+
+def _verdict_report(keys: DataFrame, complete: bool) -> DataFrame:
+    fit = F.lit(complete) & (F.col("null_cells") == 0) & (F.col("duplicate_rows") == 0)
+    return keys.select("row_count", "null_cells", "duplicate_rows", fit.alias("fit_for_use"))
+
+
+def verdict(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+    """Fit for use: nothing required is absent or null, and no key occurs twice.
+
+    Without the key columns the copies cannot be counted and the answer is no.
+    """
+    present = _present(df, required)
+    if missing_required(df, IDENTITY):
+        unknown = F.lit(None).cast("bigint")
+        return df.agg(F.count("*").alias("row_count")).select(
+            "row_count",
+            unknown.alias("null_cells"),
+            unknown.alias("duplicate_rows"),
+            F.lit(False).alias("fit_for_use"),
         )
-    )
+    return _verdict_report(_key_facts(df, present), len(present) == len(required))
 
 
 def category_counts(df: DataFrame, columns: Sequence[str] = PROFILED_LABELS) -> DataFrame:
@@ -121,56 +203,33 @@ def category_counts(df: DataFrame, columns: Sequence[str] = PROFILED_LABELS) ->
     return lines.groupBy("column_name", "label").agg(F.sum("rows").alias("row_count"))
 
 
-def issue_rates(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
-    """Share of set flags among known ones, in percent."""
-    facts = []
-    for flag in flags:
-        facts += [F.count_if(flag).alias(f"{flag}__set"), F.count(flag).alias(f"{flag}__known")]
-    return df.agg(*facts).select(
-        _rows(
-            {
-                "flag": F.lit(flag),
-                "issue_rate_pct": F.round(
-                    F.try_divide(100.0 * F.col(f"{flag}__set"), F.col(f"{flag}__known")), 2
-                ),
-            }
-            for flag in flags
-        )
-    )
-
+def profile(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> dict[str, DataFrame]:
+    """The whole report on typed raw readings, before filling.
 
-def verdict(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    """Fit for use: nothing required is absent or null, and no key occurs twice."""
-    present = [name for name in required if name in df.columns]
-    complete = len(present) == len(required)
-    if not set(IDENTITY) <= set(present):
-        return df.agg(F.count("*").alias("row_count")).select(
-            "row_count", F.lit(None).cast("bigint").alias("null_cells"),
-            F.lit(None).cast("bigint").alias("duplicate_rows"), F.lit(False).alias("fit_for_use"),
-        )
-    empty_cells = sum((F.col(name).isNull().cast("bigint") for name in present), F.lit(0).cast("bigint"))
-    by_key = df.groupBy(*IDENTITY).agg(F.count("*").alias("copies"), F.sum(empty_cells).alias("empty"))
-    zero = F.lit(0)
-    return by_key.agg(
-        F.coalesce(F.sum("copies"), zero).alias("row_count"),
-        F.coalesce(F.sum("empty"), zero).alias("null_cells"),
-        F.coalesce(F.sum(F.col("copies") - 1), zero).alias("duplicate_rows"),
-    ).withColumn(
-        "fit_for_use",
-        F.lit(complete) & (F.col("null_cells") == 0) & (F.col("duplicate_rows") == 0),
-    )
+    The delivery is read three times in all: for the plain aggregates, for the
+    keys and for the labels. Their small results are written to the shared
+    folder, so looking at a report does not read the delivery again.
+    """
+    spark = df.sparkSession
+    present = _present(df, required)
 
+    def kept(small: DataFrame) -> DataFrame:
+        path = fresh_path(spark, "profile")
+        small.write.parquet(path)
+        return spark.read.schema(small.schema).parquet(path)
 
-def profile(df: DataFrame) -> dict[str, DataFrame]:
-    """The whole report; ``df`` holds typed raw readings, before filling."""
+    facts = kept(
+        df.agg(_row_fact(), *_null_facts(present), *_range_facts(PROFILED_NUMBERS), *_rate_facts(FLAGS))
+    )
+    keys = kept(_key_facts(df, present))
     return {
-        "shape": shape(df),
-        "null_counts": null_counts(df),
-        "identity": identity_profile(df),
-        "numeric_ranges": numeric_ranges(df),
-        "category_counts": category_counts(df),
-        "issue_rates": issue_rates(df),
-        "verdict": verdict(df),
+        "shape": _shape_report(facts, df.columns),
+        "null_counts": _null_report(facts, present, required),
+        "identity": _identity_report(keys),
+        "numeric_ranges": _range_report(facts, PROFILED_NUMBERS),
+        "category_counts": kept(category_counts(df)),
+        "issue_rates": _rate_report(facts, FLAGS),
+        "verdict": _verdict_report(keys, len(present) == len(required)),
     }
 
 

@@ -67,7 +67,18 @@ def test_differences_count_copies(spark):
 
 
 def test_profile_of_derived_readings(spark):
-    report = quality.profile(conform(raw(spark, {}, {"meter_id": "M2", "voltage_issue": "true"})))
+    delivery = conform(raw(spark, {}, {"meter_id": "M2", "voltage_issue": "true"}))
+    report = quality.profile(delivery)
+    for name, alone in (
+        ("shape", quality.shape),
+        ("null_counts", quality.null_counts),
+        ("identity", quality.identity_profile),
+        ("numeric_ranges", quality.numeric_ranges),
+        ("category_counts", quality.category_counts),
+        ("issue_rates", quality.issue_rates),
+        ("verdict", quality.verdict),
+    ):
+        assert records(report[name]) == records(alone(delivery)), name
     assert report["shape"].first().row_count == 2
     assert {r.flag: r.issue_rate_pct for r in report["issue_rates"].collect()}["voltage_issue"] == 50.0
     assert report["verdict"].first().fit_for_use
