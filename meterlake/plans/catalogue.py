@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
 from meterlake.session import fresh_path
 from meterlake.sinks import tables
-from meterlake.sources import demo, files
+from meterlake.sources import demo, files, paths
 from meterlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,27 +23,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 _WRITTEN: dict[tuple, str] = {}
 _OPENED: dict[str, DataFrame] = {}
+_LOCK = RLock()
 _SOURCES = ("events", "customer", "nation", "region")
 
 
-def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
-    """Size and time of the source tables, so changed data is never served from an older load."""
-    stamps = []
-    for name in _SOURCES:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-        stamps.append((status.getLen(), status.getModificationTime()))
-    return tuple(stamps)
-
-
 def _once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
-    """Path of data written once per session and input into the shared folder."""
-    key = (spark.sparkContext.applicationId, label, sf_dir, _stamp(spark, sf_dir))
-    if key not in _WRITTEN:
-        path = fresh_path(spark, label)
-        write(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+    """Path of data written once per session and input into the shared folder.
+
+    The sources' sizes and times are part of the key, so changed data is never
+    served from an older load.
+    """
+    stamps = tuple(paths.stamp(spark, f"{sf_dir}/{name}.parquet") for name in _SOURCES)
+    key = (spark.sparkContext.applicationId, label, sf_dir, stamps)
+    with _LOCK:
+        if key not in _WRITTEN or not paths.exists(spark, _WRITTEN[key]):
+            path = fresh_path(spark, label)
+            write(path)
+            _WRITTEN[key] = path
+        return _WRITTEN[key]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,10 +227,10 @@ def _(spark, sf_dir):
 
 @query("s18_materialised_views")
 def _(spark, sf_dir):
-    paths = views.materialise_views(
+    written = views.materialise_views(
         readings(spark, sf_dir), fresh_path(spark, "s18"), ("state_health_summary",)
     )
-    return spark.read.parquet(paths["state_health_summary"])
+    return spark.read.parquet(written["state_health_summary"])
 
 
 # Cleaning, predicates, scalars.

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.schema import PROCESSED
+from meterlake.sources.paths import exists
 
 
 def read_csv(spark: SparkSession, path, sniff: bool = False, sampling_ratio: float = 1.0) -> DataFrame:
@@ -29,18 +30,11 @@ def read_parquet(spark: SparkSession, path, merge_schema: bool = False) -> DataF
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def _present(spark: SparkSession, path: str | None) -> bool:
-    if not path:
-        return False
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def read_readings(spark: SparkSession, parquet: str | None = None, csv: str | None = None) -> DataFrame:
     """Parquet if it is there, else CSV, else an error."""
-    if _present(spark, parquet):
+    if parquet and exists(spark, parquet):
         return read_parquet(spark, parquet)
-    if _present(spark, csv):
+    if csv and exists(spark, csv):
         return read_csv(spark, csv)
     raise FileNotFoundError(f"no readings at {parquet!r} or {csv!r}")
 

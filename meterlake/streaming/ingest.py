@@ -16,6 +16,7 @@ from meterlake.operators.clean import clean, dedupe, derive, project
 from meterlake.schema import PARTITION_KEYS, RAW_STRINGS
 from meterlake.sinks.tables import write_partitioned
 from meterlake.sources.files import read_processed
+from meterlake.sources.paths import delete, exists
 
 _DERIVED = ("event_date", "communication_lag_minutes", "issue_count", "health_status", *PARTITION_KEYS)
 
@@ -32,16 +33,6 @@ def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.csv(path)
 
 
-def _path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _path(spark, path)
-    return fs.exists(hadoop_path)
-
-
 def _touched_days(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     """The stored rows of the days in ``fresh``, read by partition."""
     days = fresh.select(*PARTITION_KEYS).distinct()
@@ -65,9 +56,9 @@ def merge_batch(raw: DataFrame, batch_id: int, target: str, staging: str, lag_mo
     """
     spark = raw.sparkSession
     merged_path = f"{staging.rstrip('/')}/batch-{batch_id}"
-    if not _exists(spark, f"{merged_path}/_SUCCESS"):
+    if not exists(spark, f"{merged_path}/_SUCCESS"):
         fresh = clean(raw, lag_mode=lag_mode)
-        if _exists(spark, target):
+        if exists(spark, target):
             landed = f"{staging.rstrip('/')}/fresh-{batch_id}"
             fresh.write.mode("overwrite").parquet(landed)
             fresh = spark.read.parquet(landed)
@@ -77,8 +68,7 @@ def merge_batch(raw: DataFrame, batch_id: int, target: str, staging: str, lag_mo
         write_partitioned(fresh, merged_path, "rebuild")
     write_partitioned(read_processed(spark, merged_path), target, balance=False)
     for label in ("batch", "fresh"):
-        fs, done = _path(spark, f"{staging.rstrip('/')}/{label}-{batch_id - 1}")
-        fs.delete(done, True)
+        delete(spark, f"{staging.rstrip('/')}/{label}-{batch_id - 1}")
 
 
 def ingest(

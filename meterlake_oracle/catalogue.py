@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import (
+from meterlake_oracle.base import (
     BOUNDARY,
     count_if,
     exact_avg,
@@ -14,7 +14,7 @@ from oracle.base import (
     rnd_avg,
     total,
 )
-from oracle.views import VIEW_SQL, view_cte
+from meterlake_oracle.views import VIEW_SQL, view_cte
 
 METERS = "COUNT(DISTINCT meter_id) AS meters"
 AREA = "state, district, discom"

@@ -1,6 +1,6 @@
 """Oracle SQL of the named views, as SELECT bodies over ``readings``."""
 
-from oracle.base import count_if, exact_avg, exact_sum, rnd, rnd_avg, total
+from meterlake_oracle.base import count_if, exact_avg, exact_sum, rnd, rnd_avg, total
 
 _STATUS = ",\n".join(
     f"{count_if(f'health_status = {chr(39)}{s}{chr(39)}')} AS {s.lower()}" for s in ("Healthy", "Warning", "Critical")
