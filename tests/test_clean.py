@@ -105,7 +105,7 @@ def test_dedupe_by_source_order(spark):
 
 def test_a_hot_key_is_cut_before_the_shuffle(spark):
     """Many copies of one reading: each map task sends one row, whatever it holds."""
-    copies = raw(spark, {}).crossJoin(spark.range(0, 30_000, 1, 6)).drop("id")
+    copies = raw(spark, {}).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(30_000)))).drop("n").repartition(6)
     cleaned = clean(copies)
     assert cleaned.count() == 1
     plan = cleaned._jdf.queryExecution().toString()
