@@ -19,10 +19,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm import arrays
+from meterlake.llm.memory import SpanMemory
 
 TOKEN_LIMIT = 1024
-#: Distinct pre-tokens a worker remembers. The memory is emptied beyond it; results don't depend on it.
-REMEMBERED = 600_000
 _NONE = np.int64(1) << 40
 
 OTHER_SPACE, BLANK, LETTER, DIGIT, MARK = range(5)
@@ -74,27 +73,6 @@ def contractions(data: np.ndarray, quote: np.ndarray, stop: np.ndarray) -> np.nd
     return np.where(short, 2, np.where(long, 3, 0))
 
 
-def with_specials(data: np.ndarray, offsets: np.ndarray, specials: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Cut texts at the strings of special tokens: ends of all segments, and the special's id or -1."""
-    found: list[tuple[int, int, int]] = []
-    whole = data.tobytes()
-    for string, token in specials.items():
-        at = whole.find(string)
-        while at >= 0:
-            if arrays.owners(np.array([at]), offsets)[0] == arrays.owners(np.array([at + len(string) - 1]), offsets)[0]:
-                found.append((at, at + len(string), token))
-                at = whole.find(string, at + len(string))
-            else:
-                at = whole.find(string, at + 1)
-    if not found:
-        return offsets, np.full(len(offsets) - 1, -1, np.int64)
-    cuts = np.unique(np.concatenate([offsets, [x for a, b, _ in found for x in (a, b)]])).astype(np.int64)
-    token = np.full(len(cuts) - 1, -1, np.int64)
-    for a, _, t in found:
-        token[np.searchsorted(cuts, a)] = t
-    return cuts, token
-
-
 def pre_tokens(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Where pre-tokens of byte-level BPE begin, for segments that begin at `cuts`."""
     n = len(data)
@@ -168,7 +146,7 @@ class PairTable:
         return out
 
 
-class Merger:
+class Merger(SpanMemory):
     """Byte-level BPE of a tokenizer file over many pre-tokens at once."""
 
     def __init__(self, path: str):
@@ -184,11 +162,6 @@ class Merger:
         self.first = np.array([vocab[c] for c in byte_letters()], np.int64)
         self.forget()
 
-    def forget(self) -> None:
-        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
     def merge(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of sequences one behind another, to their tokens in the same order."""
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -240,35 +213,15 @@ class Merger:
         rank[inside] = self.table.ranks(symbols[at[inside]], symbols[at[inside] + 1])
         return rank
 
-    def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Number of the remembered encoding of each byte span; new spans are encoded first."""
-        hashes, at, which = np.unique(arrays.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        place = np.searchsorted(self.known, hashes)
-        place[place == len(self.known)] = 0
-        numbers = np.full(len(hashes), -1, np.int64)
-        if len(self.known):
-            numbers = np.where(self.known[place] == hashes, self.number[place], -1)
-        if len(new := np.flatnonzero(numbers < 0)):
-            begin, size = starts[at[new]], ends[at[new]] - starts[at[new]]
-            tokens, counts = self.merge(self.first[data[arrays.ragged(begin, size)]], size)
-            numbers[new] = len(self.sizes) + np.arange(len(new))
-            known = np.concatenate([self.known, hashes[new]])
-            order = np.argsort(known, kind="stable")
-            self.known, self.number = known[order], np.concatenate([self.number, numbers[new]])[order]
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.sizes = np.concatenate([self.sizes, counts])
-            self.ids = np.concatenate([self.ids, tokens.astype(np.int32)])
-        return numbers[which.reshape(-1)]
-
-    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all pre-tokens: the number of the encoding, the text, and the special token's id or -1."""
+    def encode_new(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = ends - starts
+        return self.merge(self.first[data[arrays.ragged(starts, size)]], size)
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry and text of each pre-token and special token."""
         if not len(data):
-            return (np.zeros(0, np.int64),) * 3
-        cuts, special = with_specials(data, offsets, self.specials)
-        cuts, keep = np.unique(cuts, return_index=True)
-        special = special[np.minimum(keep[1:] - 1, len(special) - 1)] if len(special) else special
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cuts, special = self.segments(data, offsets)
         begin = pre_tokens(data, cuts)
         starts, ends = begin[:-1], begin[1:]
         token = special[np.searchsorted(cuts, starts, side="right") - 1]
@@ -276,26 +229,15 @@ class Merger:
             first = (token < 0) | np.isin(starts, cuts)
             starts, token = starts[first], token[first]
             ends = np.append(starts[1:], len(data))
-        return self.entries(data, starts, ends), arrays.owners(starts, offsets), token
+        return np.where(token >= 0, token, self.entries(data, starts, ends)), arrays.owners(starts, offsets)
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text."""
-        entry, owner, token = self.spans(data, offsets)
-        size = np.where(token >= 0, 1, self.sizes[entry]) if len(entry) else entry
-        return np.bincount(owner, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+        return self.total(*self.spans(data, offsets), len(offsets) - 1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts one behind another, and the number of each text."""
-        entry, owner, token = self.spans(data, offsets)
-        if not len(entry):
-            return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        special = token >= 0
-        size = np.where(special, 1, self.sizes[entry])
-        at = arrays.ragged(np.where(special, 0, self.starts[entry]), size)
-        ids = self.ids[at] if len(self.ids) else np.zeros(len(at), np.int32)
-        if special.any():
-            ids[(np.cumsum(size) - size)[special]] = token[special]
-        return ids, np.bincount(owner, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+        return self.gather(*self.spans(data, offsets), len(offsets) - 1)
 
 
 def byte_letters() -> list[str]:
