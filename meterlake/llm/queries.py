@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.llm.licenses import scan_licenses
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
 from meterlake.llm.token_counts import count_tokens
+from meterlake.llm.toxicity import score_toxicity
+from meterlake.llm.trie_bpe import round_trip
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,15 +29,30 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_license_scan,
+        op3_trie_bpe,
         op6_token_counts,
+        op9_toxicity,
     )
 }
 
