@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.licenses import scan_licenses
+from meterlake.llm.near_dedup import classify
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
 from meterlake.llm.token_counts import count_tokens
@@ -41,6 +42,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "is_kept")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_license_scan,
         op3_trie_bpe,
         op6_token_counts,
+        op7_probminhash_near_dedup,
         op9_toxicity,
     )
 }

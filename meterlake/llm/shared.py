@@ -74,3 +74,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     moved = edges.join(least, "hi")
     lower = moved.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return lower.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The whole row as `row`, its id and text, and two hashes that tell rows apart.
+
+    Further columns may have any names, since they stay inside `row`. Rows that agree in id and text share
+    their hashes.
+    """
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return docs.select(
+        F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
+        doc_id.alias("doc_id"),
+        text.alias("text"),
+        F.xxhash64(doc_id, text).alias("r1"),
+        F.xxhash64(F.lit(1), text, doc_id, text.isNull()).alias("r2"),
+    )
