@@ -10,6 +10,7 @@ from meterlake.llm.licenses import scan_licenses
 from meterlake.llm.near_dedup import classify
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
+from meterlake.llm.suffix_dedup import cut_repeats
 from meterlake.llm.token_counts import count_tokens
 from meterlake.llm.toxicity import score_toxicity
 from meterlake.llm.trie_bpe import round_trip
@@ -46,6 +47,11 @@ def op7_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "is_kept")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "text", "words_cut", "spans")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_trie_bpe,
         op6_token_counts,
         op7_probminhash_near_dedup,
+        op8_suffix_dedup,
         op9_toxicity,
     )
 }
