@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.llm.ann import nearest, usable_vectors
 from meterlake.llm.licenses import scan_licenses
 from meterlake.llm.near_dedup import classify
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
 from meterlake.llm.suffix_dedup import cut_repeats
 from meterlake.llm.token_counts import count_tokens
+from meterlake.llm.topk import integer_vectors, top_k
 from meterlake.llm.toxicity import score_toxicity
 from meterlake.llm.trie_bpe import round_trip
 
@@ -39,6 +41,11 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_pstable_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable_vectors(table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -56,16 +63,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
         op2_license_scan,
         op3_trie_bpe,
+        op5_pstable_ann,
         op6_token_counts,
         op7_probminhash_near_dedup,
         op8_suffix_dedup,
         op9_toxicity,
+        op10_threshold_topk,
     )
 }
 
