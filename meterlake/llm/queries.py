@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm.ann import nearest, usable_vectors
 from meterlake.llm.licenses import scan_licenses
+from meterlake.llm.line_dedup import dedup_lines
 from meterlake.llm.near_dedup import classify
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
@@ -41,6 +42,11 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "text", "lines_cut")
+
+
 def op5_pstable_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable_vectors(table(spark, sf_dir, "embeddings"))
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_license_scan,
         op3_trie_bpe,
+        op4_line_dedup,
         op5_pstable_ann,
         op6_token_counts,
         op7_probminhash_near_dedup,
