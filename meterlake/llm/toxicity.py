@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from meterlake.llm import arrays
 from meterlake.llm.licenses import LOWER, WORD
 from meterlake.llm.shared import settled
 
 #: Labelled texts that the lexicon and the model learn from, about; chosen by a hash of the id.
-TRAINING_ROWS = 40_000
+TRAINING_ROWS = 16_000
 #: Entries of the lexicon, and the share of toxic texts that an entry must occur in.
 LEXICON_SIZE = 2_000
 LEXICON_SUPPORT = 0.004
@@ -62,34 +62,46 @@ def term_hashes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list
     return out
 
 
-def terms_of(docs: DataFrame) -> DataFrame:
-    """Distinct words and word beginnings of each labelled text."""
+def terms_of(texts: DataFrame, among: list[int] | None = None) -> DataFrame:
+    """Distinct words and word beginnings of each text; `among`: only those of these hashes."""
+    wanted = None if among is None else np.sort(np.array(among, np.int64))
 
     def list_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.pieces(batches):
             lower, starts, ends, owner = word_table(*arrays.column_bytes(batch.column("text")))
-            toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
             for stem, (hashes, word) in enumerate(term_hashes(lower, starts, ends)):
-                order = np.lexsort((hashes, owner[word]))
-                h, o = hashes[order], owner[word][order]
+                h, o = arrays.as_long(hashes), owner[word]
+                if wanted is not None:
+                    known = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
+                    h, o = h[known], o[known]
+                order = np.lexsort((h, o))
+                h, o = h[order], o[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.as_long(h[new])), pa.array(np.full(int(new.sum()), stem > 0)), pa.array(toxic[o[new]])],
-                    names=["term", "stem", "toxic"],
+                    [pa.array(h[new]), pa.array(np.full(int(new.sum()), stem > 0))], names=["term", "stem"]
                 )
 
-    return docs.select("text", F.col("toxic").cast("long")).mapInArrow(list_terms, "term long, stem boolean, toxic long")
+    return texts.select("text").mapInArrow(list_terms, "term long, stem boolean")
 
 
 def learn_lexicon(training: DataFrame, toxic: int, clean: int) -> list[tuple[int, bool, float]]:
-    """At most LEXICON_SIZE terms by how typical they are of toxic texts: hash, whether a stem, weight."""
-    counts = terms_of(training).groupBy("term", "stem").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
-    ratio = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("t") + 0.5) / (clean + 1))
+    """At most LEXICON_SIZE terms by how typical they are of toxic texts: hash, whether a stem, weight.
+
+    Terms of toxic texts come first. Their number is bounded, since each occurs in a fixed share of
+    these texts; only those are then counted in the other texts.
+    """
     support = max(2.0, LEXICON_SUPPORT * toxic)
-    kept = counts.where(F.col("t") >= support).withColumn("ratio", ratio).where(F.col("ratio") >= LEXICON_RATIO)
-    best = kept.orderBy(F.desc(F.col("t") * F.ln("ratio")), "term").limit(LEXICON_SIZE)
-    return [(r.term, r.stem, float(np.log(r.ratio))) for r in best.collect()]
+    counts = terms_of(training.where("toxic = 1")).groupBy("term", "stem").agg(F.count("*").alias("t"))
+    frequent = {(r.term, r.stem): r.t for r in counts.where(F.col("t") >= support).collect()}
+    if not frequent:
+        return []
+    elsewhere = terms_of(training.where("toxic = 0"), [t for t, _ in frequent]).groupBy("term", "stem").count()
+    other = {(r.term, r.stem): r["count"] for r in elsewhere.collect()}
+    ratios = {k: (t + 0.5) / (toxic + 1) / ((other.get(k, 0) + 0.5) / (clean + 1)) for k, t in frequent.items()}
+    typical = [k for k, ratio in ratios.items() if ratio >= LEXICON_RATIO]
+    typical.sort(key=lambda k: (-frequent[k] * np.log(ratios[k]), k))
+    return [(*k, float(np.log(ratios[k]))) for k in typical[:LEXICON_SIZE]]
 
 
 def rate(owner: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
@@ -181,7 +193,7 @@ def with_features(docs: DataFrame, lexicon: list[tuple[int, bool, float]], keep:
 
     fields = [f for f in wanted.schema.fields if f.name in keep]
     keep_names = [f.name for f in fields]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "feature_list array<double>"])
+    schema = T.StructType([*fields, T.StructField("feature_list", T.ArrayType(T.DoubleType()))])
     return wanted.mapInArrow(describe, schema).withColumn("features", array_to_vector("feature_list")).drop("feature_list")
 
 
