@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
 _SHIPPED: set[str] = set()
@@ -90,3 +90,32 @@ def packed(docs: DataFrame) -> DataFrame:
         F.xxhash64(doc_id, text).alias("r1"),
         F.xxhash64(F.lit(1), text, doc_id, text.isNull()).alias("r2"),
     )
+
+
+#: 64-bit words of a mask; a mask has at most this many rows, whatever the data.
+MASK_WORDS = 1 << 17
+
+
+def _word(key: str) -> Column:
+    return F.pmod(F.col(key), F.lit(MASK_WORDS)).cast("int")
+
+
+def _bit(key: str) -> Column:
+    return F.shiftrightunsigned(F.col(key), 58).cast("int")
+
+
+def mask_of(keys: DataFrame, key: str) -> DataFrame:
+    """Bit mask of the hashes that occur, at most MASK_WORDS rows."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _bit(key))
+    return keys.groupBy(_word(key).alias("mask_word")).agg(F.bit_or(bit).alias("mask"))
+
+
+def marked(rows: DataFrame, key: str, mask: DataFrame) -> DataFrame:
+    """rows with `may`: false only if the mask rules the hash out. The mask is broadcast; its size is fixed."""
+    joined = rows.join(F.broadcast(mask), _word(key) == F.col("mask_word"), "left")
+    may = F.coalesce(F.call_function("getbit", F.col("mask"), _bit(key)) == 1, F.lit(False))
+    return joined.withColumn("may", may).drop("mask_word", "mask")
+
+
+def masked(rows: DataFrame, key: str, mask: DataFrame) -> DataFrame:
+    return marked(rows, key, mask).where("may").drop("may")
