@@ -10,6 +10,7 @@ array. The symbols that survive are the tokens.
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Regex, pre_tokenizers
 
 from meterlake.llm import arrays
 from meterlake.llm.memory import SpanMemory
@@ -29,13 +31,23 @@ OTHER_SPACE, BLANK, LETTER, DIGIT, MARK = range(5)
 
 @lru_cache(1)
 def character_classes() -> np.ndarray:
-    """Class of every code point: white space, blank, letter, number, or anything else."""
+    """Class of every code point: white space, blank, letter, number, or anything else.
+
+    Characters younger than Unicode 3.2 are asked from the tokenizers library, whose release of Unicode decides.
+    """
     table = np.full(0x110000, MARK, np.uint8)
     valid = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     everything = "".join(map(chr, valid))
     for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (OTHER_SPACE, r"\s+")):
         for run in regex.finditer(pattern, everything):
             table[valid[run.start()] : valid[run.end() - 1] + 1] = kind
+    category = unicodedata.ucd_3_2_0.category
+    young = [c for c in np.flatnonzero(table != MARK).tolist() if category(chr(c)) == "Cn"]
+    table[young] = MARK
+    for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+")):
+        split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        for _, (first, last) in split.pre_tokenize_str("".join(map(chr, young))):
+            table[young[first:last]] = kind
     table[0x20] = BLANK
     return table
 
