@@ -7,7 +7,8 @@ so it can read the table itself or the much smaller meter-day rollup.
 Double sums depend on the order in which Spark merges partitions, and a mean
 such as 223.625 then rounds either way. The parts below are bigints: a value in
 millionths, cut at 2**20 into a high and a low half. Each half stays inside a
-bigint for about 8e12 rows per group; past that, ANSI mode raises.
+bigint for about 8e12 rows per group; past that, ANSI mode raises. A single value
+beyond 9.2e12 raises as well, and digits beyond the sixth decimal are rounded.
 """
 
 from __future__ import annotations
@@ -37,8 +38,13 @@ DIMENSIONS = (
 )
 
 
+#: Larger magnitudes in millionths don't fit a bigint; floor would silently give the nearest one that does.
+LARGEST = 9.2e12
+
+
 def _micros_sql(column: str) -> str:
-    return f"floor({column} * {MICRO}D + 0.5D)"
+    too_large = f"raise_error('{column} has a value beyond {LARGEST:g}, which exact sums do not cover')"
+    return f"floor(if(abs({column}) > {LARGEST:g}D, CAST({too_large} AS double), {column}) * {MICRO}D + 0.5D)"
 
 
 def _halves_sql(column: str) -> tuple[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def rolling_outliers(
     measure: str = "consumption_kwh",
     window: int = 24,
     threshold: float = 3.0,
-    chunk: str = "hour",
+    chunk: str = "month",
 ) -> DataFrame:
     """Each reading against the ``window`` readings of its meter before it.
 
@@ -59,7 +60,8 @@ def rolling_outliers(
     chunk, all but the first ``window`` rows see their whole frame. The others
     need rows from earlier chunks, of which only the last ``window`` rows of
     each can matter. So the second pass, per meter, handles at most
-    ``2 * window`` rows per chunk, whatever the number of readings.
+    ``2 * window`` rows per chunk, whatever the number of readings. A chunk should
+    hold many windows: with a month, hourly readings are nearly all seen in the first pass.
     """
     everything = df.select("meter_id", "timestamp", F.col(measure).alias("value"))
     readings = everything.filter(F.col("meter_id") != UNKNOWN_METER).withColumns(
@@ -119,8 +121,11 @@ def group_outliers(
         F.sum(value).alias("_total"),
         F.sum(_square(value)).alias("_squares"),
     )
-    scored = _scored(rows.join(stats, keys), measure, "_n", "_total", "_squares", threshold)
-    return scored.drop("_n", "_total", "_squares")
+    # Rows whose group is null are a group too.
+    named = stats.select(*(F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)), "_n", "_total", "_squares")
+    same = reduce(Column.__and__, (rows[key].eqNullSafe(named[f"_key{i}"]) for i, key in enumerate(keys)))
+    scored = _scored(rows.join(named, same, "left"), measure, "_n", "_total", "_squares", threshold)
+    return scored.drop("_n", "_total", "_squares", *(f"_key{i}" for i in range(len(keys))))
 
 
 def with_severity(df: DataFrame, **limits) -> DataFrame:

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from meterlake.functions.measures import exact_avg, exact_sum
 from meterlake.functions.scalars import bin_floor
 
-ROW_LIMIT = 1000
-
 
 def _metric(df: DataFrame, how: str, column: str) -> Column:
     fractional = dict(df.dtypes)[column] == "double"
@@ -35,14 +33,14 @@ def chart_query(
     groupby: Sequence[str],
     metrics: Sequence[tuple[str, str]],
     order: Sequence[str] | None = None,
-    limit: int = ROW_LIMIT,
+    limit: int | None = None,
     time_column: str | None = None,
     time_range: tuple | None = None,
 ) -> DataFrame:
     """``metrics`` are (aggregate, column) pairs; each result carries its column's name.
 
     Without ``order`` the first metric leads, largest first. The keys always
-    break ties, so the row limit cuts at the same place on every run.
+    break ties, so a row limit, if asked for, cuts at the same place on every run.
     """
     if time_range is not None:
         view = view.filter(F.col(time_column).between(*time_range))
@@ -50,7 +48,8 @@ def chart_query(
     if not groupby:
         return view.agg(*values)
     ranked = [F.col(key) for key in order] if order else [F.desc(metrics[0][1])]
-    return view.groupBy(*groupby).agg(*values).orderBy(*ranked, *groupby).limit(limit)
+    ordered = view.groupBy(*groupby).agg(*values).orderBy(*ranked, *groupby)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:

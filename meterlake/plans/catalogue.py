@@ -14,7 +14,7 @@ from meterlake.operators import anomaly, clean, filters, quality
 from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
 from meterlake.session import fresh_path
-from meterlake.sinks import tables
+from meterlake.sinks import merging, tables
 from meterlake.sources import demo, files, paths
 from meterlake.streaming import ingest
 
@@ -63,6 +63,15 @@ def _readings_path(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "readings", lambda p: tables.write_partitioned(_load(spark, sf_dir), p))
 
 
+def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The meter-day rollup that all views can read, written once."""
+
+    def write(path: str) -> None:
+        views.meter_day_rollup(readings(spark, sf_dir)).write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, "rollup", write))
+
+
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """Path of the raw readings as CSV files."""
 
@@ -162,6 +171,18 @@ def _(spark, sf_dir):
     return statements.daily_totals(files.read_processed(spark, path))
 
 
+@query("s09_merge_same_day")
+def _(spark, sf_dir):
+    """Two deliveries of the same days, each with part of the rows, merged one after the other."""
+    path = fresh_path(spark, "s09m")
+    delivered = files.read_csv(spark, raw_csv(spark, sf_dir))
+    part = F.pmod(F.hash(*delivered.columns), F.lit(3)) == 0
+    for number, rows in enumerate((delivered.filter(part), delivered.filter(~part))):
+        merging.merge_delivery(rows, f"{path}/table", f"{path}/staging", number)
+    paths.delete(spark, f"{path}/staging")
+    return files.read_processed(spark, f"{path}/table")
+
+
 @query("s10_catalog_partitions")
 def _(spark, sf_dir):
     name = _registered(spark, sf_dir, "meterlake_s10")
@@ -188,7 +209,7 @@ def _(spark, sf_dir):
 
 @query("s13_view_registry")
 def _(spark, sf_dir):
-    names = views.register_views(readings(spark, sf_dir), prefix="s13_")
+    names = views.register_views(rollup(spark, sf_dir), prefix="s13_")
     counts = (
         spark.table(name).agg(F.count("*").alias("row_count")).select(F.lit(name[4:]).alias("view_name"), "row_count")
         for name in names
@@ -201,12 +222,11 @@ over_readings("s14_fixed_projection", clean.project)
 
 @query("s15_schema_preview")
 def _(spark, sf_dir):
-    """The preview's schema step over the whole raw table; the sample is written beside it."""
+    """The whole raw table with the schema applied, as the preview writes it."""
     raw_path = raw_parquet(spark, sf_dir)
     spark.sql("DROP TABLE IF EXISTS meterlake_s15_raw")
     spark.catalog.createTable("meterlake_s15_raw", path=raw_path, source="parquet")
-    load.preview(spark, "meterlake_s15_raw", fresh_path(spark, "s15"))
-    mapped = files.read_table(spark, "meterlake_s15_raw").transform(clean.add_missing).transform(clean.conform)
+    mapped = load.preview(spark, "meterlake_s15_raw", fresh_path(spark, "s15"))
     return mapped.groupBy("battery_status", "firmware_version").agg(
         F.count("*").alias("readings"), F.count("timestamp").alias("timed"), F.min("voltage").alias("lowest_voltage")
     )
@@ -227,10 +247,15 @@ def _(spark, sf_dir):
 
 @query("s18_materialised_views")
 def _(spark, sf_dir):
-    written = views.materialise_views(
-        readings(spark, sf_dir), fresh_path(spark, "s18"), ("state_health_summary",)
+    """Rows of every extract after a refresh over an older one."""
+    base = fresh_path(spark, "s18")
+    views.materialise_views(readings(spark, sf_dir).filter(F.col("day") <= "10"), base)
+    written = views.materialise_views(readings(spark, sf_dir), base)
+    counts = (
+        spark.read.parquet(path).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("view_name"), "row_count")
+        for name, path in written.items()
     )
-    return spark.read.parquet(written["state_health_summary"])
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Cleaning, predicates, scalars.
@@ -589,7 +614,7 @@ def _(spark, sf_dir):
 
 @query("k12_view_presence")
 def _(spark, sf_dir):
-    names = views.register_views(readings(spark, sf_dir), prefix="k12_")
+    names = views.register_views(rollup(spark, sf_dir), prefix="k12_")
     quality.assert_views(spark, names)
     counts = (
         spark.table(name).agg(F.count("*").alias("row_count")).select(F.lit(name[4:]).alias("view_name"), "row_count")

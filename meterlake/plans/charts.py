@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from meterlake.operators.charts import ROW_LIMIT, chart_query
+from meterlake.operators.charts import chart_query
 from meterlake.plans.views import AREA, VIEWS
 
 # The column a chart's time filter applies to, per dataset.
@@ -24,7 +24,7 @@ class Chart:
     metrics: tuple[tuple[str, str], ...]
     order: tuple[str, ...] | None = None
 
-    def query(self, df: DataFrame, limit: int = ROW_LIMIT, time_range: tuple | None = None) -> DataFrame:
+    def query(self, df: DataFrame, limit: int | None = None, time_range: tuple | None = None) -> DataFrame:
         """The chart's rows over the processed table or its rollup."""
         return chart_query(
             VIEWS[self.view](df),

@@ -108,9 +108,11 @@ def signal_quality_histogram(df: DataFrame) -> DataFrame:
     )
 
 
-def worst_signal_devices(df: DataFrame, k: int = 50) -> DataFrame:
+def worst_signal_devices(df: DataFrame, k: int | None = None) -> DataFrame:
+    """Readings from the weakest signal on; all of them unless ``k`` is given."""
     shown = ("meter_id", *AREA, "rssi", "last_communication_time", "health_status")
-    return df.orderBy("rssi", "meter_id", "timestamp").limit(k).select(*shown)
+    ranked = df.orderBy("rssi", "meter_id", "timestamp").select(*shown)
+    return ranked if k is None else ranked.limit(k)
 
 
 def electrical_devices(df: DataFrame) -> DataFrame:

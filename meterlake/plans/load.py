@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators.clean import add_missing, clean, conform
 from meterlake.operators.quality import load_summary
 from meterlake.plans.views import materialise_views
-from meterlake.sinks.tables import load_table, rebuild_table, write_partitioned
+from meterlake.sinks.merging import merge_delivery
+from meterlake.sinks.tables import rebuild_table, register_table, table_location, write_partitioned
 from meterlake.sources.files import read_processed, read_readings, read_table
+from meterlake.sources.paths import delete, replace_folder
 
 
 def load(
@@ -20,29 +24,46 @@ def load(
     rebuild: bool = False,
     extracts: str | None = None,
     lag_mode: str = "elapsed",
+    replace_days: bool = False,
 ) -> DataFrame:
     """Read, clean and write readings; gives the load summary.
 
-    Without ``rebuild`` the delivered days are replaced and other days stay.
-    With it the whole table is written afresh; a catalog table is then moved to
-    the new folder only when that is complete. ``extracts`` names a folder for
-    the materialised views.
+    By default the delivery is merged: stored readings stay, and of each meter and time one is kept. With
+    ``replace_days`` the delivered days are replaced as a whole. With ``rebuild`` the whole table is written afresh and
+    takes the old one's place only when that is complete. ``extracts`` names a folder for the materialised
+    views.
     """
-    cleaned = clean(read_readings(spark, parquet, csv), lag_mode=lag_mode)
+    delivered = read_readings(spark, parquet, csv)
+    known = table is not None and spark.catalog.tableExists(table)
+    live = table_location(spark, table) if known else target
+    if rebuild:
+        cleaned = clean(delivered, lag_mode=lag_mode)
+        if table is not None:
+            rebuild_table(cleaned, table, target)
+        else:
+            replace_folder(spark, target, lambda path: write_partitioned(cleaned, path, "rebuild"))
+    elif replace_days:
+        write_partitioned(clean(delivered, lag_mode=lag_mode), live)
+    else:
+        staging = f"{live.rstrip('/')}__merge-{uuid.uuid4().hex}"
+        merge_delivery(delivered, live, staging, lag_mode=lag_mode)
+        delete(spark, staging)
     if table is None:
-        write_partitioned(cleaned, target, "rebuild" if rebuild else "partitions")
         loaded = read_processed(spark, target)
-    elif rebuild:
-        loaded = rebuild_table(cleaned, table, target)
     else:
-        loaded = load_table(cleaned, table, target)
+        if known and not rebuild:
+            spark.catalog.recoverPartitions(table)
+            spark.catalog.refreshTable(table)
+        elif not rebuild:
+            register_table(spark, table, live)
+        loaded = spark.table(table)
     if extracts:
         materialise_views(loaded, extracts)
     return load_summary(loaded)
 
 
-def preview(spark: SparkSession, table: str, path: str, rows: int = 100) -> DataFrame:
-    """A raw catalog table with the schema applied, its first rows kept as a Parquet sample."""
-    sample = read_table(spark, table).transform(add_missing).transform(conform).limit(rows)
-    sample.write.mode("overwrite").parquet(path)
+def preview(spark: SparkSession, table: str, path: str, rows: int | None = None) -> DataFrame:
+    """A raw catalog table with the schema applied, kept as Parquet; any ``rows`` of it if asked for."""
+    mapped = read_table(spark, table).transform(add_missing).transform(conform)
+    (mapped if rows is None else mapped.limit(rows)).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

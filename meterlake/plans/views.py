@@ -9,6 +9,7 @@ count columns beside them (``readings``, ``devices``) suggest; ``meters`` and
 from __future__ import annotations
 
 from collections.abc import Callable
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,7 @@ from meterlake.functions.measures import (
     total,
 )
 from meterlake.schema import CRITICAL, HEALTHY, WARNING
+from meterlake.sources.paths import delete, move, replace_folder
 
 AREA = ("state", "district", "discom")
 
@@ -252,17 +254,19 @@ def materialise_views(
 
     The rollup is written first and all views read it, so N views cost one scan
     of the readings rather than N. The views are small jobs; a few run at once,
-    so that one's last tasks do not leave the cluster idle.
+    so that one's last tasks do not leave the cluster idle. All extracts are complete in a
+    folder beside ``base`` before the first takes its place, so a failed refresh leaves the old ones.
     """
     spark = df.sparkSession
     base = base.rstrip("/")
-    meter_day_rollup(df).write.mode("overwrite").parquet(f"{base}/meter_day_rollup")
-    rollup = spark.read.parquet(f"{base}/meter_day_rollup")
-    paths = {name: f"{base}/{name}" for name in names}
-
-    def refresh(name: str) -> None:
-        VIEWS[name](rollup).write.mode("overwrite").parquet(paths[name])
-
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        list(pool.map(refresh, paths))
-    return paths
+    building = f"{base}__next-{uuid.uuid4().hex}"
+    try:
+        meter_day_rollup(df).write.parquet(f"{building}/meter_day_rollup")
+        rollup = spark.read.parquet(f"{building}/meter_day_rollup")
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            list(pool.map(lambda name: VIEWS[name](rollup).write.parquet(f"{building}/{name}"), names))
+        for name in ("meter_day_rollup", *names):
+            replace_folder(spark, f"{base}/{name}", lambda path, name=name: move(spark, f"{building}/{name}", path))
+    finally:
+        delete(spark, building)
+    return {name: f"{base}/{name}" for name in names}

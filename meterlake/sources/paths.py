@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 
@@ -25,3 +28,25 @@ def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
     fs, hadoop_path = _opened(spark, path)
     status = fs.getFileStatus(hadoop_path)
     return status.getLen(), status.getModificationTime()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, hadoop_path = _opened(spark, source)
+    _, to = _opened(spark, target)
+    if not fs.rename(hadoop_path, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside ``path``, and take its place only when complete. A failed write leaves the old folder."""
+    path = path.rstrip("/")
+    following, former = (f"{path}__{label}-{uuid.uuid4().hex}" for label in ("next", "old"))
+    try:
+        write(following)
+    except BaseException:
+        delete(spark, following)
+        raise
+    if exists(spark, path):
+        move(spark, path, former)
+    move(spark, following, path)
+    delete(spark, former)

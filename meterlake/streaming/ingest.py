@@ -9,19 +9,11 @@ stream of any number of batches ends in the table that one batch load gives.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from meterlake.operators.clean import clean, dedupe, derive, project
-from meterlake.schema import PARTITION_KEYS, RAW_STRINGS
-from meterlake.sinks.tables import write_partitioned
-from meterlake.sources.files import read_processed
-from meterlake.sources.paths import delete, exists
-
-_DERIVED = ("event_date", "communication_lag_minutes", "issue_count", "health_status", *PARTITION_KEYS)
-
-# A batch that touches more days than this finds them with a join instead of a list.
-MAX_LISTED_DAYS = 1000
+from meterlake.schema import RAW_STRINGS
+from meterlake.sinks.merging import merge_delivery
+from meterlake.sources.paths import delete
 
 
 def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -33,42 +25,10 @@ def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.csv(path)
 
 
-def _touched_days(existing: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The stored rows of the days in ``fresh``, read by partition."""
-    days = fresh.select(*PARTITION_KEYS).distinct()
-    listed = days.limit(MAX_LISTED_DAYS + 1).collect()
-    if len(listed) > MAX_LISTED_DAYS:
-        return existing.join(days, list(PARTITION_KEYS), "left_semi")
-    touched = F.lit(False)
-    for year, month, day in listed:
-        touched = touched | (
-            (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-        )
-    return existing.filter(touched)
-
-
 def merge_batch(raw: DataFrame, batch_id: int, target: str, staging: str, lag_mode: str = "elapsed") -> None:
-    """Merge one micro-batch into ``target``.
-
-    The merged days are complete under ``staging`` before any day of the target
-    is replaced. If the job dies in between, the replayed batch finds the
-    finished staging folder and only repeats the replacement.
-    """
-    spark = raw.sparkSession
-    merged_path = f"{staging.rstrip('/')}/batch-{batch_id}"
-    if not exists(spark, f"{merged_path}/_SUCCESS"):
-        fresh = clean(raw, lag_mode=lag_mode)
-        if exists(spark, target):
-            landed = f"{staging.rstrip('/')}/fresh-{batch_id}"
-            fresh.write.mode("overwrite").parquet(landed)
-            fresh = spark.read.parquet(landed)
-            stored = _touched_days(read_processed(spark, target), fresh)
-            both = stored.unionByName(fresh).drop(*_DERIVED)
-            fresh = both.transform(dedupe).transform(derive, lag_mode).transform(project)
-        write_partitioned(fresh, merged_path, "rebuild")
-    write_partitioned(read_processed(spark, merged_path), target, balance=False)
-    for label in ("batch", "fresh"):
-        delete(spark, f"{staging.rstrip('/')}/{label}-{batch_id - 1}")
+    """Merge one micro-batch into ``target``; the staged copy of the batch before it is no longer needed."""
+    merge_delivery(raw, target, staging, batch_id, lag_mode)
+    delete(raw.sparkSession, f"{staging.rstrip('/')}/batch-{batch_id - 1}")
 
 
 def ingest(

@@ -32,7 +32,7 @@ def add(name: str, query: str, *extra: str, **options) -> None:
 
 WHOLE_TABLE = "SELECT * FROM readings"
 for key in ("s01_csv_scan", "s02_csv_sniffed", "s03_parquet_scan", "s04_source_choice",
-            "s07_partitioned_sink", "s14_fixed_projection", "s17_arriving_files"):
+            "s07_partitioned_sink", "s14_fixed_projection", "s17_arriving_files", "s09_merge_same_day"):
     add(key, WHOLE_TABLE)
 ORACLE_SQL["s05_missing_columns"] = over_readings(
     """SELECT * REPLACE (0.0::DOUBLE AS rssi, 'Unknown' AS firmware_version, false AS signal_issue,
@@ -61,13 +61,12 @@ add("s12_full_refresh", VIEW_SQL["health_by_status"])
 VIEW_COUNTS = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS view_name, COUNT(*) AS row_count FROM {name}" for name in VIEW_SQL
 )
-for key in ("s13_view_registry", "k12_view_presence"):
+for key in ("s13_view_registry", "k12_view_presence", "s18_materialised_views"):
     add(key, VIEW_COUNTS, *(view_cte(name) for name in VIEW_SQL))
 ORACLE_SQL["s15_schema_preview"] = over_filled(
     """SELECT battery_status, firmware_version, COUNT(*) AS readings, COUNT(timestamp) AS timed, MIN(voltage) AS lowest_voltage
        FROM filled GROUP BY battery_status, firmware_version"""
 )
-add("s18_materialised_views", VIEW_SQL["state_health_summary"])
 
 # Cleaning, predicates, scalars.
 
@@ -291,7 +290,7 @@ for n, column in enumerate(("total_meters", "healthy", "warning", "critical"), s
 
 
 def chart(name: str, view: str, groupby: str, metrics: str, order: str) -> None:
-    add(name, f"SELECT {groupby}, {metrics} FROM {view} GROUP BY {groupby} ORDER BY {order}, {groupby} LIMIT 1000", view_cte(view))
+    add(name, f"SELECT {groupby}, {metrics} FROM {view} GROUP BY {groupby} ORDER BY {order}, {groupby}", view_cte(view))
 
 
 def sums(*columns: str) -> str:
@@ -421,7 +420,7 @@ add(
 )
 add(
     "e18_worst_signal_devices",
-    f"SELECT meter_id, {AREA}, rssi, last_communication_time, health_status FROM readings ORDER BY rssi, meter_id, timestamp LIMIT 50",
+    f"SELECT meter_id, {AREA}, rssi, last_communication_time, health_status FROM readings ORDER BY rssi, meter_id, timestamp",
 )
 add("e21_voltage_issues_by_state", issues_by("state", "voltage_issue", "voltage_violations"))
 add("e23_electrical_devices", "SELECT meter_id, voltage, current, power_factor, " + ", ".join(FLAGS) + " FROM readings")

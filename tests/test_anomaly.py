@@ -71,6 +71,12 @@ def test_group_outliers(spark):
     assert found["only"].z_score is None
 
 
+def test_group_outliers_keep_rows_without_a_group(spark):
+    df = spark.createDataFrame([(None, "a", 1.0), (None, "b", 3.0), ("g", "c", None)], "discom string, feeder_id string, kwh double")
+    found = {r.feeder_id: r for r in group_outliers(df, "discom", "kwh").collect()}
+    assert len(found) == 3 and found["a"].mean_value == found["b"].mean_value == 2.0
+
+
 def test_severity(spark):
     rows = [(3, 0.0, 90), (0, 181.0, 10), (2, 0.0, 90), (0, 181.0, 90), (1, None, 90), (0, 0.0, 10), (0, 180.0, 20), (None, None, None)]
     df = spark.createDataFrame(rows, "issue_count int, communication_lag_minutes double, battery_pct int")

@@ -69,6 +69,15 @@ def test_restrict_keeps_each_reading_once(spark, table):
     assert restrict(table, grants, "eve").count() == 0
 
 
+def test_charts_show_every_group(spark):
+    from pyspark.sql import functions as F
+
+    from meterlake.operators.charts import chart_query
+
+    days = spark.range(1830).select((F.col("id") % 366).alias("day"), (F.col("id") % 5).alias("state"), F.col("id").alias("n"))
+    assert chart_query(days, ("day", "state"), (("sum", "n"),)).count() == 1830
+
+
 def test_chart_limit_and_time_range(table):
     full = CHARTS["daily_consumption"].query(table)
     assert CHARTS["daily_consumption"].query(table, limit=7).count() == 7

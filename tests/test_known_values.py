@@ -18,9 +18,3 @@ def test_fleet_summary(spark, sf_dir):
     table = readings(spark, sf_dir)
     assert table.count() == ROWS[sf_dir]
     assert tuple(fleet_summary(table).first()) == EXPECTED[sf_dir]
-
-
-def test_published_profile_adds_up():
-    assert 40_134 + 9_848 + 18 == 50_000
-    assert 48_458 + 1_516 + 26 == 50_000
-    assert 13_916 + 13_901 + 9_207 + 9_001 + 3_975 == 50_000

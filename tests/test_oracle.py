@@ -5,9 +5,8 @@ from making import SF_SMALL
 
 import __spark_entry__ as contract
 from comparing import connect, differences
-
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from meterlake.plans.catalogue import QUERIES
+from meterlake_oracle.catalogue import ORACLE_SQL as ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

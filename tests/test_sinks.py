@@ -143,3 +143,16 @@ def test_load_preview_and_checks(spark, tmp_path):
         assert_views(spark, ["t_raw", "t_none"])
     with pytest.raises(LookupError):
         files.read_table(spark, "t_none")
+
+
+def test_deliveries_of_one_day_add_up(spark, tmp_path):
+    parts = [str(tmp_path / name) for name in ("a", "b")]
+    raw(spark, day(1, meter_id="M1"), day(1, meter_id="M2")).write.option("header", True).csv(parts[0])
+    raw(spark, day(1, meter_id="M3"), day(1, meter_id="M1")).write.option("header", True).csv(parts[1])
+    for target, table in ((str(tmp_path / "t"), None), (str(tmp_path / "u"), "t_merged")):
+        for part in parts:
+            summary = load(spark, target, csv=part, table=table).first()
+        assert (summary.row_count, summary.meters) == (3, 3)
+        assert load(spark, target, csv=parts[1], table=table, replace_days=True).first().meters == 2
+        assert load(spark, target, csv=parts[0], table=table, rebuild=True).first().meters == 2
+    assert not [p.name for p in tmp_path.iterdir() if "__" in p.name]

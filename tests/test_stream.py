@@ -72,8 +72,7 @@ def test_replay_after_a_lost_partition_restores_it(spark, tmp_path):
     assert records(read_processed(spark, target)) == before
 
 
-def test_many_touched_days(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "MAX_LISTED_DAYS", 1)
+def test_many_touched_days(spark, tmp_path):
     target, staging = str(tmp_path / "table"), str(tmp_path / "staging")
     merge_batch(raw(spark, *rows(1, 2, 3, 4)), 0, target, staging)
     merge_batch(raw(spark, *rows(6, 7)), 1, target, staging)

@@ -122,3 +122,23 @@ def test_register_and_materialise(spark, table, tmp_path):
     paths = views.materialise_views(table, str(tmp_path / "extracts"))
     for name, path in paths.items():
         assert records(spark.read.parquet(path)) == records(views.VIEWS[name](table)), name
+
+
+def test_failed_refresh_leaves_the_old_extracts(spark, table, tmp_path, monkeypatch):
+    base = str(tmp_path / "extracts")
+    before = views.materialise_views(table, base)
+    rows = spark.read.parquet(before["feeder_risk"]).count()
+    monkeypatch.setitem(views.VIEWS, "feeder_risk", lambda df: df.select(F.raise_error(F.lit("broken")).cast("int").alias("x")))
+    with pytest.raises(Exception, match="broken"):
+        views.materialise_views(table.limit(1), base)
+    assert spark.read.parquet(before["feeder_risk"]).count() == rows
+    assert [p.name for p in tmp_path.iterdir()] == ["extracts"]
+
+
+def test_values_beyond_exact_sums_are_an_error(spark):
+    from meterlake.functions.measures import exact_sum
+
+    df = spark.createDataFrame([(9.1e12,), (-9.1e12,), (0.25,)], "x double")
+    assert df.agg(exact_sum("x")).first()[0] == 0.25
+    with pytest.raises(Exception, match="beyond"):
+        spark.createDataFrame([(1e13,), (1e13,)], "x double").agg(exact_sum("x")).collect()
