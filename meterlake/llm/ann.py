@@ -216,6 +216,8 @@ def best_of_buckets(q: np.ndarray, own: np.ndarray, wanted: list[np.ndarray], x:
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     who, row, score = (np.concatenate(c) for c in zip(*found))
+    if not len(who):  # all met only themselves
+        return who, row, score
     order = np.lexsort((ids[row], -score, who))
     who, row, score = who[order], row[order], score[order]
     first = np.searchsorted(who, who)
