@@ -10,6 +10,7 @@ probability. Nothing but the text enters a score.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ LEXICON_RATIO = 4.0
 STEMS = (4, 5, 6)
 NEAR_WORDS = 6
 PARTS = 4  # one of so many labelled texts calibrates, the others train
+FOLDS = 3  # lexica for training texts leave out one of so many parts
 
 # Words that address the reader.
 SECOND_PERSON = (
@@ -250,17 +252,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINI
     toxic, clean = by_class.get(1, 0), by_class.get(0, 0)
     if not toxic or not clean:
         return ToxicityModel([], None, None, float(toxic > 0))
-    # The lexicon sees the training part only, else its entries would look better in the calibration part than they are.
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS))
-    fit_part, rest = training.where(part > 0), training.where(part == 0)
-    counts = {r.toxic: r["count"] for r in fit_part.groupBy("toxic").count().collect()}
-    if len(counts) < 2:
-        fit_part, counts = training, by_class
-    lexicon = learn_lexicon(fit_part, counts[1], counts[0])
-    rows = settled(with_features(training.withColumn("label", F.col("toxic").cast("double")), lexicon, ["doc_id", "label"]))
-    learner = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=4, stepSize=0.3, seed=7, subsamplingRate=1.0)
-    trees = learner.fit(rows.where(part > 0) if len(counts) == 2 and fit_part is not training else rows)
-    scored = trees.transform(rows.where(part == 0)).withColumn("p", vector_to_array("probability")[1])
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))
+    training = training.select("doc_id", "text", "toxic", F.col("toxic").cast("double").alias("label"), part.alias("part"), fold.alias("fold"))
+    fit_part, rest = training.where("part > 0"), training.where("part = 0")
+
+    def lexicon_of(rows: DataFrame) -> list[tuple[int, bool, float]]:
+        n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+        return learn_lexicon(rows, n.get(1, 0), n.get(0, 0)) if n.get(1) else []
+
+    # A text's own label must not shape its features, else the trees would trust the lexicon too much: the lexicon
+    # for each fold of the training texts is learned from the other folds.
+    described = [with_features(fit_part.where(F.col("fold") == f), lexicon_of(fit_part.where(F.col("fold") != f)), ["label"]) for f in range(FOLDS)]
+    rows = settled(reduce(DataFrame.unionByName, described))
+    lexicon = lexicon_of(fit_part)
+    if rows.groupBy("label").count().count() < 2:
+        return ToxicityModel([], None, None, toxic / (toxic + clean))
+    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=4, stepSize=0.3, seed=7).fit(rows)
+    rows = settled(with_features(rest, lexicon, ["label"]))
+    scored = trees.transform(rows).withColumn("p", vector_to_array("probability")[1])
     if scored.groupBy("label").count().count() < 2:
         return ToxicityModel(lexicon, trees, None, 0.0)
     curve = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="curve").fit(scored.select("p", "label"))
