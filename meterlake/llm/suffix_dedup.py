@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm import arrays
-from meterlake.llm.shared import packed, settled
+from meterlake.llm.shared import marked, mask_of, masked, packed, settled
 
 LEAST_WORDS = 50
 GRAM = 6
@@ -27,6 +27,7 @@ HEAD = LEAST_WORDS - WINDOW + 1
 TAIL = 16
 
 KEY = "doc_id long, r1 long"
+SPANS = "array<struct<begin:int,end:int>>"
 PLACE = "struct<none:boolean,doc_id:bigint,r1:bigint,at:int>"
 
 
@@ -142,8 +143,12 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     found = suffixes(source, least_words).withColumn(
         "place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "at")
     )
-    heads = found.groupBy("head").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
-    repeated = settled(found.select("head", "tail", "lead", "place").join(heads.select("head", "first"), "head"))
+    # Few heads repeat. A mask of fixed size keeps most other suffixes out of the second shuffle.
+    heads = settled(found.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head"))
+    many = masked(found.select("head", "tail", "lead", "place"), "head", mask_of(heads, "head")).join(heads, "head", "left_semi")
+    many = settled(many)
+    firsts = many.groupBy("head").agg(F.min("place").alias("first"))
+    repeated = settled(many.join(firsts, "head"))
     # In one text a passage repeats only beyond its own end.
     apart = "late.doc_id is distinct from early.doc_id or late.r1 <> early.r1 or late.at - early.at >= " + str(least_words)
     lines = (
@@ -155,19 +160,19 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     lines = settled(lines)
     wanted = lines.select("doc_id", "r1").unionByName(lines.select(F.col("other_id").alias("doc_id"), F.col("o1").alias("r1"))).distinct()
     same = lambda a, b: (F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))) & (F.col(f"{a}.r1") == F.col(f"{b}.r1"))
-    texts = source.alias("s").join(wanted.alias("w"), same("s", "w"), "left_semi").select("doc_id", "r1", "text")
-    held = settled(_word_lists(texts).dropDuplicates(["doc_id", "r1"]))
-    late, early = held.alias("a"), held.select(F.col("doc_id").alias("other_id"), F.col("r1").alias("o1"), F.col("words").alias("other")).alias("b")
+    wanted = settled(wanted)
+    texts = masked(source.select("doc_id", "r1", "text"), "r1", mask_of(wanted, "r1"))
+    texts = texts.alias("s").join(wanted.alias("w"), same("s", "w"), "left_semi").select("doc_id", "r1", "text").distinct()
+    held = settled(texts)
+    late, early = held.alias("a"), held.select(F.col("doc_id").alias("other_id"), F.col("r1").alias("o1"), F.col("text").alias("other")).alias("b")
     joined = lines.alias("l").join(late, same("l", "a")).join(
         early, (F.col("l.o1") == F.col("b.o1")) & F.col("l.other_id").eqNullSafe(F.col("b.other_id"))
     )
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.pieces(batches):
             row, begin, end = [], [], []
-            lists = [batch.column(c) for c in ("words", "other")]
-            flat = [np.asarray(x.flatten()) for x in lists]
-            cut = [np.append(0, np.cumsum(np.asarray(x.value_lengths()))) for x in lists]
+            flat, cut = zip(*(text_words(batch.column(c)) for c in ("text", "other")))
             hits = batch.column("hits")
             shifts, ats = (hits.flatten().field(c).to_numpy() for c in ("shift", "at"))
             at = np.append(0, np.cumsum(np.asarray(hits.value_lengths())))
@@ -180,7 +185,7 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
             columns = [batch.column(c).take(pa.array(row, pa.int64())) for c in ("doc_id", "r1")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names=["doc_id", "r1", "begin", "end"])
 
-    return joined.select("l.doc_id", "l.r1", "hits", "words", "other").mapInArrow(extend, f"{KEY}, begin int, end int")
+    return joined.select("l.doc_id", "l.r1", "hits", "text", "other").mapInArrow(extend, f"{KEY}, begin int, end int")
 
 
 def extended(a: np.ndarray, b: np.ndarray, shifts: np.ndarray, ats: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -201,16 +206,11 @@ def extended(a: np.ndarray, b: np.ndarray, shifts: np.ndarray, ats: np.ndarray,
     return out
 
 
-def _word_lists(rows: DataFrame) -> DataFrame:
-    def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
-            data, offsets = arrays.column_bytes(batch.column("text"))
-            starts, ends, owner = arrays.words(data, offsets)
-            hashes = arrays.as_long(arrays.span_hashes(data, starts, ends))
-            lists = pa.ListArray.from_arrays(pa.array(arrays.bounds(owner, batch.num_rows), pa.int32()), pa.array(hashes))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("r1"), lists], names=["doc_id", "r1", "words"])
-
-    return rows.mapInArrow(hash_words, f"{KEY}, words array<bigint>")
+def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts one behind another, and where each text's begin."""
+    data, offsets = arrays.column_bytes(texts)
+    starts, ends, owner = arrays.words(data, offsets)
+    return arrays.span_hashes(data, starts, ends), arrays.bounds(owner, len(texts))
 
 
 def cut_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[bytes, int]:
@@ -241,9 +241,13 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     spans = repeated_spans(source, least_words).groupBy("doc_id", "r1").agg(
         F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")
     )
-    joined = source.alias("s").join(
+    spans = settled(spans)
+    rows = marked(source, "r1", mask_of(spans, "r1"))
+    # Only rows that may lose words are joined, and so shuffled.
+    touched = rows.where("may").alias("s").join(
         spans.alias("c"), F.col("s.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("s.r1") == F.col("c.r1")), "left"
     ).select("s.row", "s.text", "c.spans")
+    rest = rows.where("not may").select("row", "text", F.lit(0).cast("long").alias("words_cut"), F.lit(None).cast(SPANS).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,5 +264,4 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
                 [batch.column("row"), pa.array(out, pa.string()), pa.array(count, pa.int64()), spans], names=["row", "text", "words_cut", "spans"]
             )
 
-    schema = joined.select("row", "text", F.lit(0).cast("long").alias("words_cut"), "spans").schema
-    return joined.mapInArrow(cut, schema)
+    return touched.mapInArrow(cut, rest.schema).unionByName(rest)
