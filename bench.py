@@ -11,8 +11,10 @@ from pathlib import Path
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from meterlake.plans import catalogue  # noqa: E402
+from meterlake.plans.load import load  # noqa: E402
 from meterlake.plans.views import materialise_views  # noqa: E402
 from meterlake.session import build_session, fresh_path  # noqa: E402
+from meterlake.sources.paths import delete  # noqa: E402
 
 HEADLINE = [
     *(name for name in catalogue.QUERIES if name[0] in "vqn" and name[1].isdigit() and "x_" not in name),
@@ -73,6 +75,11 @@ def main() -> None:
     seconds["load"] = timed(lambda: catalogue.readings(spark, sf_dir))
     for name in HEADLINE:
         seconds[name] = timed(lambda: run(catalogue.QUERIES[name](spark, sf_dir)))
+    csv, base = catalogue.raw_csv(spark, sf_dir), fresh_path(spark, "bench-load")
+    seconds["load_csv"] = timed(lambda: load(spark, f"{base}/table", csv=csv))
+    seconds["load_same_days_again"] = timed(lambda: load(spark, f"{base}/table", csv=csv))
+    delete(spark, base)
+    seconds["s17_arriving_files"] = timed(lambda: run(catalogue.QUERIES["s17_arriving_files"](spark, sf_dir)))
     table = catalogue.readings(spark, sf_dir)
     seconds["materialise_all_views"] = timed(lambda: materialise_views(table, fresh_path(spark, "bench")))
     rows = table.count()
