@@ -133,7 +133,9 @@ def _matches(repeated: DataFrame) -> DataFrame:
         rows = repeated.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
         pairs = rows.select("head", "place").mapInArrow(compare, f"x {PLACE}, y {PLACE}")
         near = pairs if near is None else near.unionByName(pairs)
-    return near.unionByName(repeated.select(F.col("place").alias("x"), F.col("first").alias("y"))).select(
+    firsts = repeated.groupBy("head").agg(F.min("place").alias("y"))
+    first = repeated.select("head", F.col("place").alias("x")).join(firsts, "head").where("x <> y")
+    return near.unionByName(first.select("x", "y")).select(
         F.greatest("x", "y").alias("late"), F.least("x", "y").alias("early")
     )
 
@@ -147,12 +149,10 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     heads = settled(found.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head"))
     many = masked(found.select("head", "tail", "lead", "place"), "head", mask_of(heads, "head")).join(heads, "head", "left_semi")
     many = settled(many)
-    firsts = many.groupBy("head").agg(F.min("place").alias("first"))
-    repeated = settled(many.join(firsts, "head"))
     # In one text a passage repeats only beyond its own end.
     apart = "late.doc_id is distinct from early.doc_id or late.r1 <> early.r1 or late.at - early.at >= " + str(least_words)
     lines = (
-        _matches(repeated)
+        _matches(many)
         .where(apart)
         .groupBy(F.col("late.doc_id").alias("doc_id"), F.col("late.r1").alias("r1"), F.col("early.doc_id").alias("other_id"), F.col("early.r1").alias("o1"))
         .agg(F.collect_set(F.struct((F.col("late.at") - F.col("early.at")).alias("shift"), F.col("late.at").alias("at"))).alias("hits"))
