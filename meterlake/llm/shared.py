@@ -48,18 +48,25 @@ def components(links: DataFrame) -> DataFrame:
     the published MapReduce algorithm: every node hands its neighbours the smallest one it knows.
     Minima are aggregated before any shuffle, and joins on a hot node are left to the
     skew handling of adaptive execution. The number of rounds grows with the logarithm of the nodes.
+    It ends when the edges are separate stars: no `lo` is a `hi`, and every `hi` has one `lo`.
     """
     edges = settled(
         links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )
-    while not edges.join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi").isEmpty():
+    while not _unsettled(edges).isEmpty():
         edges = settled(_small_star(_large_star(edges)))
     roots = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
     return roots.unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
+def _unsettled(edges: DataFrame) -> DataFrame:
+    """Nodes that have several smaller neighbours, or smaller as well as larger ones."""
+    several = edges.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1").select("hi")
+    return several.unionByName(edges.select("hi").join(edges.select(F.col("lo").alias("hi")), "hi", "left_semi"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))

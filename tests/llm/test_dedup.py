@@ -118,6 +118,30 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in (100, 101, 102)}, **{i: 300 for i in range(300, 350)}}
 
 
+def test_components_equal_plain_union_find(spark):
+    from random import Random
+
+    random = Random(11)
+    graphs = [[(1, 5), (2, 5)], [(5, 1), (3, 1), (6, 2), (3, 2)]]  # V-shaped links, and links that settle late
+    for _ in range(60):  # stars around the largest node, stars around any node, random graphs
+        graphs.append([(leaf, 9) for leaf in random.sample(range(9), random.randint(2, 6))])
+        nodes = random.sample(range(10), random.randint(3, 7))
+        graphs.append([(nodes[0], leaf) for leaf in nodes[1:]])
+        size = random.randint(3, 12)
+        graphs.append([(random.randrange(size), random.randrange(size)) for _ in range(random.randint(2, size))])
+    links = [(100 * g + a, 100 * g + b) for g, graph in enumerate(graphs) for a, b in graph]
+    union = Union()
+    for a, b in links:
+        if a != b:
+            union.join(a, b)
+    # Each graph by itself, so that one that is not settled doesn't give the others further rounds.
+    for graph in ([(1, 5), (2, 5)], [(5, 1), (3, 1), (6, 2), (3, 2)]):
+        got = {r.node: r.root for r in components(spark.createDataFrame(graph, "a long, b long")).collect()}
+        assert set(got.values()) == {1}
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: union.find(x) for x in list(union.up)}
+
+
 def test_near_dedup_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     kept = keep_one(odd)
