@@ -11,7 +11,7 @@ by their exact inner product.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,10 +26,15 @@ WIDTH = 1.6
 RECALL = 0.95
 #: Vectors and queries that the neighbour distance is estimated from.
 SAMPLE_ROWS, SAMPLE_QUERIES = 4_000, 400
+#: Queries of the sample whose visits are tried out.
+PROBED_QUERIES = 128
 #: Mean size of a bucket that the number of projections aims at.
 BUCKET_ROWS = 128
-#: Cells of a table that a query may visit. Queries that find too few neighbours are searched exhaustively.
+#: Cells of a table that a query may visit. Queries whose chances don't add up in so many cells, or that find
+#: too few neighbours, are searched exhaustively.
 PROBES = 512
+#: Share of the sampled queries that may be searched exhaustively before fewer projections are taken.
+SHORT_QUERIES = 0.05
 #: Rows of a table that one task holds, and above which a bucket is split.
 SHARD_ROWS, SPLIT_ROWS = 65_536, 8_192
 QUERY_ROWS = 4_096
@@ -83,7 +88,10 @@ class Index:
         return arrays.as_long(code)
 
     def probes(self, v: np.ndarray) -> list[list[np.ndarray]]:
-        """Buckets to visit, best first, for each query and table."""
+        """Buckets to visit, best first, for each query and table.
+
+        None at all for a query whose best PROBES cells of all tables don't reach the wanted recall.
+        """
         value = self.projected(v, query=True)
         shift = self.projections()[1].reshape(self.tables, self.hashes)
         spread = np.sqrt(max(1e-12, 1 - self.cosine**2))
@@ -105,10 +113,19 @@ class Index:
                 total, cells = np.take_along_axis(total, best, 2), np.take_along_axis(cells, best[..., None], 2)
         order = np.argsort(-total, axis=2, kind="stable")
         total, cells = np.take_along_axis(total, order, 2), np.take_along_axis(cells, order[..., None], 2)
-        needed = (np.cumsum(total, axis=2) < self.chance).sum(axis=2) + 1
+        reached = np.cumsum(total, axis=2)
+        needed = np.minimum((reached < self.chance).sum(axis=2) + 1, total.shape[2])
+        # Tables that reach more than their part make up for others that reach less.
+        missed = np.prod(1 - np.take_along_axis(reached, needed[..., None] - 1, 2)[..., 0], axis=1)
+        needed[missed > (1 - self.chance) ** self.tables + 1e-9] = 0
         codes = self.codes(cells)
         return [[codes[i, t, : needed[i, t]] for t in range(self.tables)] for i in range(len(v))]
 
+    def short(self, v: np.ndarray) -> float:
+        """Share of the queries that `probes` gives nothing to visit."""
+        parts = [self.probes(v[a : a + 16]) for a in range(0, len(v), 16)]
+        return float(np.mean([not len(tables[0]) for part in parts for tables in part]))
+
 
 def normal(x: np.ndarray) -> np.ndarray:
     """Normal distribution function, to 1e-4: the order of probes needs no more."""
@@ -119,6 +136,7 @@ def fit_index(vectors: DataFrame, k: int, tables: int = TABLES, width: float = W
     """Choose the number of projections from the row count, and the visits from a bounded sample.
 
     The distance of the kth neighbour among all rows is the quantile k / n of the distances in the sample.
+    Projections are taken away while more than SHORT_QUERIES of the sample can't reach the recall in PROBES cells.
     """
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     facts = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dims"), F.max(norm).alias("norm")).first()
@@ -137,7 +155,10 @@ def fit_index(vectors: DataFrame, k: int, tables: int = TABLES, width: float = W
     cosine = np.sort(cosine[~np.eye(len(q), len(x), dtype=bool)])
     at = len(cosine) - 1 - int(len(cosine) * min(1.0, k / facts.n))
     near = float(np.clip(cosine[max(0, at)], 0.05, 0.999))
-    return Index(facts.dims, facts.norm, tables, hashes, width, near, index.chance)
+    index = replace(index, cosine=near)
+    while index.hashes > 1 and index.short(q[:PROBED_QUERIES]) > SHORT_QUERIES:
+        index = replace(index, hashes=index.hashes - 1)
+    return index
 
 
 def _hashed(vectors: DataFrame, index: Index) -> DataFrame:
@@ -262,7 +283,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
 
     Both frames hold vec_id and v (see `usable_vectors`). A query's own id is no candidate. Ties go to the smaller
     vec_id. Shorter vectors count as filled up with zeros. Every row is in every table; large buckets are split over
-    tasks. A query that finds fewer than k rows, though there are more, is compared with all rows in blocks.
+    tasks. A query that can't reach the recall in PROBES cells a table, or that finds fewer than k rows, though there are
+    more, is compared with all rows in blocks.
     """
     vectors, queries = settled(vectors), settled(queries)
     index = index or fit_index(vectors, k)

@@ -110,3 +110,25 @@ def test_queries_that_find_too_few_are_searched_exhaustively(spark):
     got = ann.nearest(vectors, vectors.where("vec_id = 0"), 20).collect()
     x = {i: np.array(v, np.float32).astype(np.float64) for i, v in far}
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == sorted(x, key=lambda i: (x[i][0], i))[:20]
+
+
+def test_queries_beyond_the_probe_budget_keep_their_recall(spark, monkeypatch):
+    random = np.random.default_rng(9)
+    x = random.standard_normal((3000, 24)).astype(np.float32)
+    vectors = ann.usable_vectors(made(spark, [(i, [float(c) for c in v]) for i, v in enumerate(x)]))
+    x = x.astype(np.float64)
+    fitted = ann.fit_index(vectors, 10)
+    monkeypatch.setattr(ann, "PROBES", 1)
+    assert ann.fit_index(vectors, 10).hashes < fitted.hashes
+    monkeypatch.setattr(ann, "PROBES", 4)
+    index = ann.replace(fitted, hashes=9)  # too many for four cells
+    assert index.short(x[:100]) > 0.5
+    got = {}
+    for r in ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), 10, index).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, 3000, 50):
+        order = [j for j in np.lexsort((np.arange(3000), -(x @ x[i]))) if j != i][:10]
+        assert len(got[i]) == 10
+        hits += len(got[i] & set(order))
+    assert hits >= 0.9 * 10 * 60
