@@ -2,9 +2,9 @@
 
 Of all word suffixes of all texts only those at minimiser positions are kept: positions whose word gram
 has the smallest hash of some window. Equal passages choose equal positions, so a passage that is long enough has
-a kept suffix near its begin in each of its copies. Suffixes are sorted by hashes of their
-words; each is compared with its neighbour in this order and with the first of its head in the corpus.
-Such matches are extended to both sides over the words of the two texts, and what
+a kept suffix near its begin in each of its copies. Suffixes are grouped by the hash of their first words, the head.
+The two places of a head meet; where a head has more places, all passages of the least length around it are
+looked up, and each meets its first place in the corpus. Such matches are extended to both sides over the words of the two texts, and what
 reaches the least length is cut from the later text.
 """
 
@@ -24,7 +24,6 @@ GRAM = 6
 WINDOW = 16
 #: Words that two suffixes must share: what a passage of the least length has from its first kept position on.
 HEAD = LEAST_WORDS - WINDOW + 1
-TAIL = 16
 
 KEY = "doc_id long, r1 long"
 SPANS = "array<struct<begin:int,end:int>>"
@@ -71,7 +70,10 @@ def minimisers(grams: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
 
 
 def suffixes(rows: DataFrame, least_words: int) -> DataFrame:
-    """Kept suffixes of all texts: hashes of the head, of what follows and of what stands before, and place."""
+    """Kept suffixes of all texts: hash of the head, hashes of the passages around it, and place.
+
+    Passage number i has the least length and begins i words before the head; null where the text doesn't reach.
+    """
     head_words = least_words - WINDOW + 1
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,20 +87,25 @@ def suffixes(rows: DataFrame, least_words: int) -> DataFrame:
             stop = begin[1:][owner[at]] if len(at) else at
             at, stop = at[at + head_words <= stop], stop[at + head_words <= stop]
             heads = range_hashes(words, at, at + head_words)
-            tails = range_hashes(words, at + head_words, np.minimum(at + head_words + TAIL, stop))
             row = owner[at]
-            lefts = range_hashes(words, np.maximum(at - TAIL, begin[row]), at)
+            start = at[:, None] - np.arange(WINDOW)
+            inside = (start >= begin[row][:, None]) & (start + least_words <= stop[:, None])
+            passages = np.zeros(start.shape, np.uint64)
+            passages[inside] = range_hashes(words, start[inside], start[inside] + least_words)
+            flat = pa.array(arrays.as_long(passages.ravel()), mask=~inside.ravel())
+            windows = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * WINDOW), flat)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(pa.array(arrays.as_long(x)) for x in (heads, tails, lefts)),
+                    pa.array(arrays.as_long(heads)),
+                    windows,
                     batch.column("doc_id").take(pa.array(row)),
                     batch.column("r1").take(pa.array(row)),
                     pa.array((at - begin[row]).astype(np.int32)),
                 ],
-                names=["head", "tail", "lead", "doc_id", "r1", "at"],
+                names=["head", "windows", "doc_id", "r1", "at"],
             )
 
-    return rows.select("doc_id", "r1", "text").mapInArrow(select, f"head long, tail long, lead long, {KEY}, at int")
+    return rows.select("doc_id", "r1", "text").mapInArrow(select, f"head long, windows array<long>, {KEY}, at int")
 
 
 def range_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -110,34 +117,20 @@ def range_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
 
 
 def _matches(repeated: DataFrame) -> DataFrame:
-    """Neighbours in suffix order and first places of the same head, as pairs of a later and an earlier place."""
+    """Pairs of a later and an earlier place, and `ahead`: words from the later place to a kept one.
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch]) if before is None else pa.concat_tables([before, pa.Table.from_batches([batch])])
-            rows = rows.combine_chunks()
-            before = rows.slice(rows.num_rows - 1)
-            head = rows.column("head").to_numpy()
-            same = np.flatnonzero(head[1:] == head[:-1])
-            if len(same):
-                place = rows.column("place").combine_chunks()
-                yield pa.RecordBatch.from_arrays([place.take(pa.array(same + 1)), place.take(pa.array(same))], names=["x", "y"])
-
-    # Sorting by range splits a head with many places over tasks; a neighbour lost at such a border is met through the first place.
-    near = None
-    for side in ("tail", "lead"):  # suffixes that go on alike, and those that are preceded alike
-        order = ["head", side, "place"]
-        rows = repeated.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-        pairs = rows.select("head", "place").mapInArrow(compare, f"x {PLACE}, y {PLACE}")
-        near = pairs if near is None else near.unionByName(pairs)
-    firsts = repeated.groupBy("head").agg(F.min("place").alias("y"))
-    first = repeated.select("head", F.col("place").alias("x")).join(firsts, "head").where("x <> y")
-    return near.unionByName(first.select("x", "y")).select(
-        F.greatest("x", "y").alias("late"), F.least("x", "y").alias("early")
-    )
+    The two places of a head that has no more meet directly. Places of other heads meet by the passages of the least
+    length around the head: each one with the first place of the same passage, whatever else shares the head.
+    """
+    direct = repeated.where("windows is null").select("head", "place")
+    ends = direct.groupBy("head").agg(F.max("place").alias("late"), F.min("place").alias("early"))
+    around = repeated.where("windows is not null").select("place", F.posexplode("windows").alias("ahead", "passage"))
+    begin = F.col("place").withField("at", F.col("place.at") - F.col("ahead"))
+    around = around.where("passage is not null").select("passage", begin.alias("late"), "ahead").repartition("passage")
+    firsts = around.groupBy("passage").agg(F.min("late").alias("early"), F.max("late").alias("last"))
+    firsts = firsts.where("early <> last").select("passage", "early")
+    met = around.join(firsts, "passage").select("late", "early", "ahead")
+    return ends.select("late", "early", F.lit(0).alias("ahead")).unionByName(met).where("late <> early")
 
 
 def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -146,16 +139,19 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
         "place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "at")
     )
     # Few heads repeat. A mask of fixed size keeps most other suffixes out of the second shuffle.
-    heads = settled(found.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head"))
-    many = masked(found.select("head", "tail", "lead", "place"), "head", mask_of(heads, "head")).join(heads, "head", "left_semi")
-    many = settled(many)
+    heads = settled(found.groupBy("head").agg(F.count("*").alias("n")).where("n > 1"))
+    many = masked(found.select("head", "windows", "place"), "head", mask_of(heads, "head"))
+    # Only heads of more than two places need their passages.
+    many = marked(many, "head", mask_of(heads.where("n > 2"), "head"))
+    many = many.select("head", "place", F.when(F.col("may"), F.col("windows")).alias("windows")).join(heads, "head")
+    many = settled(many.select("head", "place", F.when(F.col("n") > 2, F.col("windows")).alias("windows")))
     # In one text a passage repeats only beyond its own end.
     apart = "late.doc_id is distinct from early.doc_id or late.r1 <> early.r1 or late.at - early.at >= " + str(least_words)
     lines = (
         _matches(many)
         .where(apart)
         .groupBy(F.col("late.doc_id").alias("doc_id"), F.col("late.r1").alias("r1"), F.col("early.doc_id").alias("other_id"), F.col("early.r1").alias("o1"))
-        .agg(F.collect_set(F.struct((F.col("late.at") - F.col("early.at")).alias("shift"), F.col("late.at").alias("at"))).alias("hits"))
+        .agg(F.collect_set(F.struct((F.col("late.at") - F.col("early.at")).alias("shift"), (F.col("late.at") + F.col("ahead")).alias("at"))).alias("hits"))
     )
     lines = settled(lines)
     wanted = lines.select("doc_id", "r1").unionByName(lines.select(F.col("other_id").alias("doc_id"), F.col("o1").alias("r1"))).distinct()

@@ -197,6 +197,26 @@ def test_planted_passages_are_cut_once(spark):
     assert got[3].text == rows[3][1].replace(f"{passage}  ", "")
 
 
+def test_passages_around_a_frequent_core_equal_brute_force(spark):
+    from random import Random
+
+    random = Random(12)
+    fresh = lambda n: [f"v{random.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for core in range(6):  # a core of many texts, whose rims are shared by two of them each
+        middle = fresh(random.choice((40, 44, 48)))
+        for _ in range(12):
+            left, right = fresh(2), fresh(52 - 2 - len(middle))
+            rows += [fresh(70) + left + middle + right + fresh(70) for _ in range(2)]
+    random.shuffle(rows)
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    expected = repeated_words(dict(rows))
+    got = {r.row.doc_id: r for r in cut_repeats(documents(spark, rows).repartition(4)).collect()}
+    assert sum(sum(gone) for _, gone in expected.values()) == 6 * 12 * 52
+    for i, (w, gone) in expected.items():
+        assert got[i].text.split() == [x for x, g in zip(w, gone) if not g], i
+
+
 def test_passages_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     cut = cut_repeats(odd)
