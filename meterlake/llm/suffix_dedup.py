@@ -185,23 +185,41 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
 
 
 def extended(a: np.ndarray, b: np.ndarray, shifts: np.ndarray, ats: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Stretches of a, at least so long, that b has `shift` words earlier around the given hits."""
+    """Stretches of a, at least so long, that b has `shift` words earlier around the given hits.
+
+    A shift is passed over only if the matches around its hits end inside of what other shifts have covered.
+    """
     out: list[tuple[int, int]] = []
     covered = np.zeros(len(a) + 1, bool)
     for shift in np.unique(shifts).tolist():
-        at = ats[shifts == shift]
-        if covered[at].all():
+        if not _reaches_beyond(a, b, shift, np.unique(ats[shifts == shift]), covered):
             continue
         first, last = max(0, shift), min(len(a), len(b) + shift)
         equal = a[first:last] == b[first - shift : last - shift]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], equal, [False]]).astype(np.int8)))
         for x, y in zip((edge[::2] + first).tolist(), (edge[1::2] + first).tolist()):
-            if y - x >= least:
+            if y - x >= least and not covered[x:y].all():
                 out.append((x, y))
                 covered[x:y] = True
     return out
 
 
+def _reaches_beyond(a: np.ndarray, b: np.ndarray, shift: int, at: np.ndarray, covered: np.ndarray) -> bool:
+    """Whether a hit is not covered, or matches up to a word next to the covered stretch it lies in."""
+    if not covered[at].all():
+        return True
+    bare = np.flatnonzero(~covered)  # the last one is the end of the text
+    after = np.searchsorted(bare, at)
+    for number in np.unique(after).tolist():
+        hits = at[after == number]
+        right, left = int(bare[number]), int(bare[number - 1]) if number else -1
+        for begin, end in ((int(hits[-1]), right + 1), (left, int(hits[0]) + 1)):
+            inside = begin >= max(0, shift) and end <= min(len(a), len(b) + shift)
+            if inside and np.array_equal(a[begin:end], b[begin - shift : end - shift]):
+                return True
+    return False
+
+
 def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts one behind another, and where each text's begin."""
     data, offsets = arrays.column_bytes(texts)

@@ -11,7 +11,7 @@ from meterlake.llm import arrays, near_dedup
 from meterlake.llm.line_dedup import dedup_lines, dropped_lines, similar_lines, line_rows
 from meterlake.llm.near_dedup import classify, keep_one
 from meterlake.llm.shared import components, packed, ship_package
-from meterlake.llm.suffix_dedup import cut_repeats
+from meterlake.llm.suffix_dedup import cut_repeats, extended
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -217,6 +217,17 @@ def test_passages_around_a_frequent_core_equal_brute_force(spark):
         assert got[i].text.split() == [x for x, g in zip(w, gone) if not g], i
 
 
+def test_a_rearranged_passage_is_followed_beyond_what_is_covered():
+    import numpy as np
+
+    p, r, other = np.arange(60), np.arange(100, 120), np.arange(200, 250)
+    late, early = np.concatenate([p, r]), np.concatenate([p[30:], r, other, p])
+    shifts, ats = np.array([-100, 30, 30]), np.array([5, 30, 45])
+    assert extended(late, early, shifts, ats, 50) == [(0, 60), (30, 80)]
+    # What ends inside of a covered stretch adds nothing.
+    assert extended(p, np.concatenate([p[:52], other, p]), np.array([-102, 0]), np.array([5, 5]), 50) == [(0, 60)]
+
+
 def test_passages_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     cut = cut_repeats(odd)
