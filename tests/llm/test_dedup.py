@@ -273,6 +273,36 @@ def test_lines_equal_brute_force(spark):
     assert cut > 200 and missed <= 0.01 * cut
 
 
+def lines_of(spark, texts):
+    return spark.createDataFrame([(x,) for x in sorted(set(texts))], "line string").selectExpr("xxhash64(line) as lh", "line")
+
+
+def linked_lines(lines):
+    """Component of each line, by the text of its smallest hash."""
+    held = {r.lh: r.line for r in lines.collect()}
+    roots = {r.node: r.root for r in components(similar_lines(lines, 0.8)).collect()}
+    return {line: roots.get(lh, lh) for lh, line in held.items()}
+
+
+def test_short_lines_with_one_edit_meet(spark):
+    from random import Random
+
+    random = Random(13)
+    pairs = []
+    while len(pairs) < 1500:
+        words = ["".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(random.randint(2, 9))) for _ in range(random.randint(1, 14))]
+        line, at = " ".join(words), random.randrange(len(words))
+        typo = random.randrange(len(line))
+        other = random.choice((line[:typo] + "Q" + line[typo + 1 :], " ".join(words[:at] + words[at + 1 :]), line + "!", line[1:]))
+        a, b = shingle_set(line), shingle_set(other)
+        if line != other and other.strip() and len(a & b) >= 0.8 * len(a | b):
+            pairs.append((line, other))
+    got = linked_lines(lines_of(spark, [x for pair in pairs for x in pair]))
+    for least, most in ((0, 20), (20, 40), (40, 60), (60, 200)):
+        some = [got[a] == got[b] for a, b in pairs if least <= len(a) < most]
+        assert len(some) > 50 and sum(some) >= 0.999 * len(some), (least, sum(some), len(some))
+
+
 def test_line_dedup_keeps_one_of_each_kind(spark):
     base = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone tower "
     base += "and the river below it carries boats with lanterns to the harbour of the quiet city"
