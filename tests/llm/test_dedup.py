@@ -303,6 +303,19 @@ def test_short_lines_with_one_edit_meet(spark):
         assert len(some) > 50 and sum(some) >= 0.999 * len(some), (least, sum(some), len(some))
 
 
+def test_pairs_in_a_family_of_unlike_lines_meet(spark):
+    from random import Random
+
+    random = Random(14)
+    mark = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    template, pairs = mark(64), []
+    for _ in range(150):  # lines that share a part with the whole family, and are similar to one other only
+        line = template + mark(26)
+        pairs.append((line, line[:-3] + mark(3)))
+    got = linked_lines(lines_of(spark, [x for pair in pairs for x in pair]))
+    assert all(got[a] == got[b] for a, b in pairs) and len(set(got.values())) == 150
+
+
 def test_line_dedup_keeps_one_of_each_kind(spark):
     base = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone tower "
     base += "and the river below it carries boats with lanterns to the harbour of the quiet city"
