@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterlake.llm.ann import nearest, usable_vectors
 from meterlake.llm.licenses import scan_licenses
 from meterlake.llm.line_dedup import dedup_lines
+from meterlake.llm.merkle import manifest
 from meterlake.llm.near_dedup import classify
 from meterlake.llm.packing import pack_documents
 from meterlake.llm.shared import ship_package
+from meterlake.llm.sql import ORACLE_SQL as ORACLE_SQL
 from meterlake.llm.suffix_dedup import cut_repeats
 from meterlake.llm.token_counts import count_tokens
 from meterlake.llm.topk import integer_vectors, top_k
@@ -74,6 +76,13 @@ def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 2 divides the id's checksum, the line feeds of the text are gone, and the proof has to notice."""
+    without_lines = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, without_lines)
+    return manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,8 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_toxicity,
         op10_threshold_topk,
+        op12_merkle_manifest,
     )
 }
-
-#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
