@@ -17,6 +17,9 @@ PIECE_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
+#: Base and prime of the two polynomials that name byte spans.
+_POLYNOMIALS = ((1_103_515_245, 2_147_483_647), (1_664_525_223, 2_147_483_629))
+_PRIME_POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +64,23 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
+def prime_powers(n: int, base: int, prime: int) -> np.ndarray:
+    """First n powers of the base modulo a prime below 2 to the 31st, by doubling."""
+    held = _PRIME_POWERS.get((base, prime))
+    if held is not None and len(held) >= n:
+        return held[:n]
+    size = max(n, PIECE_BYTES + (1 << 16))
+    out = np.ones(size, np.uint64)
+    done = 1
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    if size <= 16 * PIECE_BYTES:  # one huge text: don't keep its table
+        _PRIME_POWERS[base, prime] = out
+    return out[:n]
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (finaliser of a common integer hash)."""
     h = h ^ (h >> np.uint64(33))
@@ -71,14 +91,38 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes have equal hashes wherever they stand."""
+    """64-bit hash of each byte span; equal bytes have equal hashes wherever they stand.
+
+    Polynomials modulo two primes: unlike those modulo a power of two, they tell apart texts that alternate
+    two letters in doubling patterns.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(salt * 2 + 1)) * up[:-1], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mixed(h + (ends - starts).astype(np.uint64))
+    n = len(data)
+    values = data.astype(np.uint64) + np.uint64(salt * 2 + 1)
+    h = (ends - starts).astype(np.uint64) << np.uint64(7)
+    for base, prime in _POLYNOMIALS:
+        p = np.uint64(prime)
+        up, down = prime_powers(n, base, prime), prime_powers(n + 1, pow(base, -1, prime), prime)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * up % p, out=total[1:])
+        h = mixed(h ^ ((total[ends] - total[starts]) % p * down[starts] % p))
+    return h
+
+
+def equal_spans(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray
+) -> np.ndarray:
+    """For each pair of spans, in two arrays, whether their bytes agree."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    at = np.flatnonzero(same & (size > 0))
+    size = size[at]
+    differ = data[ragged(starts[at], size)] != other[ragged(other_starts[at], size)]
+    if differ.any():
+        wrong = np.searchsorted(np.cumsum(size), np.flatnonzero(differ), side="right")
+        same[at[wrong]] = False
+    return same
 
 
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from meterlake.llm.align import align_documents
 from meterlake.llm.ann import nearest, usable_vectors
+from meterlake.llm.langid import predict_languages
 from meterlake.llm.licenses import scan_licenses
 from meterlake.llm.line_dedup import dedup_lines
 from meterlake.llm.merkle import manifest
@@ -76,6 +78,11 @@ def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where 2 divides the id's checksum, the line feeds of the text are gone, and the proof has to notice."""
     without_lines = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
@@ -83,6 +90,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"), tampered)
 
 
+def op13_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_toxicity,
         op10_threshold_topk,
+        op11_token_alignment,
         op12_merkle_manifest,
+        op13_language_filters,
     )
 }

@@ -164,7 +164,7 @@ class Merger(SpanMemory):
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        vocab = spec["model"]["vocab"]
+        self.vocabulary = vocab = spec["model"]["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.specials = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
         left = np.array([vocab[a] for a, _ in pairs], np.int64)
