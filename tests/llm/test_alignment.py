@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from meterlake.llm import align, arrays, queries
 from meterlake.llm.shared import ship_package
+from meterlake.llm.token_counts import byte_letters
 
 BYTE, PIECE = (queries.tokenizer_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 TRICKY = [
@@ -28,10 +29,7 @@ def both():
     return plain, sentencepiece.SentencePieceProcessor(model_file=PIECE)
 
 
-def byte_letter(c):
-    from meterlake.llm.token_counts import byte_letters
-
-    return byte_letters().index(c)
+BYTE_OF = {c: b for b, c in enumerate(byte_letters())}
 
 
 def plainly(both, text):
@@ -41,7 +39,7 @@ def plainly(both, text):
         return [], [], [], []
     wanted = (" " + text).encode()
     a = plain.encode(" " + text, add_special_tokens=False)
-    a_bytes = [bytes(map(byte_letter, t)) for t in a.tokens]
+    a_bytes = [bytes(map(BYTE_OF.get, t)) for t in a.tokens]
     b = pieces.encode(text)
     b_bytes = [
         bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, pieces.id_to_piece(i)) for i in b)
@@ -58,17 +56,17 @@ def expected(both, rows):
         a, a_bytes, b, b_bytes = plainly(both, text)
         ends = [np.cumsum([len(x) for x in side]).tolist() for side in (a_bytes, b_bytes)]
         links, groups = [], []
-        cuts = sorted(set(ends[0]) & set(ends[1]))
-        last = 0
-        for cut in cuts:
-            sides = [[k for k, e in enumerate(side) if last < e <= cut] for side in ends]
+        first = [0, 0]
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            after = [side.index(cut, k) + 1 for side, k in zip(ends, first)]
+            sides = [range(*x) for x in zip(first, after)]
+            first = after
             groups.append(",".join(str(a[k]) for k in sides[0]) + "|" + ",".join(str(b[k]) for k in sides[1]))
             for x in sides[0]:
                 for y in sides[1]:
-                    first = max(ends[0][x] - len(a_bytes[x]), ends[1][y] - len(b_bytes[y]))
-                    if first < min(ends[0][x], ends[1][y]):
+                    start = max(ends[0][x] - len(a_bytes[x]), ends[1][y] - len(b_bytes[y]))
+                    if start < min(ends[0][x], ends[1][y]):
                         links.append((a[x], b[y]))
-            last = cut
         total.update(links)
         held.append((i, len(a), len(b), len(groups), links, ";".join(groups)))
     most = Counter()
