@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from itertools import product
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +14,9 @@ from pyspark.sql import functions as F
 from meterlake.functions import scalars
 from meterlake.schema import PARTITION_KEYS
 
+#: Levels of the area that access may be granted on.
+AREA_LEVELS = ("state", "district", "discom")
+
 Choice = str | Iterable[str] | None
 
 
@@ -100,3 +106,42 @@ def restrict(df: DataFrame, grants: DataFrame, principal: str, by: Sequence[str]
     """
     allowed = grants.filter(F.col("principal") == principal).select(*by)
     return df.join(allowed, list(by), "left_semi")
+
+
+def entitled_areas(grants: DataFrame, principal: str, areas: DataFrame, levels: Sequence[str] = AREA_LEVELS) -> DataFrame:
+    """The areas that ``principal`` may see, by grants on any level and denials.
+
+    A grant names a state, a district, a discom or any of them together; null stands for all. A grant whose `denied` is
+    true takes its areas away, whatever else allows them. Grants are spread over the areas there are, so the
+    readings need no expansion: one equality join for every set of levels that a grant may name, 2 to the number of
+    levels, each over areas and grants only.
+    """
+    denied = F.coalesce(F.col("denied"), F.lit(False)) if "denied" in grants.columns else F.lit(False)
+    own = grants.where(F.col("principal") == principal).select(denied.alias("denied"), *levels)
+    areas = areas.select(*levels).distinct()
+    spread = []
+    for named in product((False, True), repeat=len(levels)):
+        chosen = [c for c, is_named in zip(levels, named) if is_named]
+        these = own.where(reduce(and_, (F.col(c).isNotNull() if n else F.col(c).isNull() for c, n in zip(levels, named))))
+        if chosen:
+            spread.append(areas.join(these.select("denied", *chosen), chosen))
+        else:
+            spread += [areas.withColumn("denied", F.lit(row["denied"])) for row in these.select("denied").distinct().collect()]
+    closure = reduce(DataFrame.unionByName, spread).groupBy(*levels)
+    return closure.agg(F.bool_or("denied").alias("denied")).where("not denied").drop("denied")
+
+
+def restrict_levels(
+    df: DataFrame, grants: DataFrame, principal: str, areas: DataFrame | None = None, levels: Sequence[str] = AREA_LEVELS
+) -> DataFrame:
+    """The rows ``principal`` may see by grants on several levels; each row once.
+
+    ``areas`` holds the areas there are, such as a maintained extract; without it they are taken from the readings,
+    by a scan of these columns alone. Rows whose area has a null are seen by nobody but through a grant that leaves
+    that level open.
+    """
+    areas = df if areas is None else areas
+    allowed = entitled_areas(grants, principal, areas, levels)
+    allowed = allowed.select(*(F.col(c).alias(f"_{c}") for c in levels))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in levels))
+    return df.join(allowed, same, "left_semi")

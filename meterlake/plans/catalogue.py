@@ -14,8 +14,8 @@ from meterlake.operators import anomaly, clean, filters, quality
 from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
 from meterlake.session import fresh_path
-from meterlake.sinks import merging, tables
-from meterlake.sources import demo, files, paths
+from meterlake.sinks import discovery, merging, tables
+from meterlake.sources import deliveries, demo, files, paths
 from meterlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,28 @@ def raw_parquet(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+#: Headers of four deliveries: complete, short, reordered, and with a column that nobody expects.
+FORMS = {
+    "a_complete": RAW_COLUMNS,
+    "b_short": tuple(name for name in RAW_COLUMNS if name not in ("rssi", "firmware_version", "signal_issue")),
+    "c_reordered": ("voltage", *reversed(RAW_COLUMNS[3:]), "timestamp", "meter_id"),
+    "d_extended": ("tariff", *RAW_COLUMNS, "batch_no"),
+}
+
+
+def mixed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the raw readings as deliveries whose headers differ, a quarter of the events each."""
+
+    def write(path: str) -> None:
+        text = demo.as_text(raw(spark, sf_dir))
+        extra = {"tariff": F.lit("night"), "batch_no": F.col("event_id")}
+        for i, (form, columns) in enumerate(FORMS.items()):
+            part = text.where(F.col("event_id").cast("long") % 4 == i).withColumns(extra).select(*columns)
+            part.coalesce(1).write.option("header", True).csv(f"{path}/{form}")
+
+    return _once(spark, sf_dir, "mixed_csv", write)
+
+
 def query(name: str):
     def register(build: Query) -> Query:
         QUERIES[name] = build
@@ -112,6 +134,12 @@ def _(spark, sf_dir):
     return clean.clean(files.read_csv(spark, raw_csv(spark, sf_dir)))
 
 
+@query("s01_several_headers")
+def _(spark, sf_dir):
+    """Files that are complete, short, reordered and extended, in one delivery."""
+    return clean.clean(deliveries.read_delivery(spark, mixed_csv(spark, sf_dir)))
+
+
 @query("s02_csv_sniffed")
 def _(spark, sf_dir):
     return clean.clean(files.read_csv(spark, raw_csv(spark, sf_dir), sniff=True))
@@ -201,6 +229,32 @@ def _(spark, sf_dir):
     return found.groupBy("day").agg(F.count("*").alias("readings"), F.count("tariff").alias("with_tariff"))
 
 
+def _discovered(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The raw zone, discovered delivery by delivery, and then all again."""
+    zone, catalogue = mixed_csv(spark, sf_dir), fresh_path(spark, "s11c")
+    for seen in (f"{zone}/a_complete", f"{zone}/b_short", zone, zone):
+        found = discovery.discover_zone(spark, zone, catalogue, only=seen)
+    return zone, found
+
+
+@query("s11_raw_zone_log")
+def _(spark, sf_dir):
+    """Columns that came and went, with the readings of the delivery that brought the change."""
+    zone, catalogue = _discovered(spark, sf_dir)
+    per_file = deliveries.headers(deliveries.lines_of(spark, zone)).select("file", "lines")
+    readings_of = per_file.join(catalogue.select("file", "delivery").distinct(), "file").groupBy("delivery")
+    return discovery.column_log(catalogue).join(readings_of.agg(F.sum("lines").alias("readings")), "delivery")
+
+
+@query("s11_raw_zone_versions")
+def _(spark, sf_dir):
+    zone, catalogue = _discovered(spark, sf_dir)
+    cells = discovery.read_zone(spark, zone, catalogue).agg(F.count("tariff").alias("with_tariff"), F.count("rssi").alias("with_rssi"))
+    found = cells.first()
+    versions = discovery.schema_versions(catalogue).select("version", "delivery", "known_columns")
+    return versions.withColumns({name: F.lit(found[name]).cast("long") for name in ("with_tariff", "with_rssi")})
+
+
 @query("s12_full_refresh")
 def _(spark, sf_dir):
     table = tables.save_full(readings(spark, sf_dir), "meterlake_s12", fresh_path(spark, "s12"))
@@ -258,6 +312,19 @@ def _(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query("s18_incremental_refresh")
+def _(spark, sf_dir):
+    """Daily consumption from extracts that were refreshed after two days of the table had changed."""
+    base = fresh_path(spark, "s18i")
+    loaded = readings(spark, sf_dir)
+    tables.write_partitioned(loaded, f"{base}/table")
+    views.refresh_views(files.read_processed(spark, f"{base}/table"), f"{base}/extracts")
+    doubled = filters.in_dates(loaded, "2024-01-05", "2024-01-06").withColumn("consumption_kwh", F.col("consumption_kwh") * 2)
+    tables.write_partitioned(doubled, f"{base}/table")
+    views.refresh_views(files.read_processed(spark, f"{base}/table"), f"{base}/extracts")
+    return views.extract(spark, f"{base}/extracts", "daily_consumption")
+
+
 # Cleaning, predicates, scalars.
 
 
@@ -387,6 +454,17 @@ over_readings(
 
 over_readings("a01_count", lambda df: df.agg(F.count("*").alias("readings")))
 over_readings("a02_count_distinct", lambda df: statements.meters_by(df, "feeder_id"))
+@query("a02_sketched_meters")
+def _(spark, sf_dir):
+    """Meters of each area and status, exact and from merged sketches of the days."""
+    loaded = readings(spark, sf_dir)
+    sketches = measures.sketch_rollup(loaded)
+    exact = views.geographic_health(loaded).select(*views.AREA, "health_status", "meters")
+    estimated = views.geographic_health(sketches, approx=True).select(*views.AREA, "health_status", F.col("meters").alias("estimate"))
+    close = F.abs(F.col("estimate") - F.col("meters")) <= F.greatest(F.lit(1.0), F.col("meters") * 0.03)
+    return exact.join(estimated, [*views.AREA, "health_status"]).withColumn("is_close", close).drop("estimate")
+
+
 over_readings(
     "a03_count_if", lambda df: df.agg(*(F.count_if(flag).alias(flag) for flag in FLAGS))
 )
@@ -637,6 +715,13 @@ def _(spark, sf_dir):
     return quality.drift_report(reordered)
 
 
+@query("k16_delivery_headers")
+def _(spark, sf_dir):
+    """One line a delivered file: what its header lacks, adds or moves."""
+    report = deliveries.header_report(spark, mixed_csv(spark, sf_dir))
+    return report.withColumn("delivery", F.element_at(F.split("file", "/"), -2)).drop("file")
+
+
 @query("k16_unparseable_cells")
 def _(spark, sf_dir):
     return quality.unparseable_counts(demo.faulty_text(raw(spark, sf_dir)))
@@ -680,6 +765,34 @@ def _(spark, sf_dir):
     return visible.groupBy("state", "district").agg(F.count("*").alias("readings"))
 
 
+@query("x03_levels")
+def _(spark, sf_dir):
+    """Grants on a state, a district, a discom and a discom of one district, less a denied district."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    rules = (
+        ("n_nationkey = 1", "r_name", "NULL", "NULL", False),
+        ("n_nationkey IN (2, 7)", "NULL", "n_name", "NULL", False),
+        ("n_nationkey = 3", "NULL", "NULL", "concat('DISCOM-', n_nationkey % 10)", False),
+        ("n_nationkey = 14", "r_name", "n_name", "concat('DISCOM-', n_nationkey % 10)", False),
+        ("n_nationkey = 11", "NULL", "n_name", "NULL", True),
+    )
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    grants = reduce(
+        DataFrame.unionByName,
+        (
+            places.where(where).selectExpr(
+                "'planner' AS principal",
+                *(f"CAST({value} AS string) AS {level}" for value, level in zip(values, filters.AREA_LEVELS)),
+                f"{str(denied).lower()} AS denied",
+            )
+            for where, *values, denied in rules
+        ),
+    )
+    visible = filters.restrict_levels(readings(spark, sf_dir), grants, "planner")
+    return visible.groupBy("state", "district", "discom").agg(F.count("*").alias("readings"))
+
+
 over_readings(
     "x04_feeder_outliers",
     lambda df: anomaly.group_outliers(

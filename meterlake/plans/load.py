@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators.clean import add_missing, clean, conform
 from meterlake.operators.quality import load_summary
-from meterlake.plans.views import materialise_views
-from meterlake.sinks.merging import merge_delivery
+from meterlake.plans.views import refresh_views
+from meterlake.sinks.merging import finish_pending, merge_files
 from meterlake.sinks.tables import rebuild_table, register_table, table_location, write_partitioned
 from meterlake.sources.files import read_processed, read_readings, read_table
-from meterlake.sources.paths import delete, replace_folder
+from meterlake.sinks.versions import publish, resolve, retire
 
 
 def load(
@@ -28,26 +26,28 @@ def load(
 ) -> DataFrame:
     """Read, clean and write readings; gives the load summary.
 
-    By default the delivery is merged: stored readings stay, and of each meter and time one is kept. With
+    By default the delivery is merged: stored readings stay, and of each meter and time one is kept. A merge that died
+    halfway is finished first. With
     ``replace_days`` the delivered days are replaced as a whole. With ``rebuild`` the whole table is written afresh and
     takes the old one's place only when that is complete. ``extracts`` names a folder for the materialised
-    views.
+    views, of which only the changed days are rolled up again.
     """
     delivered = read_readings(spark, parquet, csv)
     known = table is not None and spark.catalog.tableExists(table)
-    live = table_location(spark, table) if known else target
+    live = table_location(spark, table) if known else resolve(spark, target)
+    if not rebuild:
+        finish_pending(spark, live)
     if rebuild:
         cleaned = clean(delivered, lag_mode=lag_mode)
         if table is not None:
             rebuild_table(cleaned, table, target)
         else:
-            replace_folder(spark, target, lambda path: write_partitioned(cleaned, path, "rebuild"))
+            publish(spark, target, lambda path: write_partitioned(cleaned, path, "rebuild"))
+            retire(spark, target)
     elif replace_days:
         write_partitioned(clean(delivered, lag_mode=lag_mode), live)
     else:
-        staging = f"{live.rstrip('/')}__merge-{uuid.uuid4().hex}"
-        merge_delivery(delivered, live, staging, lag_mode=lag_mode)
-        delete(spark, staging)
+        merge_files(delivered, live, lag_mode)
     if table is None:
         loaded = read_processed(spark, target)
     else:
@@ -58,7 +58,7 @@ def load(
             register_table(spark, table, live)
         loaded = spark.table(table)
     if extracts:
-        materialise_views(loaded, extracts)
+        refresh_views(loaded, extracts)
     return load_summary(loaded)
 
 

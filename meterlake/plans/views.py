@@ -9,10 +9,10 @@ count columns beside them (``readings``, ``devices``) suggest; ``meters`` and
 from __future__ import annotations
 
 from collections.abc import Callable
-import uuid
 from concurrent.futures import ThreadPoolExecutor
+from hashlib import sha256
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.measures import (
@@ -24,17 +24,19 @@ from meterlake.functions.measures import (
     pct_of_rows,
     rounded_mean,
     row_count,
+    sketched,
     status_rows,
     total,
 )
-from meterlake.schema import CRITICAL, HEALTHY, WARNING
-from meterlake.sources.paths import delete, move, replace_folder
+from meterlake.schema import CRITICAL, HEALTHY, PARTITION_KEYS, WARNING
+from meterlake.sinks.versions import current, publish, resolve, retire
+from meterlake.sources.paths import delete, exists
 
 AREA = ("state", "district", "discom")
 
 
 def fleet_summary(df: DataFrame, approx: bool = False) -> DataFrame:
-    return components(df).agg(
+    return components(sketched(df) if approx else df).agg(
         meters(approx).alias("total_meters"),
         status_rows(HEALTHY).alias("healthy"),
         status_rows(WARNING).alias("warning"),
@@ -117,7 +119,7 @@ def monthly_consumption(df: DataFrame) -> DataFrame:
 
 def geographic_health(df: DataFrame, approx: bool = False) -> DataFrame:
     return (
-        components(df)
+        components(sketched(df) if approx else df)
         .groupBy(*AREA, "health_status")
         .agg(
             row_count().alias("meter_readings"),
@@ -177,7 +179,7 @@ def issue_mix(df: DataFrame) -> DataFrame:
 def state_health_summary(df: DataFrame, approx: bool = False) -> DataFrame:
     status = F.col("health_status")
     return (
-        components(df)
+        components(sketched(df) if approx else df)
         .groupBy("state")
         .agg(
             meters(approx).alias("total_meters"),
@@ -247,26 +249,88 @@ def register_views(df: DataFrame, prefix: str = "vw_") -> list[str]:
     return names
 
 
-def materialise_views(
-    df: DataFrame, base: str, names=tuple(VIEWS), at_once: int = 4
-) -> dict[str, str]:
-    """Refresh the views as Parquet extracts, reading the table once.
+ROLLUP = "meter_day_rollup"
+_DAYS = "days"
+
+
+def _write_views(rollup: DataFrame, folder: str, names, at_once: int) -> None:
+    """The views are small jobs; a few run at once, so that one's last tasks do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(lambda name: VIEWS[name](rollup).write.parquet(f"{folder}/{name}"), names))
+
+
+def materialise_views(df: DataFrame, base: str, names=tuple(VIEWS), at_once: int = 4) -> dict[str, str]:
+    """Build the views as Parquet extracts, reading the table once; gives their folders.
 
     The rollup is written first and all views read it, so N views cost one scan
-    of the readings rather than N. The views are small jobs; a few run at once,
-    so that one's last tasks do not leave the cluster idle. All extracts are complete in a
-    folder beside ``base`` before the first takes its place, so a failed refresh leaves the old ones.
+    of the readings rather than N. All extracts are one version of ``base``: they become visible together when all are
+    complete, and a failed refresh leaves the old ones.
     """
     spark = df.sparkSession
-    base = base.rstrip("/")
-    building = f"{base}__next-{uuid.uuid4().hex}"
-    try:
-        meter_day_rollup(df).write.parquet(f"{building}/meter_day_rollup")
-        rollup = spark.read.parquet(f"{building}/meter_day_rollup")
-        with ThreadPoolExecutor(max_workers=at_once) as pool:
-            list(pool.map(lambda name: VIEWS[name](rollup).write.parquet(f"{building}/{name}"), names))
-        for name in ("meter_day_rollup", *names):
-            replace_folder(spark, f"{base}/{name}", lambda path, name=name: move(spark, f"{building}/{name}", path))
-    finally:
-        delete(spark, building)
-    return {name: f"{base}/{name}" for name in names}
+
+    def write(folder: str) -> None:
+        meter_day_rollup(df).write.parquet(f"{folder}/{ROLLUP}")
+        _write_views(spark.read.parquet(f"{folder}/{ROLLUP}"), folder, names, at_once)
+
+    folder = publish(spark, base, write)
+    retire(spark, base)
+    return {name: f"{folder}/{name}" for name in names}
+
+
+def extract(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A materialised view, as of the last complete refresh."""
+    return spark.read.parquet(f"{resolve(spark, base)}/{name}")
+
+
+def day_fingerprints(df: DataFrame) -> dict[str, str]:
+    """For each stored day of a partitioned table a digest of its files' names, which no two writes share."""
+    files: dict[str, list[str]] = {}
+    for path in df.inputFiles():
+        keys = dict(part.split("=", 1) for part in path.split("/")[-4:-1])
+        files.setdefault("-".join(keys[key] for key in PARTITION_KEYS), []).append(path.rsplit("/", 1)[1])
+    return {day: sha256("\n".join(sorted(names)).encode()).hexdigest() for day, names in files.items()}
+
+
+def on_days(df: DataFrame, days) -> DataFrame:
+    """Readings of the given days, by partition keys: one term a month."""
+    months: dict[tuple[str, str], list[str]] = {}
+    for day in days:
+        year, month, dom = day.split("-")
+        months.setdefault((year, month), []).append(dom)
+    terms = [f"(year = {int(y)} AND month = '{m}' AND day IN ({', '.join(repr(d) for d in sorted(ds))}))" for (y, m), ds in sorted(months.items())]
+    return df.where(" OR ".join(terms) or "false")
+
+
+def refresh_views(df: DataFrame, base: str, names=tuple(VIEWS), at_once: int = 4) -> dict[str, str]:
+    """Bring the extracts up to date at the price of the days that changed; gives their folders.
+
+    df is the stored table. Its rollup, one row for each meter, day and label combination, is kept by day under ``base``.
+    A day is rolled up again if its files are not those of the last refresh; no other reading is read. All views add up
+    parts of the rollup, and count distinct meters over its rows, so they equal those of a full recomputation. If a refresh
+    dies, the record of days is still the old one, and the next refresh repeats the days.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    kept, last = f"{base}/_rollup", current(spark, base)
+    now, known = day_fingerprints(df), {}
+    if last is not None and exists(spark, f"{last}/{_DAYS}") and exists(spark, kept):
+        known = {row["day"]: row["digest"] for row in spark.read.parquet(f"{last}/{_DAYS}").collect()}
+    changed = sorted(day for day, digest in now.items() if known.get(day) != digest)
+    gone = sorted(set(known) - set(now))
+    complete = last is not None and all(exists(spark, f"{last}/{name}") for name in names)
+    if complete and known and not changed and not gone:
+        return {name: f"{last}/{name}" for name in names}
+    fresh = meter_day_rollup(on_days(df, changed) if known else df).withColumn("of_day", F.col("event_date").cast("string"))
+    if changed or not known:
+        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if known else "static")
+        writer.partitionBy("of_day").parquet(kept)
+    for day in gone:
+        delete(spark, f"{kept}/of_day={day}")
+
+    def write(folder: str) -> None:
+        schema = fresh.select([c for c in fresh.columns if c != "of_day"]).schema
+        _write_views(spark.read.schema(schema).parquet(kept), folder, names, at_once)
+        spark.createDataFrame(sorted(now.items()), "day string, digest string").coalesce(1).write.parquet(f"{folder}/{_DAYS}")
+
+    folder = publish(spark, base, write)
+    retire(spark, base)
+    return {name: f"{folder}/{name}" for name in names}

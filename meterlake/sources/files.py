@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.schema import PROCESSED
+from meterlake.sinks.versions import resolve
+from meterlake.sources.deliveries import read_delivery
 from meterlake.sources.paths import exists
 
 
@@ -15,8 +17,8 @@ def read_csv(spark: SparkSession, path, sniff: bool = False, sampling_ratio: flo
     Every column is text by default, so that cleaning can tell a missing cell
     from one that does not parse, and no extra pass is spent on inference.
     ``sniff`` infers types instead, from a sample of rows if asked. Files whose
-    header differs from the first one's are an error: Spark would otherwise
-    take their cells by position.
+    header differs from the first one's are an error here: Spark would otherwise
+    take their cells by position. ``deliveries.read_delivery`` reads them by name.
     """
     reader = (
         spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
@@ -31,17 +33,17 @@ def read_parquet(spark: SparkSession, path, merge_schema: bool = False) -> DataF
 
 
 def read_readings(spark: SparkSession, parquet: str | None = None, csv: str | None = None) -> DataFrame:
-    """Parquet if it is there, else CSV, else an error."""
+    """Parquet if it is there, else CSV files, each by its own header, else an error."""
     if parquet and exists(spark, parquet):
         return read_parquet(spark, parquet)
     if csv and exists(spark, csv):
-        return read_csv(spark, csv)
+        return read_delivery(spark, csv)
     raise FileNotFoundError(f"no readings at {parquet!r} or {csv!r}")
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned table by path. The schema is given, so month and day keep their leading zero."""
-    return spark.read.schema(PROCESSED).parquet(path).select(*PROCESSED.names)
+    """The partitioned table by path, in its current version. The schema is given, so month and day keep their leading zero."""
+    return spark.read.schema(PROCESSED).parquet(resolve(spark, path)).select(*PROCESSED.names)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

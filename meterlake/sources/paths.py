@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import SparkSession
 
 
@@ -18,11 +15,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def depth(spark: SparkSession, path: str) -> int:
+    """Where the names below a folder stand in an absolute path that is cut at its slashes."""
+    fs, hadoop_path = _opened(spark, path)
+    return len(fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/").split("/"))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _opened(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def siblings(spark: SparkSession, prefix: str) -> list[str]:
+    """Files and folders whose path begins with ``prefix``, in order."""
+    folder, name = prefix.rsplit("/", 1)
+    fs, parent = _opened(spark, folder)
+    if not fs.exists(parent):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(parent))
+    return sorted(f"{folder}/{found}" for found in names if found.startswith(name))
+
+
 def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
     """Length and modification time."""
     fs, hadoop_path = _opened(spark, path)
@@ -37,16 +50,17 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Write beside ``path``, and take its place only when complete. A failed write leaves the old folder."""
-    path = path.rstrip("/")
-    following, former = (f"{path}__{label}-{uuid.uuid4().hex}" for label in ("next", "old"))
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hadoop_path = _opened(spark, path)
+    out = fs.create(hadoop_path, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _opened(spark, path)
+    opened = fs.open(hadoop_path)
     try:
-        write(following)
-    except BaseException:
-        delete(spark, following)
-        raise
-    if exists(spark, path):
-        move(spark, path, former)
-    move(spark, following, path)
-    delete(spark, former)
+        return bytes(opened.readAllBytes()).decode("utf-8")
+    finally:
+        opened.close()

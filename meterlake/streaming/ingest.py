@@ -11,18 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from meterlake.schema import RAW_STRINGS
 from meterlake.sinks.merging import merge_delivery
+from meterlake.sources.deliveries import headers, read_by_header, with_place
 from meterlake.sources.paths import delete
 
 
 def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Text cells of arriving CSV files. A file with another header stops the stream, rather than
-    have its cells taken by position."""
-    reader = spark.readStream.schema(RAW_STRINGS).option("header", True).option("enforceSchema", False)
+    """Lines of arriving CSV files with the file they stand in. Headers may differ from file to file."""
+    reader = spark.readStream.schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return with_place(reader.text(path))
+
+
+def delivered(batch: DataFrame) -> DataFrame:
+    """The readings of the files whose lines are in the batch, each file read by its own header."""
+    return read_by_header(batch.sparkSession, headers(batch))
 
 
 def merge_batch(raw: DataFrame, batch_id: int, target: str, staging: str, lag_mode: str = "elapsed") -> None:
@@ -47,7 +51,7 @@ def ingest(
     staging = f"{checkpoint.rstrip('/')}/merge"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, target, staging, lag_mode)
+        merge_batch(delivered(batch), batch_id, target, staging, lag_mode)
 
     writer = raw_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

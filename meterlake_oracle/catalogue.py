@@ -633,3 +633,63 @@ add(
     f"""SELECT state, district, COUNT(*) AS readings, {count_if('voltage < 200')} AS under_voltage, {count_if('voltage > 250')} AS over_voltage
         FROM readings GROUP BY state, district""",
 )
+
+# Deliveries, raw zone, refreshes, sketches and access on several levels.
+
+SHORT = "event_id % 4 = 1"
+ISSUES = f"issue_count - CASE WHEN {SHORT} THEN CAST(signal_issue AS INTEGER) ELSE 0 END"
+add(
+    "s01_several_headers",
+    f"""SELECT * EXCLUDE (event_id, dup) REPLACE (
+          CASE WHEN {SHORT} THEN 0.0 ELSE rssi END AS rssi,
+          CASE WHEN {SHORT} THEN 'Unknown' ELSE firmware_version END AS firmware_version,
+          signal_issue AND NOT {SHORT} AS signal_issue, CAST({ISSUES} AS INTEGER) AS issue_count,
+          CASE WHEN {ISSUES} >= 3 THEN 'Critical' WHEN {ISSUES} >= 1 THEN 'Warning' ELSE 'Healthy' END AS health_status)
+        FROM (SELECT r.*, k.event_id, k.dup FROM readings r JOIN kept k USING (meter_id, timestamp))""",
+)
+FORMS = ("a_complete", "b_short", "c_reordered", "d_extended")
+PER_FORM = f"SELECT [{', '.join(repr(form) for form in FORMS)}][event_id % 4 + 1] AS delivery, COUNT(*) AS readings FROM raw GROUP BY event_id % 4"
+LOST = ("rssi", "firmware_version", "signal_issue")
+EVENTS = (
+    [("a_complete", c, "appeared") for c in RAW_COLUMNS]
+    + [("b_short", c, "vanished") for c in LOST]
+    + [("c_reordered", c, "returned") for c in LOST]
+    + [("d_extended", c, "appeared") for c in ("tariff", "batch_no")]
+)
+ORACLE_SQL["s11_raw_zone_log"] = over_raw(
+    f"""SELECT delivery, column_name, event, readings
+        FROM (VALUES {", ".join(map(repr, EVENTS))}) AS events(delivery, column_name, event) JOIN ({PER_FORM}) USING (delivery)"""
+)
+ORACLE_SQL["s11_raw_zone_versions"] = over_raw(
+    """SELECT CAST(version AS INTEGER) AS version, delivery, CAST(known_columns AS BIGINT) AS known_columns, with_tariff, with_rssi
+       FROM (VALUES (1, 'a_complete', 21), (2, 'b_short', 21), (3, 'c_reordered', 21), (4, 'd_extended', 23))
+         AS versions(version, delivery, known_columns),
+       (SELECT COUNT(CASE WHEN event_id % 4 = 3 THEN 1 END) AS with_tariff, COUNT(CASE WHEN event_id % 4 <> 1 THEN rssi END) AS with_rssi FROM raw)"""
+)
+ORACLE_SQL["k16_delivery_headers"] = over_raw(
+    f"""SELECT delivery, readings, CASE delivery WHEN 'b_short' THEN 'rssi,firmware_version,signal_issue' ELSE '' END AS missing,
+          CASE delivery WHEN 'd_extended' THEN 'tariff,batch_no' ELSE '' END AS unexpected, '' AS twice,
+          delivery = 'c_reordered' AS moved, true AS readable
+        FROM ({PER_FORM})"""
+)
+add(
+    "s18_incremental_refresh",
+    """SELECT event_date, state, district, discom,
+         CAST(SUM(CAST(kwh AS DECIMAL(18,6))) AS DOUBLE) AS total_consumption_kwh,
+         CAST(SUM(CAST(kwh AS DECIMAL(18,6))) AS DOUBLE) / COUNT(kwh) AS average_consumption_kwh, COUNT(DISTINCT meter_id) AS meters
+       FROM (SELECT *, consumption_kwh * CASE WHEN event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' THEN 2 ELSE 1 END AS kwh FROM readings)
+       GROUP BY event_date, state, district, discom""",
+)
+add(
+    "a02_sketched_meters",
+    f"SELECT {AREA}, health_status, {METERS}, true AS is_close FROM readings GROUP BY {AREA}, health_status",
+)
+add(
+    "x03_levels",
+    f"""SELECT {AREA}, COUNT(*) AS readings FROM readings
+        WHERE (state = (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey = 1)
+            OR district IN (SELECT n_name FROM nation WHERE n_nationkey IN (2, 7)) OR discom = 'DISCOM-3'
+            OR (district = (SELECT n_name FROM nation WHERE n_nationkey = 14) AND discom = 'DISCOM-4'))
+          AND district NOT IN (SELECT n_name FROM nation WHERE n_nationkey = 11)
+        GROUP BY {AREA}""",
+)

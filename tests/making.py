@@ -42,3 +42,27 @@ def raw(spark: SparkSession, *changes: dict) -> DataFrame:
 
 def records(df: DataFrame) -> list[tuple]:
     return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def plan_nodes(df: DataFrame) -> list:
+    """Nodes of the plan that ran, those inside query stages included."""
+
+    def below(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        inner = [node.plan()] if "QueryStage" in node.nodeName() else []
+        children = node.children()
+        return [node, *(x for c in [*inner, *(children.apply(i) for i in range(children.size()))] for x in below(c))]
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def scan_metric(df: DataFrame, metric: str) -> int:
+    """A metric of all file scans, after running the frame."""
+    df.collect()
+    scans = (node.metrics().get(metric) for node in plan_nodes(df) if node.nodeName().startswith("Scan "))
+    return sum(found.get().value() for found in scans if found.isDefined())
+
+
+def scanned_partitions(df: DataFrame) -> int:
+    return scan_metric(df, "numPartitions")

@@ -1,14 +1,15 @@
 from pathlib import Path
 
 import pytest
-from making import raw, records
+from making import raw, records, scanned_partitions
 from pyspark.sql import functions as F
 
 from meterlake.__main__ import main
 from meterlake.operators.clean import clean
 from meterlake.operators.quality import assert_counts, assert_views
+from meterlake.plans import views
 from meterlake.plans.load import load, preview
-from meterlake.sinks import tables
+from meterlake.sinks import merging, tables
 from meterlake.sources import files
 
 
@@ -130,7 +131,7 @@ def test_load_preview_and_checks(spark, tmp_path):
     raw(spark, day(1), day(1), day(2, timestamp=None)).write.option("header", True).csv(csv)
     summary = load(spark, str(tmp_path / "t"), csv=csv, table="t_cli", extracts=str(tmp_path / "x")).first()
     assert (summary.row_count, summary.meters) == (1, 1)
-    assert spark.read.parquet(str(tmp_path / "x" / "fleet_summary")).first().total_meters == 1
+    assert views.extract(spark, str(tmp_path / "x"), "fleet_summary").first().total_meters == 1
     main(["--csv", csv, "--target", str(tmp_path / "u"), "--rebuild"])
     assert files.read_processed(spark, str(tmp_path / "u")).count() == 1
     files.read_csv(spark, csv).createOrReplaceTempView("t_raw")
@@ -156,3 +157,64 @@ def test_deliveries_of_one_day_add_up(spark, tmp_path):
         assert load(spark, target, csv=parts[1], table=table, replace_days=True).first().meters == 2
         assert load(spark, target, csv=parts[0], table=table, rebuild=True).first().meters == 2
     assert not [p.name for p in tmp_path.iterdir() if "__" in p.name]
+
+
+def month(spark, path):
+    tables.write_partitioned(clean(raw(spark, *(day(n) for n in range(1, 31)))), path)
+    return files.read_processed(spark, path)
+
+
+@pytest.mark.parametrize("days", [(17,), (3, 28)])
+def test_merge_reads_only_the_days_it_touches(spark, tmp_path, days):
+    """One day, two days far apart, and days that the table does not have."""
+    stored = month(spark, str(tmp_path / "t"))
+    fresh = clean(raw(spark, *(day(n, meter_id="new") for n in days), day(31)))
+    fresh.write.parquet(str(tmp_path / "fresh"))
+    fresh = spark.read.parquet(str(tmp_path / "fresh")).filter("day <> '31'" if 17 in days else "true")
+    old = merging.stored_on_days_of(fresh, stored, str(tmp_path / "days"))
+    assert scanned_partitions(old.select("meter_id")) == len(days)
+    assert old.count() == len(days)
+
+
+def test_merge_of_nothing_reads_nothing(spark, tmp_path):
+    stored = month(spark, str(tmp_path / "t"))
+    fresh = files.read_processed(spark, str(tmp_path / "t")).limit(0)
+    assert merging.stored_on_days_of(fresh, stored, str(tmp_path / "days")).count() == 0
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at, repeat", [(1, True), (2, False), (3, True)])
+def test_load_killed_between_two_steps_is_finished_by_the_next(spark, tmp_path, monkeypatch, at, repeat):
+    """Died before, in and after the replacement of days; then the same delivery comes again, or another one."""
+    target, names = str(tmp_path / "t"), ("a", "b", "c")
+    for name, rows in zip(names, ([day(1), day(2)], [day(2, meter_id="late"), day(3)], [day(1, meter_id="other"), day(3)])):
+        raw(spark, *rows).coalesce(1).write.option("header", True).csv(str(tmp_path / name))
+    load(spark, target, csv=str(tmp_path / "a"))
+    calls = []
+    write = tables.write_partitioned
+
+    def dying(df, path, *rest, **options):
+        calls.append(path)
+        if len(calls) == at:
+            if at == 2:  # a day is gone and its new files are not there yet
+                import shutil
+
+                shutil.rmtree(Path(path) / "year=2024" / "month=03" / "day=02")
+            raise Died
+        write(df, path, *rest, **options)
+        if at == 3 and len(calls) == 2:
+            raise Died
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merging, "write_partitioned", dying)
+        with pytest.raises(Died):
+            load(spark, target, csv=str(tmp_path / "b"))
+    left = [("b", "c"), ("c",)][not repeat and at > 1]
+    for name in left if at > 1 else ("b", "c"):
+        load(spark, target, csv=str(tmp_path / name))
+    together = files.read_csv(spark, [str(tmp_path / name) for name in names])
+    assert records(files.read_processed(spark, target)) == records(clean(together))
+    assert not list(tmp_path.glob("t__merge-*"))
