@@ -134,9 +134,10 @@ class Aligned:
     link_text: np.ndarray
 
 
-def _tokens(held: SpanMemory, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids, n = held.gather(*held.spans(data, offsets), len(offsets) - 1)
-    return ids, np.cumsum(held.lengths[ids]), np.append(0, np.cumsum(n))
+def _tokens(held: SpanMemory, entries: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, byte ends and where each text begins among them."""
+    ids, count = held.gather(entries, owner, n)
+    return ids, np.cumsum(held.lengths[ids]), np.append(0, np.cumsum(count))
 
 
 def _spaced(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -150,13 +151,16 @@ def _spaced(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def align(column: pa.Array, a: PlainMerger, b: Pieces) -> Aligned:
     """Tokens, groups and links of a batch of texts. Texts whose pieces don't give back their bytes have no tokens."""
     data, offsets = _spaced(column)
-    entries, owner = b.spans(data, offsets)
-    if len(wrong := np.unique(owner[~b.faithful[entries]])):
+    words, owner = b.spans(data, offsets)
+    n_texts = len(offsets) - 1
+    if len(wrong := np.unique(owner[~b.faithful[words]])):
         size = np.diff(offsets)
         size[wrong] = 0
         data = data[arrays.ragged(offsets[:-1], size)]
         offsets = np.append(0, np.cumsum(size))
-    sides = _tokens(a, data, offsets), _tokens(b, data, offsets)
+        right = ~np.isin(owner, wrong)
+        words, owner = words[right], owner[right]
+    sides = _tokens(a, *a.spans(data, offsets), n_texts), _tokens(b, words, owner, n_texts)
     count = [np.diff(bounds) for _, _, bounds in sides]
     shorter = count[0] <= count[1]
     common, links, link_text = ([], []), [], []
@@ -198,8 +202,8 @@ def group_digests(held: Aligned, vocabulary: int) -> list[str]:
     (ids_a, ids_b), (bounds_a, bounds_b), (met_a, met_b) = held.ids, held.bounds, held.common
     stop_a, stop_b = met_a + 1, met_b + 1  # where each group's tokens end
     begin_b = np.append(0, stop_b)[:-1]
-    group_a = np.searchsorted(met_a, np.arange(len(ids_a)))
-    group_b = np.searchsorted(met_b, np.arange(len(ids_b)))
+    group = np.arange(len(met_a))
+    group_a, group_b = (np.repeat(group, np.diff(stop, prepend=0)) for stop in (stop_a, stop_b))
     written = np.zeros(len(ids_a) + len(ids_b), np.int64)
     place_a = np.arange(len(ids_a)) + begin_b[group_a]
     place_b = np.arange(len(ids_b)) + stop_a[group_b]

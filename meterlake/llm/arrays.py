@@ -110,6 +110,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: in
     return h
 
 
+def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Cheaper hash of byte spans, modulo 2 to the 64th, for callers that compare the bytes of equal hashes."""
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def equal_spans(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray
 ) -> np.ndarray:

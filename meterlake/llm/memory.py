@@ -34,7 +34,7 @@ class SpanMemory:
 
     def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Entry of each byte span; new spans are encoded first."""
-        hashes, at, which = np.unique(arrays.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes, at, which = np.unique(arrays.quick_hashes(data, starts, ends), return_index=True, return_inverse=True)
         which = which.reshape(-1)
         if len(self.known) > REMEMBERED or len(self.held) > REMEMBERED_BYTES:
             self.forget()

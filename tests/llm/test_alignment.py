@@ -118,7 +118,7 @@ def test_a_text_longer_than_a_piece(both):
 
 def test_words_of_one_hash_and_different_bytes(both, monkeypatch):
     """Bytes decide, whatever the hashes say."""
-    monkeypatch.setattr(arrays, "span_hashes", lambda data, starts, ends, salt=0: np.full(len(starts), 7, np.uint64))
+    monkeypatch.setattr(arrays, "quick_hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
     a, b = align.PlainMerger(BYTE), align.Pieces(PIECE)
     texts = [t for t in AWKWARD + TRICKY if t and len(t) < 300]
     held = align.align(pa.array(texts), a, b)
