@@ -7,8 +7,8 @@ probability Jaccard similarity of their weights. A shingle whose next arrival is
 last register filled can't change anything and ends early.
 
 Bands of registers give candidates. In each bucket all texts are compared with the one that has the most
-company, later with the best of another component and with sorted neighbours, so that the
-pairs stay linear in the texts. Exact similarities decide, and union-find joins the links.
+company, then, while it holds several components, with texts of other components and with sorted neighbours, others in
+every turn, until a whole turn finds no link. The pairs of a turn stay linear in the texts. Exact similarities decide, and union-find joins the links.
 """
 
 from __future__ import annotations
@@ -17,15 +17,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm import arrays
 from meterlake.llm.licenses import LOWER, WORD
-from meterlake.llm.shared import components, mask_of, masked, packed, settled
+from meterlake.llm.merkle import ordered, shifts, small
+from meterlake.llm.shared import components, gathered, mask_of, masked, packed, release, settled
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 5  # misses a pair of similarity 0.8 with probability 0.00007
+#: Bands that members of a bucket are sorted by, after the bucket's own.
+SORTED_BANDS = 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,6 +158,9 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 good[r] = probability_jaccard(ha[x], wa[x], hb[y], wb[y]) >= similarity - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good))
 
+    # Only texts of the pairs are shuffled; a mask of a fixed size tells which.
+    hashed = [pairs.select(F.xxhash64(side).alias("kh")) for side in ("a", "b")]
+    texts = masked(texts.withColumn("kh", F.xxhash64("key")), "kh", mask_of(hashed[0].unionByName(hashed[1]), "kh"))
     side = lambda key, text: texts.select(F.col("key").alias(key), F.col("text").alias(text))
     joined = pairs.join(side("a", "text"), "a").join(side("b", "other"), "b")
     return joined.select("a", "b", "text", "other").mapInArrow(compare, "a long, b long")
@@ -179,52 +185,70 @@ def near_duplicates(
     rows = settled(drawn.select("doc_id", "r1", "r2", "k1", "k2").join(copies, ["k1", "k2"]).drop("k1", "k2"))
     nodes = drawn.join(copies.select(F.col("key").alias("number")), "number", "left_semi")
     nodes = settled(nodes.select(F.col("number").alias("key"), "r1", "r2", "bands"))
-    buckets = nodes.select("key", F.explode("bands").alias("bucket")).repartition("bucket")
+    buckets = nodes.select("key", F.explode("bands").alias("bucket"))
     # Only buckets with company go on. Counting and joining share one shuffle of small rows.
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = settled(buckets.join(sizes, "bucket"))
-    company = settled(members.groupBy("key").agg(F.sum("size").alias("company")))
+    members = gathered(settled(buckets.join(sizes, "bucket")))
+    company = gathered(settled(members.groupBy("key").agg(F.sum("size").alias("company"))))
     wanted = settled(nodes.join(company, "key").select("key", "r1", "r2"))
     texts = masked(source.select("r1", "r2", F.coalesce("text", F.lit("")).alias("text")), "r1", mask_of(wanted, "r1"))
     texts = settled(texts.join(wanted, ["r1", "r2"]).select("key", "text").distinct())
-    ranked = settled(members.select("bucket", "key").join(company, "key"))
+    ranked = gathered(settled(members.select("bucket", "key").join(company, "key")))
 
     best = ranked.groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("best"))
     stars = ranked.join(best, "bucket").where("key <> best.key")
-    links = settled(verified(stars.select(*ordered_pairs("key", "best.key")).distinct(), texts, similarity))
-    for extra in (_other_stars, _neighbours):
-        roots = components(links)
+    met = gathered(settled(stars.select(*ordered_pairs("key", "best.key")).distinct()))
+    links = gathered(settled(verified(met, texts, similarity)))
+    # As long as a bucket holds several components, its members go on meeting others, until a whole round links nothing.
+    turn, found = 0, True
+    while found:
+        turn += 1
+        roots = gathered(settled(components(links)))
         rooted = ranked.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         rooted = rooted.withColumn("root", F.coalesce("root", "key"))
         mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        unsettled = rooted.join(mixed.select("bucket"), "bucket").join(nodes.select("key", "bands"), "key")
-        links = settled(links.unionByName(verified(extra(settled(unsettled)), texts, similarity)))
-    return rows, components(links)
+        unsettled = gathered(settled(rooted.join(mixed.select("bucket"), "bucket")))
+        if unsettled.isEmpty():
+            return rows, roots
+        pairs = _other_stars(unsettled, turn).unionByName(_neighbours(unsettled.join(nodes.select("key", "bands"), "key"), turn))
+        pairs = gathered(settled(pairs.distinct().join(met, ["a", "b"], "left_anti")))
+        more = settled(verified(pairs, texts, similarity))
+        found = not more.isEmpty()
+        links = gathered(settled(links.unionByName(more)))
+        met = gathered(settled(met.unionByName(pairs)))
+        release(unsettled)
+        release(more)
+    return rows, roots
+
+
+def _other_stars(members: DataFrame, turn: int) -> DataFrame:
+    """In each bucket, one member of another component than the first one's against the members outside its own.
+
+    The first star has compared everyone with the best text of the bucket. Here everyone meets another text, a
+    different one in each turn.
+    """
+    order = F.xxhash64(F.lit(turn), "root"), F.xxhash64(F.lit(turn), "key")
+    star = F.min(F.struct(order[0].alias("of_root"), order[1].alias("of_key"), "root", "key")).alias("star")
+    stars = members.groupBy("bucket").agg(star)
+    pairs = members.join(stars, "bucket").where("root <> star.root")
+    return pairs.select(*ordered_pairs("key", "star.key")).distinct()
 
 
-def _other_stars(members: DataFrame) -> DataFrame:
-    """In each bucket, the best of every component but the first one's against the members outside its own.
+def _neighbours(members: DataFrame, turn: int) -> DataFrame:
+    """In each bucket, neighbours of different components in the order of the other bands, another order in each turn.
 
-    The first star has compared everyone with the best text of the bucket. Here everyone meets the best
-    text of another component.
+    Members are in order over all partitions, so a bucket may be larger than any task.
     """
-    best = members.groupBy("bucket", "root").agg(F.max(F.struct("company", "key")).alias("best"))
-    first = best.groupBy("bucket").agg(F.max("best").alias("first"))
-    second = (
-        best.join(first, "bucket").where("best.key <> first.key").groupBy("bucket").agg(F.max(F.struct("best", "root")).alias("second"))
-    )
-    pairs = members.join(second, "bucket").where("root <> second.root")
-    return pairs.select(*ordered_pairs("key", "second.best.key")).distinct()
-
-
-def _neighbours(members: DataFrame) -> DataFrame:
-    """In each bucket, neighbours of different components in the order of the other bands."""
-    at = F.array_position("bands", F.col("bucket"))
-    turned = F.concat(F.slice("bands", at.cast("int"), F.size("bands")), F.col("bands"))
-    order = Window.partitionBy("bucket").orderBy("turned", "key")
-    rows = members.withColumn("turned", turned)
-    rows = rows.select("key", "root", F.lag(F.struct("key", "root")).over(order).alias("before"))
-    return rows.where("before.root <> root").select(*ordered_pairs("key", "before.key")).distinct()
+    at = F.array_position("bands", F.col("bucket")).cast("int") + (turn - 1)
+    at = F.pmod(at - 1, F.size("bands")) + 1
+    turned = F.concat(F.slice("bands", at, F.size("bands")), F.col("bands"))
+    rows = members.select("key", "root", "bucket", F.slice(turned, 2, SORTED_BANDS).alias("turned"))
+    rows = ordered(rows, "bucket", "turned", "key").withColumn("all", F.lit(0))
+    rows = rows.join(small(shifts(rows, "all")).drop("size", "all"), "part").select("key", "root", "bucket", (F.col("at") + F.col("shift")).alias("n"))
+    rows = settled(rows)
+    before = rows.select(F.col("key").alias("other"), F.col("root").alias("other_root"), F.col("bucket").alias("in"), (F.col("n") + 1).alias("n"))
+    pairs = rows.join(before, "n").where("bucket = in and root <> other_root")
+    return pairs.select(*ordered_pairs("key", "other")).distinct()
 
 
 def classify(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

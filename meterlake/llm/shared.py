@@ -28,8 +28,8 @@ def ship_package(spark: SparkSession) -> None:
 def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the folder of spark.checkpoint.dir.
 
-    All executors share that folder, so a lost executor costs no rows. Spark removes the files when
-    the frame is no longer in use. Only where the session names no folder, as in tests, one is made.
+    All executors share that folder, so a lost executor costs no rows. The files stay until `release` removes them or
+    the folder's owner does. Only where the session names no folder, as in tests, one is made.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -40,6 +40,30 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(df: DataFrame) -> None:
+    """Remove the files of a settled frame that nothing will read again: all that came of it is settled too."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Repartition":  # gathered
+        plan = plan.child()
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a few numbers each that one task may hold; up to here a frame needs no shuffle at all.
+TASK_ROWS = 500_000
+
+
+def gathered(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A settled frame, in one partition if its rows are counted and few: then grouping and joining shuffle nothing.
+
+    A larger one stays as it is and is shuffled by Spark. For narrow rows only.
+    """
+    limit = TASK_ROWS if rows is None else rows
+    return df.coalesce(1) if df.count() <= limit else df
+
+
 def components(links: DataFrame) -> DataFrame:
     """Distributed union-find: the smallest node of each linked node's component.
 
@@ -55,8 +79,10 @@ def components(links: DataFrame) -> DataFrame:
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )
+    edges = gathered(edges)
     while not _unsettled(edges).isEmpty():
-        edges = settled(_small_star(_large_star(edges)))
+        former, edges = edges, gathered(settled(_small_star(_large_star(edges))))
+        release(former)
     roots = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
     return roots.unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
