@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm import arrays
+from meterlake.llm.buckets import linked
 from meterlake.llm.licenses import LOWER, WORD
-from meterlake.llm.merkle import ordered, shifts, small
-from meterlake.llm.shared import components, gathered, mask_of, masked, packed, release, settled
+from meterlake.llm.shared import gathered, mask_of, masked, packed, settled
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -166,10 +166,6 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return joined.select("a", "b", "text", "other").mapInArrow(compare, "a long, b long")
 
 
-def ordered_pairs(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS
 ) -> tuple[DataFrame, DataFrame]:
@@ -195,60 +191,13 @@ def near_duplicates(
     texts = settled(texts.join(wanted, ["r1", "r2"]).select("key", "text").distinct())
     ranked = gathered(settled(members.select("bucket", "key").join(company, "key")))
 
-    best = ranked.groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("best"))
-    stars = ranked.join(best, "bucket").where("key <> best.key")
-    met = gathered(settled(stars.select(*ordered_pairs("key", "best.key")).distinct()))
-    links = gathered(settled(verified(met, texts, similarity)))
-    # As long as a bucket holds several components, its members go on meeting others, until a whole round links nothing.
-    turn, found = 0, True
-    while found:
-        turn += 1
-        roots = gathered(settled(components(links)))
-        rooted = ranked.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
-        rooted = rooted.withColumn("root", F.coalesce("root", "key"))
-        mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        unsettled = gathered(settled(rooted.join(mixed.select("bucket"), "bucket")))
-        if unsettled.isEmpty():
-            return rows, roots
-        pairs = _other_stars(unsettled, turn).unionByName(_neighbours(unsettled.join(nodes.select("key", "bands"), "key"), turn))
-        pairs = gathered(settled(pairs.distinct().join(met, ["a", "b"], "left_anti")))
-        more = settled(verified(pairs, texts, similarity))
-        found = not more.isEmpty()
-        links = gathered(settled(links.unionByName(more)))
-        met = gathered(settled(met.unionByName(pairs)))
-        release(unsettled)
-        release(more)
-    return rows, roots
-
-
-def _other_stars(members: DataFrame, turn: int) -> DataFrame:
-    """In each bucket, one member of another component than the first one's against the members outside its own.
-
-    The first star has compared everyone with the best text of the bucket. Here everyone meets another text, a
-    different one in each turn.
-    """
-    order = F.xxhash64(F.lit(turn), "root"), F.xxhash64(F.lit(turn), "key")
-    star = F.min(F.struct(order[0].alias("of_root"), order[1].alias("of_key"), "root", "key")).alias("star")
-    stars = members.groupBy("bucket").agg(star)
-    pairs = members.join(stars, "bucket").where("root <> star.root")
-    return pairs.select(*ordered_pairs("key", "star.key")).distinct()
+    def turned(unsettled: DataFrame, turn: int) -> DataFrame:
+        """By the bands that follow the bucket's own, beginning with another one in each turn."""
+        at = F.pmod(F.array_position("bands", F.col("bucket")).cast("int") + (turn - 2), F.size("bands")) + 1
+        order = F.slice(F.concat(F.slice("bands", at, F.size("bands")), F.col("bands")), 2, SORTED_BANDS)
+        return unsettled.join(nodes.select("key", "bands"), "key").withColumn("turned", order)
 
-
-def _neighbours(members: DataFrame, turn: int) -> DataFrame:
-    """In each bucket, neighbours of different components in the order of the other bands, another order in each turn.
-
-    Members are in order over all partitions, so a bucket may be larger than any task.
-    """
-    at = F.array_position("bands", F.col("bucket")).cast("int") + (turn - 1)
-    at = F.pmod(at - 1, F.size("bands")) + 1
-    turned = F.concat(F.slice("bands", at, F.size("bands")), F.col("bands"))
-    rows = members.select("key", "root", "bucket", F.slice(turned, 2, SORTED_BANDS).alias("turned"))
-    rows = ordered(rows, "bucket", "turned", "key").withColumn("all", F.lit(0))
-    rows = rows.join(small(shifts(rows, "all")).drop("size", "all"), "part").select("key", "root", "bucket", (F.col("at") + F.col("shift")).alias("n"))
-    rows = settled(rows)
-    before = rows.select(F.col("key").alias("other"), F.col("root").alias("other_root"), F.col("bucket").alias("in"), (F.col("n") + 1).alias("n"))
-    pairs = rows.join(before, "n").where("bucket = in and root <> other_root")
-    return pairs.select(*ordered_pairs("key", "other")).distinct()
+    return rows, linked(ranked, lambda pairs: verified(pairs, texts, similarity), turned)
 
 
 def classify(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
