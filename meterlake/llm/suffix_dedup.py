@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm import arrays
-from meterlake.llm.shared import marked, mask_of, masked, packed, settled
+from meterlake.llm.shared import marked, mask_of, masked, packed, release, settled
 
 LEAST_WORDS = 50
 GRAM = 6
@@ -154,6 +154,8 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
         .agg(F.collect_set(F.struct((F.col("late.at") - F.col("early.at")).alias("shift"), (F.col("late.at") + F.col("ahead")).alias("at"))).alias("hits"))
     )
     lines = settled(lines)
+    release(many)
+    release(heads)
     wanted = lines.select("doc_id", "r1").unionByName(lines.select(F.col("other_id").alias("doc_id"), F.col("o1").alias("r1"))).distinct()
     same = lambda a, b: (F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))) & (F.col(f"{a}.r1") == F.col(f"{b}.r1"))
     wanted = settled(wanted)
@@ -227,10 +229,15 @@ def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return arrays.span_hashes(data, starts, ends), arrays.bounds(owner, len(texts))
 
 
-def cut_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[bytes, int]:
-    """The text without the word spans, each up to the next word, and the number of words cut."""
+def cut_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int) -> tuple[bytes, np.ndarray, np.ndarray, int]:
+    """The text without the word spans, each up to the next word, the spans cut, and the number of words in them.
+
+    Spans that go to the end of a text are no longer than it; the whole of a text of too few words is no passage.
+    """
     offsets = np.array([0, len(data)])
     starts, ends, _ = arrays.words(data, offsets)
+    end = np.minimum(end, len(starts))
+    begin, end = begin[end - begin >= least], end[end - begin >= least]
     gone = np.zeros(len(starts) + 1, np.int64)
     np.add.at(gone, begin, 1)
     np.add.at(gone, end, -1)
@@ -239,7 +246,25 @@ def cut_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[byt
     following = np.append(starts[1:], len(data))
     for word in np.flatnonzero(gone).tolist():
         keep[starts[word] : following[word]] = False
-    return data[keep].tobytes(), int(gone.sum())
+    return data[keep].tobytes(), begin, end, int(gone.sum())
+
+
+#: End of a span that goes to the end of its text.
+TO_THE_END = 2**31 - 1
+
+
+def whole_texts(source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mask of rows whose text no earlier row has, and spans (doc_id, r1, begin, end) of the others' whole texts."""
+    texts = source.where("text is not null").select(
+        F.xxhash64("text").alias("t1"),
+        F.xxhash64(F.lit(2), "text").alias("t2"),
+        F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1").alias("at"),
+    )
+    texts = settled(texts.distinct())
+    firsts = texts.groupBy("t1", "t2").agg(F.min("at").alias("first"))
+    copies = texts.join(firsts, ["t1", "t2"]).where("at <> first")
+    copies = copies.select("at.doc_id", "at.r1", F.lit(0).alias("begin"), F.lit(TO_THE_END).alias("end"))
+    return mask_of(firsts.select("first.r1"), "r1"), copies
 
 
 def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -252,9 +277,10 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     over and over, kept positions lie a window apart, so up to WINDOW words more than the least length may stay.
     """
     source = packed(docs)
-    spans = repeated_spans(source, least_words).groupBy("doc_id", "r1").agg(
-        F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")
-    )
+    # A copy of a whole text repeats all of it, and no place in it is a first one: only other texts have suffixes.
+    firsts, copies = whole_texts(source)
+    found = repeated_spans(masked(source, "r1", firsts), least_words).unionByName(copies)
+    spans = found.groupBy("doc_id", "r1").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
     spans = settled(spans)
     rows = marked(source, "r1", mask_of(spans, "r1"))
     # Only rows that may lose words are joined, and so shuffled.
@@ -266,16 +292,17 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = batch.column("text"), batch.column("spans")
-            out, count = texts.to_pylist(), [0] * batch.num_rows
+            out, count, cuts = texts.to_pylist(), [0] * batch.num_rows, [None] * batch.num_rows
             has = np.flatnonzero(np.asarray(spans.is_valid()))
             for r in has.tolist():
                 both = spans[r].values
                 begin, end = (both.field(c).to_numpy() for c in ("begin", "end"))
                 raw = np.frombuffer((out[r] or "").encode("utf-8", "surrogatepass"), np.uint8)
-                left, count[r] = cut_spans(raw, begin, end)
-                out[r] = left.decode("utf-8", "surrogatepass")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(out, pa.string()), pa.array(count, pa.int64()), spans], names=["row", "text", "words_cut", "spans"]
-            )
+                left, begin, end, count[r] = cut_spans(raw, begin, end, least_words)
+                if count[r]:
+                    out[r] = left.decode("utf-8", "surrogatepass")
+                    cuts[r] = [{"begin": x, "end": y} for x, y in zip(begin.tolist(), end.tolist())]
+            columns = [batch.column("row"), pa.array(out, pa.string()), pa.array(count, pa.int64()), pa.array(cuts, spans.type)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "words_cut", "spans"])
 
     return touched.mapInArrow(cut, rest.schema).unionByName(rest)
