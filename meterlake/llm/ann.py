@@ -35,18 +35,25 @@ BUCKET_ROWS = 128
 PROBES = 512
 #: Share of the sampled queries that may be searched exhaustively before fewer projections are taken.
 SHORT_QUERIES = 0.05
-#: Rows of a table that one task holds, and above which a bucket is split.
-SHARD_ROWS, SPLIT_ROWS = 65_536, 8_192
-QUERY_ROWS = 4_096
+#: Rows of a table that one shard holds, and above which a bucket is split.
+SHARD_ROWS, SPLIT_ROWS = 16_384, 8_192
+#: Queries that meet a shard at once. Visits to a shard don't grow with the rows, so few shards need several rounds.
+QUERY_ROWS = 32_768
+#: Queries whose visits one task works out.
+PROBED_ROWS = 256
 SEED = 20_240_607
 
 
 def usable_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id and v (array of double), without rows that are null, zero, or hold null or non-finite components."""
+    """vec_id and v (array of double), without rows that are null, zero, or hold null or non-finite components.
+
+    Of rows with one id the smallest by its components is taken.
+    """
     rows = vectors.where("vec_id is not null and embedding is not null")
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.where(fine & F.exists("v", lambda x: x != 0)).dropDuplicates(["vec_id"])
+    rows = rows.where(fine & F.exists("v", lambda x: x != 0))
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 @dataclass(frozen=True)
@@ -275,6 +282,7 @@ def _ranked(candidates: DataFrame, visits: DataFrame, queries: DataFrame, index:
         return pd.DataFrame({"query_id": own[who], "vec_id": vec, "score": score})
 
     keys = ["tab", "shard", "block"]
+    candidates = candidates.select(*(F.col(c).alias(c) for c in candidates.columns))
     return asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
 
 
@@ -293,15 +301,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shards, blocks = -(-n // SHARD_ROWS), -(-asked // QUERY_ROWS)
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     hashed = _hashed(vectors, index)
     sizes = hashed.groupBy("tab", "bucket").agg(F.count("*").alias("size"))
     sizes = settled(sizes.select("tab", "bucket", F.ceil(F.col("size") / SPLIT_ROWS).cast("int").alias("salts")))
-    salted = hashed.join(sizes, ["tab", "bucket"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
     shard = F.pmod(F.xxhash64("bucket", "salt"), F.lit(shards)).cast("int").alias("shard")
-    candidates = salted.select("tab", shard, "bucket", "vec_id", "v", all_blocks)
-    visits = _probed(queries, index).join(sizes, ["tab", "bucket"])
-    visits = visits.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).select("tab", shard, block, "bucket", "query_id")
+    visits = _probed(queries.repartition(-(-asked // PROBED_ROWS), "vec_id"), index).join(sizes, ["tab", "bucket"])
+    visits = visits.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
+    visits = settled(visits.select("tab", "bucket", "salt", shard, "query_id"))
+    # A shard that too many queries visit meets them in several rounds; only then its rows are sent more than once.
+    rounds = visits.groupBy("tab", "shard").agg(F.approx_count_distinct("query_id").alias("asking"))
+    rounds = settled(rounds.select("tab", "shard", F.ceil(F.col("asking") / QUERY_ROWS).cast("int").alias("rounds")))
+    of_round = F.pmod(F.xxhash64("query_id"), F.col("rounds")).cast("int").alias("block")
+    visits = visits.join(rounds, ["tab", "shard"]).select("tab", "shard", of_round, "bucket", "query_id", "salt")
+    # Only rows of buckets that some query visits are sent at all.
+    renewed = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
+    visited = renewed(visits.select("tab", "bucket", "salt", "shard").distinct())
+    salted = hashed.join(sizes, ["tab", "bucket"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
+    candidates = salted.join(visited, ["tab", "bucket", "salt"]).join(renewed(rounds), ["tab", "shard"])
+    candidates = candidates.select("tab", "shard", F.explode(F.expr("sequence(0, rounds - 1)")).alias("block"), "bucket", "vec_id", "v")
+    visits = visits.drop("salt")
     found = settled(_ranked(candidates, visits, queries, index, k).distinct())
     short = queries.select("vec_id").join(
         found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")), "vec_id", "left"
@@ -310,6 +328,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
     own = vectors.select("vec_id", F.lit(1).alias("own"))
     short = settled(short.join(own, "vec_id", "left").where(F.coalesce("n", F.lit(0)) < F.least(F.lit(k), F.lit(n) - F.coalesce("own", F.lit(0)))).select("vec_id"))
     if not short.isEmpty():
+        all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
         parts = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
         everything = vectors.select(F.lit(0).alias("tab"), parts, F.lit(0).cast("long").alias("bucket"), "vec_id", "v", all_blocks)
         everywhere = short.select(F.col("vec_id").alias("query_id")).select(

@@ -53,4 +53,17 @@ WITH RECURSIVE framed AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
 """
 
-ORACLE_SQL: dict[str, str] = {"op12_merkle_manifest": OP12}
+OP10 = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, LAMBDA x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, LAMBDA x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), LAMBDA p: p[1] * p[2]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_threshold_topk": OP10, "op12_merkle_manifest": OP12}

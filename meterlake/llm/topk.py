@@ -93,11 +93,13 @@ def top_k(
     """The k best rows for each query by integer inner product: query_id, rank, vec_id, score.
 
     Both frames hold vec_id and v (arrays of long). A query's own id is no candidate. Ties go to the smaller
-    vec_id. Rows alike in id are one, and so are queries. Vectors of another length than the query don't
+    vec_id. Rows alike in id are one, the smallest by its components, and so are queries. Vectors of another length than the query don't
     compete. Scores beyond a long are set to its limits. Queries and candidates meet in blocks: every block of queries
     is sent once to every shard, and only the best k of each shard come back.
     """
-    vectors, queries = vectors.dropDuplicates(["vec_id"]), queries.dropDuplicates(["vec_id"])
+    # Of vectors with one id the smallest by content is taken, so that reruns agree. New columns, so that both frames may
+    # come from one.
+    vectors, queries = (rows.groupBy(F.col("vec_id").alias("vec_id")).agg(F.min("v").alias("v")) for rows in (vectors, queries))
     shards, blocks = max(1, -(-vectors.count() // shard_rows)), max(1, -(-queries.count() // query_rows))
     part = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     candidates = vectors.select(part(shards).alias("shard"), F.size("v").alias("dims"), "vec_id", "v")
@@ -105,7 +107,7 @@ def top_k(
 
     def search(rows: DataFrame, beats: DataFrame | None, shard: F.Column) -> DataFrame:
         sent = asked if beats is None else asked.join(beats, "vec_id", "left")
-        sent = sent.withColumn("beat", F.lit(None).cast("double") if beats is None else F.col("beat"))
+        sent = sent.withColumn("beat", F.lit(None).cast("string") if beats is None else F.col("beat"))
         sent = sent.select("block", "dims", "vec_id", "v", "beat", F.explode(shard).alias("shard"))
 
         def meet(_, queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -115,7 +117,7 @@ def top_k(
                 kind = number_type(q, x)
                 lists = SortedLists(held.vec_id.to_numpy(), x.astype(kind))
                 for own, beat, row in zip(queries.vec_id.to_numpy(), queries.beat.to_numpy(), q.astype(kind)):
-                    found, score = lists.search(row, own, k, -np.inf if np.isnan(beat) else beat)
+                    found, score = lists.search(row, own, k, -np.inf if beat is None else int(beat))
                     limit = 2**63 - 1
                     score = np.array([min(max(int(s), -limit - 1), limit) for s in score], np.int64)
                     out.append((np.full(len(found), own), lists.ids[found], score))
@@ -128,7 +130,7 @@ def top_k(
 
     first = settled(search(candidates.where("shard = 0"), None, F.array(F.lit(0))))
     # The kth score of the first shard; fewer found there give nothing to beat.
-    beats = first.groupBy("query_id").agg(F.min("score").cast("double").alias("beat"), F.count("*").alias("n"))
+    beats = first.groupBy("query_id").agg(F.min("score").cast("string").alias("beat"), F.count("*").alias("n"))
     beats = beats.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "beat")
     rest = search(candidates.where("shard > 0"), beats, F.sequence(F.lit(1), F.lit(shards - 1))) if shards > 1 else None
     found = first if rest is None else first.unionByName(rest)

@@ -132,3 +132,31 @@ def test_queries_beyond_the_probe_budget_keep_their_recall(spark, monkeypatch):
         assert len(got[i]) == 10
         hits += len(got[i] & set(order))
     assert hits >= 0.9 * 10 * 60
+
+
+def test_top_k_of_one_frame_and_scores_near_a_limit(spark):
+    """Both sides from one frame; scores that doubles can't tell apart; rows of one id with different vectors."""
+    rows = [(i, [1 << 40, (1 << 22) + i % 7]) for i in range(60)] + [(3, [1 << 40, 0]), (3, [1 << 41, 0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = topk.top_k(df, df.where("vec_id in (0, 50)"), 4, shard_rows=9, query_rows=1).collect()
+    held = {i: min(v for j, v in rows if j == i) for i, _ in rows}
+    limit = 2**63 - 1
+    for q in (0, 50):
+        score = {i: min(limit, sum(a * b for a, b in zip(held[q], v))) for i, v in held.items() if i != q}
+        exact = {i: sum(a * b for a, b in zip(held[q], v)) for i, v in held.items() if i != q}
+        best = sorted(exact, key=lambda i: (-exact[i], i))[:4]
+        found = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert {s for _, _, s in found} == {score[i] for i in best}
+
+
+def test_hot_shards_meet_their_queries_in_rounds(spark, vectors, monkeypatch):
+    """Small shards, split buckets and few queries a round find what one large shard finds."""
+    ids, x = vectors
+    rows = [(int(i), v.tolist()) for i, v in zip(ids[:600], x[:600])] + [(10_000 + i, x[0].tolist()) for i in range(200)]
+    df = ann.usable_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    index = ann.fit_index(df, 10)
+    asked = df.where("vec_id % 7 = 0")
+    whole = sorted(map(tuple, ann.nearest(df, asked, 10, index).collect()))
+    for name, value in (("SHARD_ROWS", 100), ("SPLIT_ROWS", 40), ("QUERY_ROWS", 16)):
+        monkeypatch.setattr(ann, name, value)
+    assert sorted(map(tuple, ann.nearest(df, asked, 10, index).collect())) == whole
