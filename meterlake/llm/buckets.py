@@ -8,51 +8,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from meterlake.llm.merkle import ordered, shifts, small
-from meterlake.llm.shared import components, gathered, release, settled
+from meterlake.llm.shared import TASK_ROWS, components, settled, settled_in
 
 
 def ordered_pairs(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+#: Orders that a turn sorts buckets in, and how far apart members in one order may stand to meet.
+ORDERS, REACH = 2, 2
+
+
 def linked(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], turned: Callable[[DataFrame, int], DataFrame]
+    members: DataFrame, verify: Callable[[DataFrame, bool], DataFrame], turned: Callable[[DataFrame, int], DataFrame]
 ) -> DataFrame:
     """(node, root) of all members linked to another, from settled members (bucket, key, company).
 
-    verify keeps those of the pairs (a, b) that are alike. In each bucket all meet the member with the most company first.
-    Then, while a bucket holds several components, its members go on meeting others, until a whole turn links
-    nothing. turned adds `turned` to members, what their bucket is sorted by in a turn: like members should come close.
+    verify keeps those of the pairs (a, b) that are alike; it is told whether the pairs are known to be few. In each bucket
+    all meet the member with the most company and their neighbours first. Then, while a bucket holds several components, its
+    members go on meeting others, until a whole turn links nothing. turned adds `turned` to members, what
+    their bucket is sorted by: like members should come close, and every number should give another order.
     """
+    few = members.count() * (1 + ORDERS * REACH) <= 4 * TASK_ROWS
+    members = members.coalesce(1) if few else members
+    rooted = members.withColumn("root", F.col("key"))
     best = members.groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("best"))
-    stars = members.join(best, "bucket").where("key <> best.key")
-    met = gathered(settled(stars.select(*ordered_pairs("key", "best.key")).distinct()))
-    links = gathered(settled(verify(met)))
+    stars = members.join(best, "bucket").where("key <> best.key").select(*ordered_pairs("key", "best.key"))
+    met = links = None
     turn = 0
     while True:
-        turn += 1
-        roots = gathered(settled(components(links)))
+        pairs = stars if met is None else _other_stars(rooted, turn)
+        for number in range(ORDERS):
+            pairs = pairs.unionByName(_neighbours(turned(rooted, turn * ORDERS + number), few))
+        pairs = pairs.distinct()
+        pairs = settled_in(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), few)
+        more = settled_in(verify(pairs, few), few)
+        if links is not None and more.isEmpty():
+            return roots
+        met, links = (pairs, more) if met is None else (met.unionByName(pairs), links.unionByName(more))
+        if few:
+            met, links = met.coalesce(1), links.coalesce(1)
+        roots = settled_in(components(links, few), few)
         rooted = members.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         rooted = rooted.withColumn("root", F.coalesce("root", "key"))
         mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
         # Of two members one was the star, and they have met.
-        mixed = mixed.where("low <> high and n > 2").select("bucket")
-        unsettled = gathered(settled(rooted.join(mixed, "bucket")))
-        if unsettled.isEmpty():
-            return roots
-        pairs = _other_stars(unsettled, turn).unionByName(_neighbours(turned(unsettled, turn)))
-        pairs = gathered(settled(pairs.distinct().join(met, ["a", "b"], "left_anti")))
-        more = settled(verify(pairs))
-        found = not more.isEmpty()
-        if not found:
-            return roots
-        links = gathered(settled(links.unionByName(more)))
-        met = gathered(settled(met.unionByName(pairs)))
-        for used in (unsettled, more, pairs, roots):
-            release(used)
+        rooted = settled_in(rooted.join(mixed.where("low <> high and n > 2").select("bucket"), "bucket"), few)
+        turn += 1
 
 
 def _other_stars(members: DataFrame, turn: int) -> DataFrame:
@@ -61,17 +66,29 @@ def _other_stars(members: DataFrame, turn: int) -> DataFrame:
     star = F.min(F.struct(order[0].alias("of_root"), order[1].alias("of_key"), "root", "key")).alias("star")
     stars = members.groupBy("bucket").agg(star)
     pairs = members.join(stars, "bucket").where("root <> star.root")
-    return pairs.select(*ordered_pairs("key", "star.key")).distinct()
+    return pairs.select(*ordered_pairs("key", "star.key"))
 
 
-def _neighbours(members: DataFrame) -> DataFrame:
-    """In each bucket, neighbours of different components in the order of `turned`.
+def _neighbours(members: DataFrame, few: bool) -> DataFrame:
+    """In each bucket, members of different components that stand close to each other in the order of `turned`.
 
     Members are in order over all partitions, so a bucket may be larger than any task.
     """
-    rows = ordered(members.select("key", "root", "bucket", "turned"), "bucket", "turned", "key").withColumn("all", F.lit(0))
+    rows = members.select("key", "root", "bucket", "turned")
+    if few:  # in one partition, sorted once
+        order = Window.orderBy("bucket", "turned", "key")
+        before = {f"before{i}": F.lag(F.struct("key", "root", "bucket"), i).over(order) for i in range(1, REACH + 1)}
+        near = rows.withColumns(before).select("key", "root", "bucket", F.explode(F.array(*before)).alias("other"))
+        pairs = near.where("other.bucket = bucket and other.root <> root")
+        return pairs.select(*ordered_pairs("key", "other.key"))
+    rows = ordered(rows, "bucket", "turned", "key").withColumn("all", F.lit(0))
     shift = small(shifts(rows, "all")).drop("size", "all")
     rows = settled(rows.join(shift, "part").select("key", "root", "bucket", (F.col("at") + F.col("shift")).alias("n")))
-    before = rows.select(F.col("key").alias("other"), F.col("root").alias("other_root"), F.col("bucket").alias("in"), (F.col("n") + 1).alias("n"))
+    before = rows.select(
+        F.col("key").alias("other"),
+        F.col("root").alias("other_root"),
+        F.col("bucket").alias("in"),
+        F.explode(F.array(*(F.col("n") + reach for reach in range(1, REACH + 1)))).alias("n"),
+    )
     pairs = rows.join(before, "n").where("bucket = in and root <> other_root")
-    return pairs.select(*ordered_pairs("key", "other")).distinct()
+    return pairs.select(*ordered_pairs("key", "other"))

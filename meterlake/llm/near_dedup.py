@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterlake.llm import arrays
 from meterlake.llm.buckets import linked
 from meterlake.llm.licenses import LOWER, WORD
-from meterlake.llm.shared import gathered, mask_of, masked, packed, settled
+from meterlake.llm.shared import mask_of, masked, packed, settled
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -184,20 +184,20 @@ def near_duplicates(
     buckets = nodes.select("key", F.explode("bands").alias("bucket"))
     # Only buckets with company go on. Counting and joining share one shuffle of small rows.
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = gathered(settled(buckets.join(sizes, "bucket")))
-    company = gathered(settled(members.groupBy("key").agg(F.sum("size").alias("company"))))
+    members = settled(buckets.join(sizes, "bucket"))
+    company = settled(members.groupBy("key").agg(F.sum("size").alias("company")))
     wanted = settled(nodes.join(company, "key").select("key", "r1", "r2"))
     texts = masked(source.select("r1", "r2", F.coalesce("text", F.lit("")).alias("text")), "r1", mask_of(wanted, "r1"))
     texts = settled(texts.join(wanted, ["r1", "r2"]).select("key", "text").distinct())
-    ranked = gathered(settled(members.select("bucket", "key").join(company, "key")))
+    ranked = settled(members.select("bucket", "key").join(company, "key"))
 
     def turned(unsettled: DataFrame, turn: int) -> DataFrame:
-        """By the bands that follow the bucket's own, beginning with another one in each turn."""
-        at = F.pmod(F.array_position("bands", F.col("bucket")).cast("int") + (turn - 2), F.size("bands")) + 1
+        """By the bands that follow the bucket's own, beginning with another one for each number."""
+        at = F.pmod(F.array_position("bands", F.col("bucket")).cast("int") + (5 * turn - 1), F.size("bands")) + 1
         order = F.slice(F.concat(F.slice("bands", at, F.size("bands")), F.col("bands")), 2, SORTED_BANDS)
         return unsettled.join(nodes.select("key", "bands"), "key").withColumn("turned", order)
 
-    return rows, linked(ranked, lambda pairs: verified(pairs, texts, similarity), turned)
+    return rows, linked(ranked, lambda pairs, few: verified(pairs, texts, similarity), turned)
 
 
 def classify(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

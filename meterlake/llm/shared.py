@@ -52,19 +52,16 @@ def release(df: DataFrame) -> None:
 
 
 #: Rows of a few numbers each that one task may hold; up to here a frame needs no shuffle at all.
-TASK_ROWS = 500_000
+TASK_ROWS = 1 << 20
 
 
-def gathered(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """A settled frame, in one partition if its rows are counted and few: then grouping and joining shuffle nothing.
-
-    A larger one stays as it is and is shuffled by Spark. For narrow rows only.
-    """
-    limit = TASK_ROWS if rows is None else rows
-    return df.coalesce(1) if df.count() <= limit else df
+def settled_in(df: DataFrame, few: bool) -> DataFrame:
+    """`settled`, in one partition if the rows are known to be few: then grouping and joining shuffle nothing."""
+    df = settled(df)
+    return df.coalesce(1) if few else df
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, few: bool = False) -> DataFrame:
     """Distributed union-find: the smallest node of each linked node's component.
 
     links has `a` and `b` of one orderable type. Returns (node, root) for every node of a link between
@@ -73,15 +70,17 @@ def components(links: DataFrame) -> DataFrame:
     Minima are aggregated before any shuffle, and joins on a hot node are left to the
     skew handling of adaptive execution. The number of rounds grows with the logarithm of the nodes.
     It ends when the edges are separate stars: no `lo` is a `hi`, and every `hi` has one `lo`.
+    `few` says that the links are known to be at most TASK_ROWS; else they are counted, and edges never become more.
     """
     edges = settled(
         links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )
-    edges = gathered(edges)
+    few = few or edges.count() <= TASK_ROWS
+    edges = edges.coalesce(1) if few else edges
     while not _unsettled(edges).isEmpty():
-        former, edges = edges, gathered(settled(_small_star(_large_star(edges))))
+        former, edges = edges, settled_in(_small_star(_large_star(edges)), few)
         release(former)
     roots = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
     return roots.unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())

@@ -327,9 +327,9 @@ def test_line_dedup_keeps_one_of_each_kind(spark):
 
 
 def test_only_signatures_leave_dataframe_functions(spark):
-    """The native form fails the limits of the check tool (README); signatures alone are drawn in numpy."""
+    """The native form fails the limits of the check tool (README); only shingles are drawn and compared in numpy."""
     source = packed(spark.read.parquet(f"{SF}/documents.parquet"))
-    for df in (line_rows(source), similar_lines(line_rows(source), 0.8), dropped_lines(source), dedup_lines(spark.read.parquet(f"{SF}/documents.parquet"))):
+    for df in (line_rows(source), dropped_lines(source), dedup_lines(spark.read.parquet(f"{SF}/documents.parquet"))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas|MapIn", plan)
 
