@@ -7,8 +7,9 @@ so it can read the table itself or the much smaller meter-day rollup.
 Double sums depend on the order in which Spark merges partitions, and a mean
 such as 223.625 then rounds either way. The parts below are bigints: a value in
 millionths, cut at 2**20 into a high and a low half. Each half stays inside a
-bigint for about 8e12 rows per group; past that, ANSI mode raises. A single value
-beyond 9.2e12 raises as well, and digits beyond the sixth decimal are rounded.
+bigint for about 8e12 rows per group; past that, ANSI mode raises. Digits beyond the sixth decimal are
+rounded. Values beyond 9.2e12 don't fit and are summed as plain doubles beside the others; `wide.wide_sums`
+is exact for them too, and for any decimals.
 """
 
 from __future__ import annotations
@@ -45,8 +46,12 @@ LARGEST = 9.2e12
 
 
 def _micros_sql(column: str) -> str:
-    too_large = f"raise_error('{column} has a value beyond {LARGEST:g}, which exact sums do not cover')"
-    return f"floor(if(abs({column}) > {LARGEST:g}D, CAST({too_large} AS double), {column}) * {MICRO}D + 0.5D)"
+    return f"floor(if(abs({column}) > {LARGEST:g}D, 0D, {column}) * {MICRO}D + 0.5D)"
+
+
+def _wide_sql(column: str) -> str:
+    """A value that is not among the millionths, else 0."""
+    return f"if(abs({column}) > {LARGEST:g}D, {column}, 0D)"
 
 
 def _halves_sql(column: str) -> tuple[str, str]:
@@ -54,10 +59,10 @@ def _halves_sql(column: str) -> tuple[str, str]:
     return f"shiftright({whole}, {_LOW_BITS})", f"{whole} & {_LOW - 1}L"
 
 
-def _joined(high: Column, low: Column) -> Column:
-    wide = "decimal(20,0)"
-    total = high.cast(wide) * F.lit(_LOW).cast("decimal(7,0)") + low.cast(wide)
-    return total.cast("double") / float(MICRO)
+def _joined(high: Column, low: Column, wide: Column) -> Column:
+    whole = "decimal(20,0)"
+    total = high.cast(whole) * F.lit(_LOW).cast("decimal(7,0)") + low.cast(whole)
+    return total.cast("double") / float(MICRO) + wide
 
 
 def _component_sql() -> tuple[str, ...]:
@@ -67,6 +72,7 @@ def _component_sql() -> tuple[str, ...]:
         parts[f"{flag}__n"] = f"if({flag}, 1L, 0L)"
     for name in DOUBLES:
         parts[f"{name}__high"], parts[f"{name}__low"] = _halves_sql(name)
+        parts[f"{name}__wide"] = _wide_sql(name)
         parts[f"{name}__n"] = f"if({name} IS NULL, 0L, 1L)"
     parts["battery_pct__sum"] = "CAST(battery_pct AS bigint)"
     parts["battery_pct__n"] = "if(battery_pct IS NULL, 0L, 1L)"
@@ -116,7 +122,7 @@ def flag_rows(flag: str) -> Column:
 
 def total(measure: str) -> Column:
     if measure in DOUBLES:
-        return _joined(F.sum(f"{measure}__high"), F.sum(f"{measure}__low"))
+        return _joined(F.sum(f"{measure}__high"), F.sum(f"{measure}__low"), F.sum(f"{measure}__wide"))
     return F.sum(f"{measure}__sum")
 
 
@@ -167,7 +173,7 @@ def pct_of_rows(condition: Column) -> Column:
 
 def exact_sum(column: str) -> Column:
     high, low = _halves_sql(column)
-    return _joined(F.sum(F.expr(high)), F.sum(F.expr(low)))
+    return _joined(F.sum(F.expr(high)), F.sum(F.expr(low)), F.sum(F.expr(_wide_sql(column))))
 
 
 def exact_avg(column: str) -> Column:

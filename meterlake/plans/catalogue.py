@@ -9,7 +9,7 @@ from threading import RLock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions import measures, scalars
+from meterlake.functions import measures, scalars, wide
 from meterlake.operators import anomaly, clean, filters, quality
 from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
@@ -454,6 +454,14 @@ over_readings(
 
 over_readings("a01_count", lambda df: df.agg(F.count("*").alias("readings")))
 over_readings("a02_count_distinct", lambda df: statements.meters_by(df, "feeder_id"))
+@query("a05_wide_sums")
+def _(spark, sf_dir):
+    """Sums in which values cancel that are too far apart for doubles."""
+    small = (F.col("battery_pct") * 0.25, F.col("issue_count") / float(1 << 20))
+    values = F.array(*(F.lit(v) for v in (1e300, 1e13 + 0.5, -1e300, -1e13)), *small)
+    return wide.wide_sums(readings(spark, sf_dir).select("district", F.explode(values).alias("v")), ["district"], "v")
+
+
 @query("a02_sketched_meters")
 def _(spark, sf_dir):
     """Meters of each area and status, exact and from merged sketches of the days."""

@@ -693,3 +693,5 @@ add(
           AND district NOT IN (SELECT n_name FROM nation WHERE n_nationkey = 11)
         GROUP BY {AREA}""",
 )
+SMALL = "(COUNT(*) * 0.5::DOUBLE + SUM(battery_pct) * 0.25::DOUBLE + SUM(issue_count) / 1048576::DOUBLE)"
+add("a05_wide_sums", f"SELECT district, {SMALL} AS total, {SMALL} / (COUNT(*) * 6) AS average, COUNT(*) * 6 AS n FROM readings GROUP BY district")

@@ -135,10 +135,46 @@ def test_failed_refresh_leaves_the_old_extracts(spark, table, tmp_path, monkeypa
     assert [p.name for p in tmp_path.iterdir()] == ["extracts"]
 
 
-def test_values_beyond_exact_sums_are_an_error(spark):
+def test_values_beyond_the_millionths_are_summed_too(spark):
     from meterlake.functions.measures import exact_sum
 
     df = spark.createDataFrame([(9.1e12,), (-9.1e12,), (0.25,)], "x double")
     assert df.agg(exact_sum("x")).first()[0] == 0.25
-    with pytest.raises(Exception, match="beyond"):
-        spark.createDataFrame([(1e13,), (1e13,)], "x double").agg(exact_sum("x")).collect()
+    large = spark.createDataFrame([(1e13,), (1e13,), (1e300,), (0.25,), (None,)], "x double")
+    assert large.agg(exact_sum("x")).first()[0] == 1e300
+    assert large.where("x < 1e14").agg(exact_sum("x")).first()[0] == 2e13 + 0.25
+
+
+def test_wide_sums_are_exact(spark):
+    import math
+    from fractions import Fraction
+    from random import Random
+
+    from meterlake.functions.wide import wide_sums
+
+    random = Random(3)
+    groups = {
+        "mixed": [1e300, 1e13, 4e-7, -1e300],
+        "too large": [1.7e308] * 3,
+        "smallest": [5e-324] * 7 + [2.2e-308],
+        "nothing": [None, float("nan"), float("inf")],
+        "zeros": [0.0, -0.0],
+        "any": [random.uniform(-1, 1) * 2.0 ** random.randint(-1000, 1000) for _ in range(300)],
+        "powers": [-(2.0**k) for k in range(-1074, 1000, 7)] + [0.1] * 100,
+        None: [0.1, 0.2, -0.3],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    got = {r.k: r for r in wide_sums(df, ["k"], "v").collect()}
+    assert got.keys() == groups.keys()
+    for k, values in groups.items():
+        finite = [v for v in values if v is not None and math.isfinite(v)]
+        total = sum(map(Fraction, finite))
+        assert got[k].n == len(finite)
+        if not finite:
+            assert got[k].total is got[k].average is None
+        else:
+            assert got[k].total == (math.inf if k == "too large" else float(total)) and got[k].average == float(total / len(finite))
+    whole = wide_sums(df.where("k = 'mixed'"), [], "v").collect()
+    assert [(r.total, r.n) for r in whole] == [(1e13 + 4e-7, 4)] and wide_sums(df.limit(0), ["k"], "v").count() == 0
