@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from meterlake.functions.measures import exact_avg
 from meterlake.functions.scalars import health_status, issue_count, parse
 from meterlake.operators.clean import add_missing, conform
+from meterlake.operators.filters import on_days
 from meterlake.schema import (
     FLAGS,
     IDENTITY,
+    PARTITION_KEYS,
     RAW_COLUMNS,
     RAW_TYPES,
     REQUIRED_FIELDS,
@@ -385,3 +387,55 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
         .agg(F.sum("_l").alias("left_rows"), F.sum("_r").alias("right_rows"))
         .filter("left_rows <> right_rows")
     )
+
+
+def _digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per partition the number of rows and two digests of them that don't depend on their order."""
+    row = F.xxhash64(*(F.col(c).isNull() for c in columns), *columns), F.xxhash64(F.lit(1), *columns)
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.sum(row[0].cast("decimal(38,0)")).alias("total"), F.bit_xor(row[1]).alias("mixed")
+    )
+
+
+def differing_partitions(left: DataFrame, right: DataFrame, keys: Sequence[str] = PARTITION_KEYS) -> DataFrame:
+    """Keys of the partitions whose rows are not the same on both sides. Only one row a partition is shuffled."""
+    sides = [_digests(df, keys, left.columns).withColumnsRenamed({k: f"{k}{i}" for k in keys}) for i, df in enumerate((left, right))]
+    sides = [df.select(*(F.col(f"{k}{i}") for k in keys), F.struct("n", "total", "mixed").alias(f"digest{i}")) for i, df in enumerate(sides)]
+    same_keys = reduce(and_, (F.col(f"{k}0").eqNullSafe(F.col(f"{k}1")) for k in keys))
+    both = sides[0].join(sides[1], same_keys, "full_outer").where(~F.col("digest0").eqNullSafe(F.col("digest1")))
+    return both.select(*(F.when(F.col("digest0").isNull(), F.col(f"{k}1")).otherwise(F.col(f"{k}0")).alias(k) for k in keys))
+
+
+def partition_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """`row_differences` of two day-partitioned tables at the price of the days that differ.
+
+    Days are compared by digests, which every task makes of its own rows. Only rows of days that differ, read again by
+    their partitions, are shuffled. Days are collected: there are as many as the calendar has.
+    """
+    days = ["-".join(str(row[k]) for k in PARTITION_KEYS) for row in differing_partitions(left, right).collect()]
+    return row_differences(on_days(left, days), on_days(right, days))
+
+
+#: Types a text cell may have, the narrower ones first; every whole number is a number, and every cell is text.
+CELL_TYPES = ("boolean", "int", "double", "timestamp", "string")
+
+
+def sniffed_types(raw: DataFrame, share: float = 0.9) -> DataFrame:
+    """For each column of text cells its likely type, how many cells it has, and how many conflict with that type.
+
+    One aggregation over all columns. The likely type is the narrowest one that at least ``share`` of the cells have, so a
+    few bad cells don't make a column text; they are counted instead. Cells stay as they are.
+    """
+    counts = []
+    for name in raw.columns:
+        fits = [F.count_if(F.col(f"`{name}`").try_cast(dtype).isNotNull()) for dtype in CELL_TYPES[:-1]]
+        counts.append(F.struct(F.count(f"`{name}`").alias("cells"), *(c.alias(t) for c, t in zip(fits, CELL_TYPES))).alias(name))
+    lines = []
+    for name in raw.columns:
+        found = F.col(f"`{name}`")
+        fitting, conflicts = F.lit("string"), F.lit(0).cast("bigint")
+        for dtype in reversed(CELL_TYPES[:-1]):
+            likely = (found["cells"] > 0) & (found[dtype] >= share * found["cells"])
+            fitting, conflicts = F.when(likely, dtype).otherwise(fitting), F.when(likely, found["cells"] - found[dtype]).otherwise(conflicts)
+        lines.append({"column_name": F.lit(name), "likely_type": fitting, "cells": found["cells"], "conflicts": conflicts})
+    return raw.agg(*counts).select(_rows(lines))

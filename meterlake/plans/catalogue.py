@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import measures, scalars, wide
 from meterlake.operators import anomaly, clean, filters, quality
+from meterlake.operators.charts import fitted_histogram
 from meterlake.plans import charts, dashboard, load, notebook, statements, views
 from meterlake.schema import CRITICAL, FLAGS, HEALTHY, RAW_COLUMNS, WARNING
 from meterlake.session import fresh_path
@@ -145,6 +146,12 @@ def _(spark, sf_dir):
     return clean.clean(files.read_csv(spark, raw_csv(spark, sf_dir), sniff=True))
 
 
+@query("s02_sniffed_types")
+def _(spark, sf_dir):
+    """Likely types of text cells, some of which are faulty, from one pass."""
+    return quality.sniffed_types(demo.faulty_text(raw(spark, sf_dir)).select(*RAW_COLUMNS))
+
+
 @query("s03_parquet_scan")
 def _(spark, sf_dir):
     return clean.clean(files.read_parquet(spark, raw_parquet(spark, sf_dir)))
@@ -650,6 +657,8 @@ over_readings(
 )
 over_readings("e17_signal_quality", dashboard.signal_quality_histogram)
 over_readings("e18_worst_signal_devices", dashboard.worst_signal_devices)
+for _column in ("voltage", "current", "power_factor", "battery_pct"):
+    over_readings(f"e19_fitted_bins_{_column}", fitted_histogram, column=_column)
 over_readings("e19_voltage_distribution", dashboard.distribution, column="voltage")
 over_readings("e20_power_factor_distribution", dashboard.distribution, column="power_factor")
 over_readings(
@@ -752,6 +761,18 @@ def _(spark, sf_dir):
     return quality.row_differences(views.communication_health(loaded), views.communication_health(boundary))
 
 
+@query("k17_reconcile_by_day")
+def _(spark, sf_dir):
+    """A table against its own later state, in which two days have changed: the readings of those days alone differ."""
+    loaded = readings(spark, sf_dir)
+    path = fresh_path(spark, "k17")
+    tables.write_partitioned(loaded, path)
+    doubled = filters.in_dates(loaded, "2024-01-05", "2024-01-06").withColumn("consumption_kwh", F.col("consumption_kwh") * 2)
+    tables.write_partitioned(doubled, path)
+    found = quality.partition_differences(loaded, files.read_processed(spark, path))
+    return found.groupBy("event_date").agg(F.sum("left_rows").alias("before"), F.sum("right_rows").alias("after"))
+
+
 # Named future analytics.
 
 over_readings("x01_rolling_outliers", anomaly.rolling_outliers, window=12, threshold=2.5)

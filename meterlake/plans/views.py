@@ -28,6 +28,7 @@ from meterlake.functions.measures import (
     status_rows,
     total,
 )
+from meterlake.operators.filters import on_days
 from meterlake.schema import CRITICAL, HEALTHY, PARTITION_KEYS, WARNING
 from meterlake.sinks.versions import current, publish, resolve, retire
 from meterlake.sources.paths import delete, exists
@@ -291,16 +292,6 @@ def day_fingerprints(df: DataFrame) -> dict[str, str]:
     return {day: sha256("\n".join(sorted(names)).encode()).hexdigest() for day, names in files.items()}
 
 
-def on_days(df: DataFrame, days) -> DataFrame:
-    """Readings of the given days, by partition keys: one term a month."""
-    months: dict[tuple[str, str], list[str]] = {}
-    for day in days:
-        year, month, dom = day.split("-")
-        months.setdefault((year, month), []).append(dom)
-    terms = [f"(year = {int(y)} AND month = '{m}' AND day IN ({', '.join(repr(d) for d in sorted(ds))}))" for (y, m), ds in sorted(months.items())]
-    return df.where(" OR ".join(terms) or "false")
-
-
 def refresh_views(df: DataFrame, base: str, names=tuple(VIEWS), at_once: int = 4) -> dict[str, str]:
     """Bring the extracts up to date at the price of the days that changed; gives their folders.
 

@@ -695,3 +695,29 @@ add(
 )
 SMALL = "(COUNT(*) * 0.5::DOUBLE + SUM(battery_pct) * 0.25::DOUBLE + SUM(issue_count) / 1048576::DOUBLE)"
 add("a05_wide_sums", f"SELECT district, {SMALL} AS total, {SMALL} / (COUNT(*) * 6) AS average, COUNT(*) * 6 AS n FROM readings GROUP BY district")
+add(
+    "k17_reconcile_by_day",
+    """SELECT event_date, CAST(COUNT(*) AS BIGINT) AS before, CAST(COUNT(*) AS BIGINT) AS after FROM readings
+       WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' AND consumption_kwh <> 0 GROUP BY event_date""",
+)
+for column in ("voltage", "current", "power_factor", "battery_pct"):
+    add(
+        f"e19_fitted_bins_{column}",
+        f"""SELECT floor(CAST(round({column} * 1000000) AS BIGINT) / step) * step / 1000000 AS bin_low, COUNT(*) AS readings, step / 1000000 AS bin_width
+            FROM readings, steps WHERE {column} IS NOT NULL GROUP BY bin_low, step""",
+        f"""spans AS (SELECT 2 * (quantile_disc({column}, 0.75) - quantile_disc({column}, 0.25)) / pow(COUNT({column}), 1 / 3.0) AS raw FROM readings)""",
+        "leads AS (SELECT pow(10, floor(log10(raw))) AS power, raw / pow(10, floor(log10(raw))) AS lead FROM spans)",
+        """steps AS (SELECT round(1000000 * power * CASE WHEN lead < 1.5 THEN 1 WHEN lead < 3.5 THEN 2 WHEN lead < 7.5 THEN 5 ELSE 10 END) AS step
+           FROM leads)""",
+    )
+TYPES = {"timestamp": "timestamp", "last_communication_time": "timestamp"} | {c: "boolean" for c in FLAGS}
+TYPES |= {c: "double" for c in ("voltage", "current", "power_factor", "rssi", "consumption_kwh")} | {"battery_pct": "int"}
+ODD = FAULTS | {"battery_pct": "event_id % 67 = 3"}
+raw(
+    "s02_sniffed_types",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, '{TYPES.get(c, "string")}' AS likely_type, 
+              {count_if(f"{c} IS NOT NULL OR {ODD.get(c, 'false')}")} AS cells, {count_if(ODD.get(c, 'false'))} AS conflicts FROM raw"""
+        for c in RAW_COLUMNS
+    ),
+)
