@@ -28,21 +28,22 @@ def linked(
     """(node, root) of all members linked to another, from settled members (bucket, key, company).
 
     verify keeps those of the pairs (a, b) that are alike; it is told whether the pairs are known to be few. In each bucket
-    all meet the member with the most company and their neighbours first. Then, while a bucket holds several components, its
-    members go on meeting others, until a whole turn links nothing. turned adds `turned` to members, what
+    all meet the member with the most company first. Then, while a bucket holds several components, its
+    members go on meeting others and their neighbours, until a whole turn links nothing. turned adds `turned` to members, what
     their bucket is sorted by: like members should come close, and every number should give another order.
     """
     few = members.count() * (1 + ORDERS * REACH) <= 4 * TASK_ROWS
     members = members.coalesce(1) if few else members
-    rooted = members.withColumn("root", F.col("key"))
     best = members.groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("best"))
     stars = members.join(best, "bucket").where("key <> best.key").select(*ordered_pairs("key", "best.key"))
     met = links = None
     turn = 0
     while True:
-        pairs = stars if met is None else _other_stars(rooted, turn)
-        for number in range(ORDERS):
-            pairs = pairs.unionByName(_neighbours(turned(rooted, turn * ORDERS + number), few))
+        pairs = stars
+        if met is not None:
+            pairs = _other_stars(rooted, turn)
+            for number in range(ORDERS):
+                pairs = pairs.unionByName(_neighbours(turned(rooted, turn * ORDERS + number), few))
         pairs = pairs.distinct()
         pairs = settled_in(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), few)
         more = settled_in(verify(pairs, few), few)

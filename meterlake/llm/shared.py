@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
+from itertools import count
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
 _SHIPPED: set[str] = set()
+#: Settled frames between two collections of the driver's garbage.
+TIDY_EVERY = 6
+_SETTLED = count(1)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -37,7 +42,19 @@ def settled(df: DataFrame) -> DataFrame:
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    kept = df.checkpoint()
+    if next(_SETTLED) % TIDY_EVERY == 0:
+        tidy(df.sparkSession)
+    return kept
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which a driver with memory to spare puts off while disks fill.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def release(df: DataFrame) -> None:

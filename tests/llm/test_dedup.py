@@ -361,3 +361,62 @@ def test_lines_of_odd_and_empty_tables(spark):
     cut = dedup_lines(odd)
     assert cut.count() == odd.count() and cut.select("row.*").columns == odd.columns
     assert dedup_lines(odd.limit(0)).count() == 0
+
+
+def test_long_texts_words_and_lines(spark):
+    """Texts beyond a piece of a batch, a line beyond it, and words whose hashes agree modulo powers of two."""
+    from random import Random
+
+    random = Random(21)
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    words = [f"w{random.randrange(10**6)}" for _ in range(400_000)]
+    text = " ".join(words)
+    assert len(text) > arrays.PIECE_BYTES
+    other = " ".join(words[:-1000])
+    rows = [(1, text), (2, other), (3, " ".join([a] * 60)), (4, " ".join([b] * 60)), (5, f"{text}\nshort")]
+    df = documents(spark, rows).repartition(2)
+    got = {r.doc_id: r.class_id for r in classify(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+    lines = {r.row.doc_id: (r.text, r.lines_cut) for r in dedup_lines(df).collect()}
+    assert lines[1] == (text, 0) and lines[2] == ("", 1) and lines[5] == ("short", 1)
+    cut = {r.row.doc_id: r for r in cut_repeats(df).collect()}
+    assert cut[1].words_cut == 0 and cut[2].words_cut == 399_000 and cut[5].text == "short" and cut[4].text.split()[:1] == [b]
+
+
+def test_copies_of_whole_texts_are_cut(spark):
+    short, long = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(70))
+    rows = [(i + j, t) for i in range(0, 300, 3) for j, t in enumerate((long, short, f"{long} c{i + 2}"))]
+    rows += [(None, long), (None, ""), (1000, None)]
+    got = [(r.row.doc_id, r.row.text, r.text, r.words_cut, r.spans) for r in cut_repeats(documents(spark, rows).repartition(5)).collect()]
+    for i, before, after, n, spans in got:
+        if before in (short, None, "") or (i == 0 and before == long):
+            assert after == before and n == 0 and spans is None
+        elif before == long:
+            assert after == "" and n == 70 and [(s.begin, s.end) for s in spans] == [(0, 70)]
+        else:
+            assert after.strip() == f"c{i}" and n == 70
+
+
+def test_a_hot_bucket_of_many_pairs(spark):
+    """Texts that share most of their words with all others, and enough to be alike with one of them only."""
+    from random import Random
+
+    random = Random(22)
+    fresh = lambda n: [f"v{random.randrange(10**9)}" for _ in range(n)]
+    frame, rows = fresh(300), []
+    for i in range(60):
+        own = fresh(100)
+        rows += [(2 * i, " ".join(frame + own)), (2 * i + 1, " ".join(frame + own[:-18] + fresh(18)))]
+    got = {r.doc_id: r.class_id for r in classify(documents(spark, rows).repartition(4)).collect()}
+    import numpy as np
+
+    held = {i: (np.array(sorted(v), np.uint64), np.array([v[s] for s in sorted(v)])) for i, v in profiles(dict(rows)).items()}
+    union = Union()
+    for i in held:
+        union.find(i)
+        for j in range(i):
+            if near_dedup.probability_jaccard(*held[i], *held[j]) >= 0.8 - 1e-9:
+                union.join(i, j)
+    assert got == {i: union.find(i) for i in held} and len(set(got.values())) == 60

@@ -9,8 +9,8 @@ import pytest
 from llm_making import AWKWARD, SF, documents, odd_documents, texts_of
 from tokenizers import Tokenizer
 
-from meterlake.llm import queries, token_counts, trie_bpe
-from meterlake.llm.packing import best_fit, pack_documents, pack_pieces
+from meterlake.llm import arrays, queries, token_counts, trie_bpe
+from meterlake.llm.packing import best_fit, cut_pieces, pack_documents, pack_pieces
 from meterlake.llm.shared import ship_package
 
 BYTE, WORD = (queries.tokenizer_path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -146,3 +146,50 @@ def test_queries_run_over_whole_tables(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op3_trie_bpe", "op6_token_counts"):
         assert queries.QUERIES[name](spark, SF).count() == n
+
+
+def doubling(first, second, letters):
+    """A word that alternates two letters in the doubling order, and its mirror image."""
+    a, b = first, second
+    while len(a) < letters:
+        a, b = a + b, b + a
+    return a, b
+
+
+def hard_texts():
+    """Words whose hashes agree modulo powers of two, and a text longer than a piece of a batch."""
+    pairs = [doubling(x, y, 2048) for x, y in ("ab", "th", "qz", "eo", "01", "xy")]
+    texts = [t for a, b in pairs for t in (f"{a} {b}", f"{b} {a} {a}", a, b)]
+    return [*texts, "some words, 1234 and don't\n" * 90_000]
+
+
+def test_alike_hashes_and_long_texts_equal_the_library(spark):
+    ship_package(spark)
+    texts = dict(enumerate(hard_texts()))
+    assert len(texts[len(texts) - 1]) > arrays.PIECE_BYTES
+    df = documents(spark, [*texts.items()]).coalesce(1)
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, BYTE).collect()}
+    pieces = defaultdict(list)
+    for r in cut_pieces(df, BYTE, 1024, 2).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    trips = {r.doc_id: r for r in trie_bpe.round_trip(df, WORD).collect()}
+    words = Tokenizer.from_file(WORD)
+    for i, byte, word in zip(texts, encoded(BYTE, texts.values()), encoded(WORD, texts.values())):
+        assert counts[i] == len(byte.ids)
+        ids = np.array([*byte.ids, 2], "<u4")
+        for start, length, crc in pieces[i]:
+            assert zlib.crc32(ids[start : start + length].tobytes()) == crc
+        assert sum(length for _, length, _ in pieces[i]) == len(ids)
+        assert trips[i].n_tokens == len(word.ids)
+        assert trips[i].ids_sha256 == hashlib.sha256(np.array(word.ids, "<u4").tobytes()).hexdigest()
+        assert trips[i].decoded_sha256 == hashlib.sha256(words.decode(word.ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_hashes_tell_doubling_words_apart():
+    for x, y in ("ab", "th", "01"):
+        a, b = doubling(x, y, 4096)
+        data = np.frombuffer((a + b + a).encode(), np.uint8)
+        at = np.array([0, len(a), 2 * len(a)])
+        h = arrays.span_hashes(data, at, at + len(a))
+        assert h[0] == h[2] != h[1]
+        assert not arrays.equal_spans(data, at[:2], at[1:], data, at[1:], at[1:] + len(a)).any()
