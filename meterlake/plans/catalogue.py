@@ -248,9 +248,9 @@ def _discovered(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 def _(spark, sf_dir):
     """Columns that came and went, with the readings of the delivery that brought the change."""
     zone, catalogue = _discovered(spark, sf_dir)
-    per_file = deliveries.headers(deliveries.lines_of(spark, zone)).select("file", "lines")
+    per_file = deliveries.header_report(spark, zone).select("file", "readings")
     readings_of = per_file.join(catalogue.select("file", "delivery").distinct(), "file").groupBy("delivery")
-    return discovery.column_log(catalogue).join(readings_of.agg(F.sum("lines").alias("readings")), "delivery")
+    return discovery.column_log(catalogue).join(readings_of.agg(F.sum("readings").alias("readings")), "delivery")
 
 
 @query("s11_raw_zone_versions")

@@ -6,21 +6,24 @@ from it, so discovering the same files again changes nothing, and files may be f
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterlake.sources.deliveries import columns_of, headers, lines_of, read_by_header
+from meterlake.sources.deliveries import columns_of, delivered_files, headers, read_by_header
 from meterlake.sources.paths import depth, exists
 
 
 def delivered_columns(spark: SparkSession, zone: str, only: str | None = None) -> DataFrame:
     """(delivery, file, column_name, position) of all files. A delivery is a folder or file right below the zone."""
-    found = headers(lines_of(spark, zone if only is None else only))
-    named = [(row["header"], columns_of(row["header"])) for row in found.select("header").distinct().toLocalIterator()]
-    names = spark.createDataFrame(named, "header string, columns array<string>")
-    delivery = F.get(F.split(F.parse_url("file", F.lit("PATH")), "/"), F.lit(depth(spark, zone)))
-    columns = F.posexplode(F.transform("columns", lambda c: F.lower(c))).alias("position", "column_name")
-    return found.join(names, "header").select(delivery.alias("delivery"), "file", columns).select("delivery", "file", "column_name", "position")
+    found = headers(spark, delivered_files(spark, zone if only is None else only))
+    at = depth(spark, zone)
+    rows = []
+    for file, header in found.items():
+        delivery = urlparse(file).path.split("/")[at]
+        rows += [(unquote(delivery), file, name.lower(), i) for i, name in enumerate(columns_of(header))]
+    return spark.createDataFrame(rows, "delivery string, file string, column_name string, position int")
 
 
 def discover_zone(spark: SparkSession, zone: str, catalogue: str, only: str | None = None) -> DataFrame:
@@ -78,4 +81,4 @@ def read_zone(spark: SparkSession, zone: str, catalogue: DataFrame) -> DataFrame
     """All readings of the zone as text, with every column that any delivery had; columns are matched by name."""
     known = catalogue.groupBy("column_name").agg(F.min(F.struct("delivery", "position")).alias("first"))
     columns = [row["column_name"] for row in known.orderBy("first", "column_name").collect()]
-    return read_by_header(spark, headers(lines_of(spark, zone)), columns, required=())
+    return read_by_header(spark, headers(spark, delivered_files(spark, zone)), columns, required=(), fill=False)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,28 +13,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schema import DEFAULTS, RAW_COLUMNS, UNDEFAULTED
+from meterlake.sources.paths import first_line
 
 
 def lines_of(spark: SparkSession, path) -> DataFrame:
-    """Text lines with the file they stand in and where the part of the file begins that holds them."""
-    return with_place(spark.read.text(path, recursiveFileLookup=True))
+    """Text lines with the file they stand in."""
+    return with_file(spark.read.text(path, recursiveFileLookup=True))
 
 
-def with_place(text: DataFrame) -> DataFrame:
-    """Lines with their file and the block of it."""
-    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    return text.select("value", *place)
+def with_file(text: DataFrame) -> DataFrame:
+    # Local paths are written with one slash or with three; both mean one file.
+    return text.select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("file"))
 
 
-def headers(lines: DataFrame) -> DataFrame:
-    """(file, header, lines): the first line of every file that is not blank, and how many such lines follow.
+def delivered_files(spark: SparkSession, path) -> list[str]:
+    """Files below the path, or paths, as Spark lists them; nothing is read."""
+    listed = spark.read.text(path, recursiveFileLookup=True).inputFiles()
+    return sorted(re.sub("^file:/+", "file:///", file) for file in listed)
 
-    Only one row a file leaves a task. A file without any line has no row.
+
+def headers(spark: SparkSession, files: Iterable[str], at_once: int = 32) -> dict[str, str]:
+    """The header of each file; a file without any line has none.
+
+    One short read a file, as listing it takes, several at once. Only headers reach the driver.
     """
-    placed = lines.where(F.trim("value") != "").select("file", "block", "value", F.monotonically_increasing_id().alias("at"))
-    first = F.when(F.col("block") == 0, F.struct("at", F.col("value").alias("header")))
-    counted = placed.groupBy("file").agg(F.min(first).alias("first"), (F.count("*") - 1).alias("lines"))
-    return counted.select("file", F.regexp_replace("first.header", "^\\uFEFF", "").alias("header"), "lines")
+    files = list(files)
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return {file: line for file, line in zip(files, pool.map(lambda f: first_line(spark, f), files)) if line is not None}
 
 
 def columns_of(header: str) -> list[str]:
@@ -49,39 +57,34 @@ def _header_state(header: str) -> tuple[list[str], list[str], list[str], bool]:
 
 
 def header_report(spark: SparkSession, path) -> DataFrame:
-    """One line for each delivered file: how its header differs from the expected one, and whether it can be read.
-
-    Headers, of which there are few, are judged on the driver; files are not collected.
-    """
-    found = headers(lines_of(spark, path))
-    lists = ("missing", "unexpected", "twice")
+    """One line for each delivered file: how its header differs from the expected one, and whether it can be read."""
     judged = []
-    for row in found.select("header").distinct().toLocalIterator():
-        missing, unexpected, twice, moved = _header_state(row["header"])
+    for file, header in headers(spark, delivered_files(spark, path)).items():
+        missing, unexpected, twice, moved = _header_state(header)
         readable = not twice and not set(missing) & set(UNDEFAULTED)
-        judged.append((row["header"], missing, unexpected, twice, moved, readable))
-    schema = "header string, " + ", ".join(f"{n} array<string>" for n in lists) + ", moved boolean, readable boolean"
-    states = spark.createDataFrame(judged, schema)
-    texts = (F.array_join(name, ",").alias(name) for name in lists)
-    return found.join(states, "header").select("file", F.col("lines").alias("readings"), *texts, "moved", "readable")
+        judged.append((file, ",".join(missing), ",".join(unexpected), ",".join(twice), moved, readable))
+    schema = "file string, missing string, unexpected string, twice string, moved boolean, readable boolean"
+    lines = lines_of(spark, path).where(F.trim("value") != "").groupBy("file").agg((F.count("*") - 1).alias("readings"))
+    return lines.join(spark.createDataFrame(judged, schema), "file")
 
 
-def _default(name: str) -> Column:
+def _default(name: str | None) -> Column:
     """The text that cleaning reads as the column's default; null if it has none."""
     value = DEFAULTS.get(name)
     return F.lit(None if value is None else str(value).lower() if isinstance(value, bool) else str(value)).cast("string")
 
 
-def read_by_header(spark: SparkSession, found: DataFrame, columns=RAW_COLUMNS, required=UNDEFAULTED) -> DataFrame:
-    """The given columns, as text, of all files in ``found`` (file, header).
+def read_by_header(spark: SparkSession, found: dict[str, str], columns=RAW_COLUMNS, required=UNDEFAULTED, fill: bool = True) -> DataFrame:
+    """The given columns, as text, of all files in ``found``, given with their headers.
 
     One scan for each different header, all in one frame. An absent column becomes its default, as in a
     whole delivery without it. Columns that nobody expects are left out. A file that lacks a time column, which has no
-    default, or names a column twice is an error that names the file. Other columns without a default are null where absent.
+    default, or names a column twice is an error that names the file. Other columns without a default are null where absent,
+    and so are all without ``fill``.
     """
     files: dict[str, list[str]] = {}
-    for row in found.select("header", "file").toLocalIterator():
-        files.setdefault(row["header"], []).append(row["file"])
+    for file, header in found.items():
+        files.setdefault(header, []).append(file)
     parts = []
     for header in sorted(files):
         names = [name.lower() for name in columns_of(header)]
@@ -92,7 +95,7 @@ def read_by_header(spark: SparkSession, found: DataFrame, columns=RAW_COLUMNS, r
             raise ValueError(f"no column {', '.join(lost)} in {files[header][0]}")
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
         reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
-        cells = (F.col(f"`{name}`") if name in names else _default(name) for name in columns)
+        cells = (F.col(f"`{name}`") if name in names else _default(name if fill else None) for name in columns)
         parts.append(reader.csv(sorted(files[header])).select(*(cell.alias(name) for cell, name in zip(cells, columns))))
     if not parts:
         return spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType()) for name in columns]))
@@ -101,4 +104,4 @@ def read_by_header(spark: SparkSession, found: DataFrame, columns=RAW_COLUMNS, r
 
 def read_delivery(spark: SparkSession, path) -> DataFrame:
     """Raw CSV readings of a delivery, whatever the order and number of columns of its files."""
-    return read_by_header(spark, headers(lines_of(spark, path)))
+    return read_by_header(spark, headers(spark, delivered_files(spark, path)))

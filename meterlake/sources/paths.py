@@ -64,3 +64,21 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(opened.readAllBytes()).decode("utf-8")
     finally:
         opened.close()
+
+
+def first_line(spark: SparkSession, path: str, chunk: int = 1 << 16) -> str | None:
+    """The first line of a text file that is not blank, packed files included; only as much as needed is read."""
+    fs, hadoop_path = _opened(spark, path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(hadoop_path)
+    opened = fs.open(hadoop_path)
+    try:
+        text = opened if codec is None else codec.createInputStream(opened)
+        held = b""
+        while more := bytes(text.readNBytes(chunk)):
+            held = (held + more).lstrip(b"\r\n \t")
+            if b"\n" in held or b"\r" in held:
+                break
+        lines = held.decode("utf-8", "replace").lstrip("\ufeff").splitlines()
+        return lines[0] if lines else None
+    finally:
+        opened.close()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from meterlake.sinks.merging import merge_delivery
-from meterlake.sources.deliveries import headers, read_by_header, with_place
+from meterlake.sources.deliveries import headers, read_by_header, with_file
 from meterlake.sources.paths import delete
 
 
@@ -21,12 +21,14 @@ def arriving_csv(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_place(reader.text(path))
+    return with_file(reader.text(path))
 
 
 def delivered(batch: DataFrame) -> DataFrame:
     """The readings of the files whose lines are in the batch, each file read by its own header."""
-    return read_by_header(batch.sparkSession, headers(batch))
+    spark = batch.sparkSession
+    files = sorted(row["file"] for row in batch.select("file").distinct().collect())
+    return read_by_header(spark, headers(spark, files))
 
 
 def merge_batch(raw: DataFrame, batch_id: int, target: str, staging: str, lag_mode: str = "elapsed") -> None:

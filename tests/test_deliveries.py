@@ -54,13 +54,25 @@ def test_a_large_file_in_parts_has_one_header(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        (found,) = deliveries.headers(deliveries.lines_of(spark, str(tmp_path / "z"))).collect()
-        assert found.header.split(",") == list(RAW_COLUMNS) and found.lines == 400
+        (found,) = deliveries.header_report(spark, str(tmp_path / "z")).collect()
+        assert found.readable and not found.missing and found.readings == 400
         assert deliveries.read_delivery(spark, str(tmp_path / "z")).count() == 400
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_packed_files_and_long_headers(spark, tmp_path):
+    import gzip
+
+    put(tmp_path / "z", "a.csv", [*RAW_COLUMNS, *(f"more_{i}" for i in range(20_000))], row("A1"))
+    text = (tmp_path / "z" / "a.csv").read_bytes()
+    (tmp_path / "z" / "b.csv.gz").write_bytes(gzip.compress(text.replace(b"A1", b"B1")))
+    (tmp_path / "z" / "a.csv").write_bytes(b"\n" * 100_000 + text.rstrip(b"\n"))
+    found = deliveries.headers(spark, deliveries.delivered_files(spark, str(tmp_path / "z")))
+    assert [deliveries.columns_of(h)[-1] for h in found.values()] == ["more_19999"] * 2
+    assert deliveries.header_report(spark, str(tmp_path / "z")).where("readable and readings = 1").count() == 2
+
+
 def test_arriving_files_may_differ_in_their_headers(spark, tmp_path):
     zone = tmp_path / "zone"
     put(zone, "a.csv", RAW_COLUMNS, row("A1"))
