@@ -18,8 +18,8 @@ def ordered_pairs(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-#: Orders that a turn sorts buckets in, and how far apart members in one order may stand to meet.
-ORDERS, REACH = 2, 2
+#: Orders that a turn sorts buckets in.
+ORDERS = 2
 
 
 def linked(
@@ -32,7 +32,7 @@ def linked(
     members go on meeting others and their neighbours, until a whole turn links nothing. turned adds `turned` to members, what
     their bucket is sorted by: like members should come close, and every number should give another order.
     """
-    few = members.count() * (1 + ORDERS * REACH) <= 4 * TASK_ROWS
+    few = members.count() <= TASK_ROWS
     members = members.coalesce(1) if few else members
     best = members.groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("best"))
     stars = members.join(best, "bucket").where("key <> best.key").select(*ordered_pairs("key", "best.key"))
@@ -71,25 +71,19 @@ def _other_stars(members: DataFrame, turn: int) -> DataFrame:
 
 
 def _neighbours(members: DataFrame, few: bool) -> DataFrame:
-    """In each bucket, members of different components that stand close to each other in the order of `turned`.
+    """In each bucket, neighbours of different components in the order of `turned`.
 
     Members are in order over all partitions, so a bucket may be larger than any task.
     """
     rows = members.select("key", "root", "bucket", "turned")
     if few:  # in one partition, sorted once
-        order = Window.orderBy("bucket", "turned", "key")
-        before = {f"before{i}": F.lag(F.struct("key", "root", "bucket"), i).over(order) for i in range(1, REACH + 1)}
-        near = rows.withColumns(before).select("key", "root", "bucket", F.explode(F.array(*before)).alias("other"))
+        before = F.lag(F.struct("key", "root", "bucket")).over(Window.orderBy("bucket", "turned", "key"))
+        near = rows.select("key", "root", "bucket", before.alias("other"))
         pairs = near.where("other.bucket = bucket and other.root <> root")
         return pairs.select(*ordered_pairs("key", "other.key"))
     rows = ordered(rows, "bucket", "turned", "key").withColumn("all", F.lit(0))
     shift = small(shifts(rows, "all")).drop("size", "all")
     rows = settled(rows.join(shift, "part").select("key", "root", "bucket", (F.col("at") + F.col("shift")).alias("n")))
-    before = rows.select(
-        F.col("key").alias("other"),
-        F.col("root").alias("other_root"),
-        F.col("bucket").alias("in"),
-        F.explode(F.array(*(F.col("n") + reach for reach in range(1, REACH + 1)))).alias("n"),
-    )
+    before = rows.select(F.col("key").alias("other"), F.col("root").alias("other_root"), F.col("bucket").alias("in"), (F.col("n") + 1).alias("n"))
     pairs = rows.join(before, "n").where("bucket = in and root <> other_root")
     return pairs.select(*ordered_pairs("key", "other"))
