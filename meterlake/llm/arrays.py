@@ -38,11 +38,11 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut by the bytes of their column `text`; a longer text is a piece of its own."""
+    """Batches cut by the bytes of their column `text`, and `other` if there is one; a longer row is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, at = column_bytes(batch.column("text"))
+        at = sum(column_bytes(batch.column(c))[1] for c in ("text", "other") if c in batch.schema.names)
         first = 0
         while first < batch.num_rows:
             last = max(first + 1, int(np.searchsorted(at, at[first] + limit, side="right")) - 1)
@@ -70,11 +70,11 @@ def prime_powers(n: int, base: int, prime: int) -> np.ndarray:
     if held is not None and len(held) >= n:
         return held[:n]
     size = max(n, PIECE_BYTES + (1 << 16))
-    out = np.ones(size, np.uint64)
+    out = np.ones(size, np.uint32)
     done = 1
     while done < size:
-        more = min(done, size - done)
-        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        more = min(done, size - done, 1 << 16)
+        out[done : done + more] = out[:more].astype(np.uint64) * np.uint64(pow(base, done, prime)) % np.uint64(prime)
         done += more
     if size <= 16 * PIECE_BYTES:  # one huge text: don't keep its table
         _PRIME_POWERS[base, prime] = out
