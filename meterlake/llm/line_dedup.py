@@ -2,7 +2,7 @@
 
 A line is the set of its five-character shingles. One hash of every shingle gives a signature: the range of hashes is cut
 into registers, each keeps its smallest hash, and an empty one takes that of another, always in the same order. Bands of
-registers are bucket keys. Members of a bucket meet unless a short sketch of their signatures says that they are far from
+registers are bucket keys. Members of a bucket meet unless the parities of their shingles show that they can't be
 alike; the exact Jaccard similarity of the whole lines decides, union-find joins the links, and one line of
 each component stays.
 
@@ -20,17 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlake.llm import arrays
-from meterlake.llm.buckets import linked
-from meterlake.llm.shared import marked, mask_of, masked, packed, release, settled, settled_in
+from meterlake.llm.buckets import linked, parities
+from meterlake.llm.shared import marked, mask_of, masked, packed, release, settled, tidy
 
 SIMILARITY = 0.8
 SHINGLE = 5
 BANDS, BAND_ROWS = 20, 6  # misses a pair of similarity 0.8 with probability 0.0023, one of 0.85 with 0.00001
-#: Registers whose last two bits make the sketch, and how many of them must agree before texts are compared. A pair of
-#: similarity 0.8 agrees in 27 on average, with a deviation of 2.
-SKETCHED, AGREEING = 32, 20
-#: Lines of fewer shingles have no sketch and are always compared: their registers repeat too few hashes.
-SKETCH_FROM = 64
+#: Registers whose last two bits make the sketch that buckets are sorted by.
+SKETCHED = 32
+#: Words of the marks that rule pairs out.
+MARK_WORDS = 4
 #: Lines that a task remembers, so that one which stands there often has keys only once or a few times.
 REMEMBERED = 1 << 20
 _NONE = np.uint64(2**64 - 1)
@@ -70,10 +69,23 @@ def line_shingles(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return arrays.mixed(arrays.mixed(low) ^ (letters[3] | (letters[4] << np.uint64(21)))), owner, size
 
 
+def distinct_shingles(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every shingle of a line once, in order."""
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])) if len(h) else np.zeros(0, bool)
+    return h[new], owner[new]
+
+
 def line_signatures(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Registers of each line, and how many shingles it has; codes are the code points of all lines, at where they begin."""
-    registers, n = BANDS * BAND_ROWS, len(at) - 1
     h, owner, size = line_shingles(codes, at)
+    return signatures(h, owner, size), size
+
+
+def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Registers of each line from its shingles, repeated ones or not."""
+    registers, n = BANDS * BAND_ROWS, len(size)
     register = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
     held = np.full(n * registers, _NONE, np.uint64)
     np.minimum.at(held, owner * registers + register, h)
@@ -91,11 +103,11 @@ def line_signatures(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
         got = filled[asked]
         whole[empty[got]] = held[asked[got]]
         empty = empty[~got]
-    return whole.reshape(n, registers), size
+    return whole.reshape(n, registers)
 
 
 def line_sketches(lines: DataFrame) -> DataFrame:
-    """(lh, sketch, bands) of lines (lh, line). A line that a task meets again may be left out."""
+    """(lh, sketch, size, marks, bands) of lines (lh, line). A line that a task meets again may be left out."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -108,26 +120,23 @@ def line_sketches(lines: DataFrame) -> DataFrame:
             if len(seen) > REMEMBERED:
                 seen.clear()
             batch = batch.take(pa.array(fresh, pa.int64()))
-            drawn, size = line_signatures(*code_points(batch.column("text")))
+            h, owner, size = line_shingles(*code_points(batch.column("text")))
             n = len(size)
+            h, owner = distinct_shingles(h, owner)
+            drawn, different = signatures(h, owner, size), np.bincount(owner, minlength=n)
+            marks = parities(h, owner, n, MARK_WORDS)
             bands = np.zeros((n, BANDS), np.uint64)
             for j in range(BAND_ROWS):
                 bands = arrays.mixed(bands * np.uint64(31) + drawn[:, j::BAND_ROWS])
             bands = arrays.mixed(bands + np.arange(BANDS, dtype=np.uint64))
             bits = (arrays.mixed(drawn[:, :SKETCHED]) & np.uint64(3)) << np.arange(0, 2 * SKETCHED, 2, dtype=np.uint64)
-            sketch = np.where(size < SKETCH_FROM, np.uint64(0), np.bitwise_or.reduce(bits, axis=1))
+            sketch = np.bitwise_or.reduce(bits, axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(arrays.as_long(bands.ravel())))
-            yield pa.RecordBatch.from_arrays([batch.column("lh"), pa.array(arrays.as_long(sketch)), lists], names=["lh", "sketch", "bands"])
+            columns = [batch.column("lh"), pa.array(arrays.as_long(sketch)), pa.array(different, pa.int32()), marks, lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["lh", "sketch", "size", "marks", "bands"])
 
     rows = lines.select("lh", F.col("line").alias("text"))
-    return rows.mapInArrow(draw, "lh long, sketch long, bands array<long>")
-
-
-def may_be_alike(x: str, y: str) -> Column:
-    """False only if both lines have sketches and these agree in too few registers."""
-    differ = F.col(x).bitwiseXOR(F.col(y))
-    differ = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
-    return (F.col(x) == 0) | (F.col(y) == 0) | (F.bit_count(differ) <= SKETCHED - AGREEING)
+    return rows.mapInArrow(draw, "lh long, sketch long, size int, marks array<long>, bands array<long>")
 
 
 def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
@@ -137,18 +146,20 @@ def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
     # First the buckets of several lines, by aggregation; then only their members are shuffled.
     shared = keys.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
     shared = settled(shared.select("bucket"))
+    tidy(lines.sparkSession)  # that shuffle holds a row for each line and band
     members = masked(keys, "bucket", mask_of(shared, "bucket")).distinct().join(shared, "bucket", "left_semi")
     members = settled(members)
-    release(drawn)
     company = members.groupBy("bucket").agg(F.count("*").alias("company"))
     members = settled(members.join(company, "bucket"))
-    sketches = settled(members.select("key", "sketch").distinct())
+    marked_lines = drawn.select(F.col("lh").alias("key"), "size", "marks").join(members.select("key").distinct(), "key", "left_semi")
+    marks = settled(marked_lines.dropDuplicates(["key"]))
+    release(drawn)
+
+    def limit(x: Column, y: Column) -> Column:
+        return (x + y) * ((1 - similarity) / (1 + similarity)) + 1e-6
 
     def verify(pairs: DataFrame, few: bool) -> DataFrame:
-        held = sketches.coalesce(1) if few else sketches
-        side = lambda name: held.select(F.col("key").alias(name), F.col("sketch").alias(f"sketch_{name}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").where(may_be_alike("sketch_a", "sketch_b"))
-        return _verified(settled_in(near.select("a", "b"), few), lines, similarity)
+        return _verified(pairs, lines, similarity)
 
     def turned(unsettled: DataFrame, number: int) -> DataFrame:
         """By the sketch, beginning with another register for each number."""
@@ -156,7 +167,7 @@ def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
         start = F.shiftrightunsigned("sketch", bit).bitwiseXOR(F.shiftleft("sketch", 64 - bit)) if bit else F.col("sketch")
         return unsettled.withColumn("turned", start)
 
-    return linked(members, verify, turned)
+    return linked(members, marks, MARK_WORDS, limit, verify, turned)
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
@@ -171,11 +182,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
         for batch in arrays.pieces(batches):
             sets = []
             for name in ("text", "other"):
-                h, owner = line_shingles(*code_points(batch.column(name)))[:2]
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                new = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])) if len(h) else np.zeros(0, bool)
-                sets.append((h[new], owner[new]))
+                sets.append(distinct_shingles(*line_shingles(*code_points(batch.column(name)))[:2]))
             h, owner = (np.concatenate(side) for side in zip(*sets))
             order = np.lexsort((h, owner))
             h, owner = h[order], owner[order]

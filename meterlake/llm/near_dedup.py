@@ -8,7 +8,9 @@ last register filled can't change anything and ends early.
 
 Bands of registers give candidates. In each bucket all texts are compared with the one that has the most
 company, then, while it holds several components, with texts of other components and with sorted neighbours, others in
-every turn, until a whole turn finds no link. The pairs of a turn stay linear in the texts. Exact similarities decide, and union-find joins the links.
+every turn. The pairs of a turn stay linear in the texts. In the end all pairs of different components that share a bucket
+are looked at; parities of their shingles rule out those that can't be alike. Exact similarities decide, and union-find
+joins the links.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlake.llm import arrays
-from meterlake.llm.buckets import linked
+from meterlake.llm.buckets import linked, parities
 from meterlake.llm.licenses import LOWER, WORD
 from meterlake.llm.shared import mask_of, masked, packed, settled
 
@@ -29,6 +31,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 5  # misses a pair of similarity 0.8 with probability 0.00007
 #: Bands that members of a bucket are sorted by, after the bucket's own.
 SORTED_BANDS = 8
+#: Words of the marks that rule pairs out.
+MARK_WORDS = 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,7 +97,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int
 
 
 def sketch(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
-    """Key of the word sequence and band hashes of every row."""
+    """Key of the word sequence, total weight, marks and band hashes of every row."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.pieces(batches):
@@ -106,7 +110,9 @@ def sketch(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             k1 = np.where(bare, text, sequence_hashes(words, owner, begin, 1))
             k2 = np.where(bare, np.uint64(0), sequence_hashes(words, owner, begin, 2) | np.uint64(1))
             hashes, of, count = shingles(words, owner, n)
-            drawn = signatures(hashes, of, weights(count), n, bands * band_rows).reshape(n, bands, band_rows)
+            weight = weights(count)
+            drawn = signatures(hashes, of, weight, n, bands * band_rows).reshape(n, bands, band_rows)
+            total = pa.array(np.bincount(of, weights=weight, minlength=n).astype(np.float64))
             value = np.zeros((n, bands), np.uint64)
             for j in range(band_rows):
                 value = arrays.mixed(value * _STEP + drawn[:, :, j])
@@ -117,12 +123,12 @@ def sketch(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             )
             columns = [batch.column(c) for c in ("doc_id", "r1", "r2")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(arrays.as_long(k1)), pa.array(arrays.as_long(k2)), lists],
-                names=["doc_id", "r1", "r2", "k1", "k2", "bands"],
+                [*columns, pa.array(arrays.as_long(k1)), pa.array(arrays.as_long(k2)), total, parities(hashes, of, n, MARK_WORDS), lists],
+                names=["doc_id", "r1", "r2", "k1", "k2", "size", "marks", "bands"],
             )
 
     return rows.select("doc_id", "r1", "r2", "text").mapInArrow(
-        draw, "doc_id long, r1 long, r2 long, k1 long, k2 long, bands array<long>"
+        draw, "doc_id long, r1 long, r2 long, k1 long, k2 long, size double, marks array<long>, bands array<long>"
     )
 
 
@@ -141,6 +147,18 @@ def probability_jaccard(a: np.ndarray, v: np.ndarray, b: np.ndarray, w: np.ndarr
     return float((v_in / (v_up[last] + w_down[last] / ratio)).sum())
 
 
+def most_apart(similarity: float) -> float:
+    """Shares of their weights that two sets of this similarity may have only on their own, both added.
+
+    With shares x and y the similarity is at most the smaller of 1 - x and 1 - y, and at most the mean of f(x) and f(y), where
+    f(x) = (1 - x) / (1 + x). As f is convex the sum is largest where one share is 1 - similarity.
+    """
+    if similarity <= 0.5:
+        return 2.0
+    other = max(2 * similarity - similarity / (2 - similarity), 0.0)
+    return 1 - similarity + (1 - other) / (1 + other)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of keys whose texts are similar enough, exactly."""
 
@@ -180,15 +198,15 @@ def near_duplicates(
     copies = drawn.groupBy("k1", "k2").agg(F.min("number").alias("key"))
     rows = settled(drawn.select("doc_id", "r1", "r2", "k1", "k2").join(copies, ["k1", "k2"]).drop("k1", "k2"))
     nodes = drawn.join(copies.select(F.col("key").alias("number")), "number", "left_semi")
-    nodes = settled(nodes.select(F.col("number").alias("key"), "r1", "r2", "bands"))
+    nodes = settled(nodes.select(F.col("number").alias("key"), "r1", "r2", "size", "marks", "bands"))
     buckets = nodes.select("key", F.explode("bands").alias("bucket"))
     # Only buckets with company go on. Counting and joining share one shuffle of small rows.
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = settled(buckets.join(sizes, "bucket"))
     company = settled(members.groupBy("key").agg(F.sum("size").alias("company")))
-    wanted = settled(nodes.join(company, "key").select("key", "r1", "r2"))
+    wanted = settled(nodes.join(company, "key").select("key", "r1", "r2", "size", "marks"))
     texts = masked(source.select("r1", "r2", F.coalesce("text", F.lit("")).alias("text")), "r1", mask_of(wanted, "r1"))
-    texts = settled(texts.join(wanted, ["r1", "r2"]).select("key", "text").distinct())
+    texts = settled(texts.join(wanted.select("key", "r1", "r2"), ["r1", "r2"]).select("key", "text").distinct())
     ranked = settled(members.select("bucket", "key").join(company, "key"))
 
     def turned(unsettled: DataFrame, turn: int) -> DataFrame:
@@ -197,7 +215,11 @@ def near_duplicates(
         order = F.slice(F.concat(F.slice("bands", at, F.size("bands")), F.col("bands")), 2, SORTED_BANDS)
         return unsettled.join(nodes.select("key", "bands"), "key").withColumn("turned", order)
 
-    return rows, linked(ranked, lambda pairs, few: verified(pairs, texts, similarity), turned)
+    def limit(x: Column, y: Column) -> Column:
+        return F.greatest(x, y) * most_apart(similarity) + 1e-6
+
+    marks = wanted.select("key", "size", "marks")
+    return rows, linked(ranked, marks, MARK_WORDS, limit, lambda pairs, few: verified(pairs, texts, similarity), turned)
 
 
 def classify(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -6,11 +6,12 @@ from collections import defaultdict
 import pyarrow as pa
 import pytest
 from llm_making import SF, documents, odd_documents
+from pyspark.sql import functions as F
 
-from meterlake.llm import arrays, line_dedup, near_dedup
+from meterlake.llm import arrays, buckets, line_dedup, near_dedup
 from meterlake.llm.line_dedup import dedup_lines, dropped_lines, similar_lines, line_rows
 from meterlake.llm.near_dedup import classify, keep_one
-from meterlake.llm.shared import components, packed, ship_package
+from meterlake.llm.shared import components, packed, settled, ship_package
 from meterlake.llm.suffix_dedup import cut_repeats, extended
 
 SF01 = "/root/testdata/sf0.01"
@@ -420,3 +421,44 @@ def test_a_hot_bucket_of_many_pairs(spark):
             if near_dedup.probability_jaccard(*held[i], *held[j]) >= 0.8 - 1e-9:
                 union.join(i, j)
     assert got == {i: union.find(i) for i in held} and len(set(got.values())) == 60
+
+
+def test_all_pairs_of_a_bucket_meet_whatever_its_order(spark, monkeypatch):
+    """Each member is like one other, which neither turns nor their orders bring together; blocks are small."""
+    monkeypatch.setattr(buckets, "BLOCK", 16)
+    monkeypatch.setattr(buckets, "PAIRS_A_MEMBER", 1)
+    half = 60
+    rows = [(b, k, 2 * half) for b in (1, 2) for k in range(2 * half)] + [(3, k, 2) for k in (1000, 1001)]
+    members = settled(spark.createDataFrame(rows, "bucket long, key long, company long"))
+    marks = members.select("key").distinct().selectExpr("key", "1 AS size", "array(0L) AS marks")
+
+    def verify(pairs, few):
+        return pairs.where(f"b - a = {half} or (a < 5 and b = a + 1) or a = 1000")
+
+    def turned(unsettled, number):
+        return unsettled.withColumn("turned", F.col("key"))
+
+    got = {r.node: r.root for r in buckets.linked(members, settled(marks), 1, lambda x, y: x + y, verify, turned).collect()}
+    want = {k: 0 if k % half < 6 else k % half for k in range(2 * half)} | {1000: 1000, 1001: 1000}
+    assert got == want
+
+
+def test_marks_rule_out_no_pair_that_is_alike(spark):
+    import numpy as np
+
+    random = np.random.default_rng(21)
+    for similarity in (0.6, 0.8, 0.9):
+        for size in (1, 4, 30, 300):
+            for _ in range(60):
+                words = random.choice(["w%d" % i for i in range(3 * size)], size + 4).tolist()
+                other = [w if random.random() > 0.1 / size**0.5 else "x%d" % random.integers(99) for w in words]
+                texts = pa.array([" ".join(words), " ".join(other)], pa.string())
+                h, of, count = near_dedup.shingles(*near_dedup.word_hashes(*arrays.column_bytes(texts)), 2)
+                weight = near_dedup.weights(count)
+                x, y = of == 0, of == 1
+                alike = near_dedup.probability_jaccard(h[x], weight[x], h[y], weight[y])
+                marks = np.array(buckets.parities(h, of, 2, near_dedup.MARK_WORDS).values.to_numpy()).view(np.uint64).reshape(2, -1)
+                differing = int(np.bitwise_count(marks[0] ^ marks[1]).sum())
+                assert differing <= len(set(h[x].tolist()) ^ set(h[y].tolist()))
+                if alike >= similarity:
+                    assert differing <= max(weight[x].sum(), weight[y].sum()) * near_dedup.most_apart(similarity) + 1e-6
