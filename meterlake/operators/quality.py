@@ -420,16 +420,35 @@ def partition_differences(left: DataFrame, right: DataFrame) -> DataFrame:
 CELL_TYPES = ("boolean", "int", "double", "timestamp", "string")
 
 
+_BLANK = r"[\x00-\x20\x7F]*"
+#: What a cell looks like that may be cast to a type. Asking first is far cheaper than a cast that fails.
+_MAYBE = {
+    "boolean": f"(?i)^{_BLANK}(?:t|true|y|yes|1|f|false|n|no|0){_BLANK}$",
+    "int": f"^{_BLANK}[-+]?[0-9]+{_BLANK}$",
+    "double": f"^{_BLANK}[-+]?[0-9.iInN][^:]*$",
+    "timestamp": f"^{_BLANK}[-+T]?[0-9]",
+}
+
+
+def _fits(dtype: str) -> Column:
+    return F.when(F.col("cell").rlike(_MAYBE[dtype]), F.col("cell").try_cast(dtype).isNotNull()).otherwise(False)
+
+
 def sniffed_types(raw: DataFrame, share: float = 0.9) -> DataFrame:
     """For each column of text cells its likely type, how many cells it has, and how many conflict with that type.
 
-    One aggregation over all columns. The likely type is the narrowest one that at least ``share`` of the cells have, so a
-    few bad cells don't make a column text; they are counted instead. Cells stay as they are.
+    One aggregation over the cells of all columns, with the same few counts for each column. The likely type is the narrowest
+    one that at least ``share`` of the cells have, so a few bad cells don't make a column text; they are counted instead. Cells stay as they are.
     """
-    counts = []
-    for name in raw.columns:
-        fits = [F.count_if(F.col(f"`{name}`").try_cast(dtype).isNotNull()) for dtype in CELL_TYPES[:-1]]
-        counts.append(F.struct(F.count(f"`{name}`").alias("cells"), *(c.alias(t) for c, t in zip(fits, CELL_TYPES))).alias(name))
+    cells = raw.select(F.posexplode(F.array(*(F.col(f"`{name}`") for name in raw.columns))).alias("at", "cell")).where("cell is not null")
+    by_column = cells.groupBy("at").agg(F.count("*").alias("cells"), *(F.count_if(_fits(t)).alias(t) for t in CELL_TYPES[:-1]))
+    # At most a row a column comes in, and one row goes out, without any cell too.
+    one = by_column.agg(
+        *(
+            F.struct(*(F.coalesce(F.max(F.when(F.col("at") == at, F.col(c))), F.lit(0).cast("bigint")).alias(c) for c in by_column.columns[1:])).alias(name)
+            for at, name in enumerate(raw.columns)
+        )
+    )
     lines = []
     for name in raw.columns:
         found = F.col(f"`{name}`")
@@ -438,4 +457,4 @@ def sniffed_types(raw: DataFrame, share: float = 0.9) -> DataFrame:
             likely = (found["cells"] > 0) & (found[dtype] >= share * found["cells"])
             fitting, conflicts = F.when(likely, dtype).otherwise(fitting), F.when(likely, found["cells"] - found[dtype]).otherwise(conflicts)
         lines.append({"column_name": F.lit(name), "likely_type": fitting, "cells": found["cells"], "conflicts": conflicts})
-    return raw.agg(*counts).select(_rows(lines))
+    return one.select(_rows(lines))

@@ -91,3 +91,16 @@ def test_checks_on_empty_input(spark):
     assert quality.identity_profile(empty).first().row_count == 0
     assert quality.load_losses(empty).first().kept_rows == 0
     assert {r.null_count for r in quality.null_counts(empty).collect()} == {0}
+
+
+def test_sniffing_counts_cells_as_plain_casts_do(spark):
+    """Asking before a cast changes no count, columns are counted cell by cell, and a table may be empty."""
+    cells = ["true", " TRUE\t", "T", "no", "0", "01", "+1", " 7 ", "\x017\x7f", "5.", ".5", "1e5", "1d", "0x1p3", "inf", "+Infinity", " nan "]
+    cells += ["12:30", "T12:30", "2024", "2024-01-05", "2024-01-05T10:00:00Z", " 2024-01-05 ", "99999999999", "abc", "", "FW-2.1", "true\n", None]
+    df = spark.createDataFrame([(c,) for c in cells], "cell string")
+    plain = {t: df.where(F.col("cell").try_cast(t).isNotNull()).count() for t in quality.CELL_TYPES[:-1]}
+    assert {t: df.where(quality._fits(t)).count() for t in plain} == plain
+    found = quality.sniffed_types(df)
+    assert "Generate" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("cell", "string", len(cells) - 1, 0)]
+    assert [tuple(r) for r in quality.sniffed_types(df.limit(0)).collect()] == [("cell", "string", 0, 0)]
