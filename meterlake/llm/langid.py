@@ -18,15 +18,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlake.llm import arrays
-from meterlake.llm.shared import settled
+from meterlake.llm.shared import release, settled
 
 #: Letters of an n-gram; the ends of a word count as letters.
 SIZES = (3, 4)
 SLOT_BITS, HASHES = 20, 3
 #: A language's filter holds the n-grams that make up at least one in this many of its n-grams, so never more than this.
 NGRAM_SHARE = 1 << 16
-#: A language is learned if at least one in this many labelled texts is in it. With the share above this bounds the filters.
-LANGUAGE_SHARE = 512
+#: Languages whose filters lie across each other and are looked at in one pass. More languages take further passes.
+LANGUAGES_AT_ONCE = 512
 #: Characters of one text that are looked at together.
 CHUNK = 1 << 20
 
@@ -125,12 +125,17 @@ def counted(filters: Filters, texts: list[str]) -> tuple[np.ndarray, np.ndarray]
     return np.bincount(owner, minlength=len(texts)), hits
 
 
+def corrected(filters: Filters, n: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Hits by text and language without those by chance."""
+    chance = filters.chance()
+    return np.maximum(0, (hits - n[:, None] * chance) / np.maximum(1 - chance, 1e-9))
+
+
 def decide(filters: Filters, n: np.ndarray, hits: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text: the share of the best language in all corrected hits."""
     if not filters.languages:
         return [UNDETERMINED] * len(n), np.zeros(len(n))
-    chance = filters.chance()
-    real = np.maximum(0, (hits - n[:, None] * chance) / np.maximum(1 - chance, 1e-9))
+    real = corrected(filters, n, hits)
     best = np.where(real.max(axis=1) > 0, real.argmax(axis=1), filters.most_frequent)
     total = real.sum(axis=1)
     score = np.where(total > 0, real.max(axis=1) / np.maximum(total, 1e-300), 0.0)
@@ -142,18 +147,22 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def learn(docs: DataFrame) -> Filters:
+def learned_languages(docs: DataFrame) -> dict[str, int]:
+    """Every language that a text is labelled with, and its texts. Only names and counts are collected."""
+    known = docs.where("lang is not null and text is not null").groupBy(F.col("lang").cast("string").alias("lang"))
+    return {r["lang"]: r["n"] for r in known.agg(F.count("*").alias("n")).orderBy("lang").toLocalIterator()}
+
+
+def learn(docs: DataFrame, texts_of: dict[str, int] | None = None) -> Filters:
     """Filters from (text, lang) of all given rows; rows without a language teach nothing.
 
-    All n-grams of all texts are counted. Collected are at most LANGUAGE_SHARE languages and one word for each
+    All n-grams of all texts of the given languages, else of every one, are counted. Collected is at most one word for each
     slot and 64 languages, whatever the data.
     """
     known = docs.where("lang is not null and text is not null")
-    by_language = known.groupBy("lang").agg(F.count("*").alias("n"))
-    total = F.lit(by_language.agg(F.sum("n")).first()[0] or 0)
-    common = by_language.where(F.col("n") * LANGUAGE_SHARE >= total).collect()
-    languages = sorted(r["lang"] for r in common)
-    texts_of = {r["lang"]: r["n"] for r in common}
+    if texts_of is None:
+        texts_of = learned_languages(docs)
+    languages = sorted(texts_of)
     width = next((w for w in (8, 16, 32) if len(languages) <= w), 64)
     words = max(1, -(-len(languages) // width))
     slots = np.zeros((1 << SLOT_BITS, words), f"u{width // 8}")
@@ -173,7 +182,7 @@ def learn(docs: DataFrame) -> Filters:
                     columns = [pa.array(np.full(len(n), i, np.int32)), pa.array(arrays.as_long(hashes)), pa.array(n)]
                     yield pa.RecordBatch.from_arrays(columns, names=["language", "h", "n"])
 
-    rows = known.select(F.col("text").cast("string"), F.col("lang").cast("string"))
+    rows = known.select(F.col("text").cast("string"), F.col("lang").cast("string")).where(F.col("lang").isin(languages))
     counts = rows.mapInArrow(count, "language int, h long, n long").groupBy("language", "h").agg(F.sum("n").alias("n"))
     counts = settled(counts)
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
@@ -188,8 +197,13 @@ def learn(docs: DataFrame) -> Filters:
     return Filters(languages, slots, number[most])
 
 
-def identify(docs: DataFrame, filters: Broadcast[Filters]) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every text. One row in, one row out, without a shuffle."""
+def identify(rows: DataFrame, filters: Broadcast[Filters], last: bool) -> DataFrame:
+    """One pass over texts: looks at the languages of these filters. One row in, one row out, without a shuffle.
+
+    rows has doc_id, held_out, text and what former passes found: lang, the language with the most corrected hits, these
+    as best, and total, those of all languages. Of equal languages that of the former pass stays. The last pass gives no text.
+    """
+    kept = ["doc_id", "held_out"] if last else ["doc_id", "held_out", "text"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = filters.value
@@ -202,24 +216,47 @@ def identify(docs: DataFrame, filters: Broadcast[Filters]) -> DataFrame:
                     n, hits = n + more, hits + further
             else:
                 n, hits = counted(held, texts)
-            lang, score = decide(held, n, hits)
-            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
+            real = corrected(held, n, hits)
+            most, which = real.max(axis=1), real.argmax(axis=1)
+            best, total = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("best", "total"))
+            former = batch.column("lang").to_pylist()
+            lang = [held.languages[w] if better else x for w, better, x in zip(which.tolist(), (most > best).tolist(), former)]
+            found = [pa.array(n, pa.int64()), pa.array(lang, pa.string()), pa.array(np.maximum(most, best)), pa.array(total + real.sum(axis=1))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *found], names=[*kept, "n", "lang", "best", "total"])
 
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(scored, "doc_id long, held_out boolean, lang_pred string, score double")
+    text = "" if last else "text string, "
+    asked = rows.select("doc_id", "held_out", "text", "lang", "best", "total")
+    return asked.mapInArrow(scored, f"doc_id long, held_out boolean, {text}n long, lang string, best double, total double")
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
     """Language of every text, learned from four fifths of the rows that have one.
 
     docs has doc_id, text and lang. Rows whose id's checksum leaves no remainder by 5 are held out; a null id has no
-    checksum, its row is not held out and not learned from. A null text, or one without a letter, is `und` with
-    score 0; without a single learned language all are. A text whose n-grams no language contains takes the
-    language most texts are in, with score 0. Of equal languages the first by name wins. Repeated rows stay and
+    checksum, its row is not held out and not learned from. Every language is learned, however rare: LANGUAGES_AT_ONCE of them
+    in a pass over the texts, so memory is bounded and the passes grow with the languages. A null text, or one without a
+    letter, is `und` with score 0; without a single learned language all are. A text whose n-grams no language contains takes
+    the language most texts are in, with score 0. Of equal languages the first by name wins. Repeated rows stay and
     teach as often as they stand there. Other columns are not carried and never looked at.
     """
-    doc_id = F.col("doc_id").cast("long")
+    doc_id, context = F.col("doc_id").cast("long"), docs.sparkSession.sparkContext
     taught = docs.where(doc_id.isNotNull() & ~is_held_out(doc_id)).select("text", "lang")
-    return identify(docs, docs.sparkSession.sparkContext.broadcast(learn(taught)))
+    texts_of = learned_languages(taught)
+    names = sorted(texts_of)
+    rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id).alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("*", F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("lang"), *(F.lit(0.0).alias(c) for c in ("best", "total")))
+    former = None
+    for first in range(0, len(names), LANGUAGES_AT_ONCE):
+        filters = learn(taught, {lang: texts_of[lang] for lang in names[first : first + LANGUAGES_AT_ONCE]})
+        last = first + LANGUAGES_AT_ONCE >= len(names)
+        rows = identify(rows, context.broadcast(filters), last)
+        if not last:
+            rows = settled(rows)
+            if former is not None:
+                release(former)
+            former = rows
+    lettered = F.col("n") > 0
+    most = min(names, key=lambda lang: (-texts_of[lang], lang)) if names else UNDETERMINED
+    lang = F.when(lettered, F.coalesce("lang", F.lit(most))).otherwise(UNDETERMINED)
+    score = F.when(lettered & (F.col("total") > 0), F.col("best") / F.col("total")).otherwise(0.0)
+    return rows.select("doc_id", "held_out", lang.alias("lang_pred"), score.alias("score"))

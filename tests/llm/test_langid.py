@@ -135,3 +135,21 @@ def test_odd_rows(spark):
 def test_chunks_are_the_text(text):
     parts = list(langid.chunks(text))
     assert "".join(parts) == text and all(len(p) <= langid.CHUNK for p in parts) and len(parts) > 1
+
+
+def test_rare_languages_are_learned_in_any_number_of_passes(spark, monkeypatch):
+    """A language of one text among 600 is predicted, and passes of few languages give what one pass gives."""
+    ship_package(spark)
+    _, rows = corpus(spark, ["a", "b", "c"], 200)
+    ids = [i for i in range(5000, 5040) if not held_out(i)][:2]
+    other = [i for i in range(6000, 6040) if held_out(i)][:2]
+    texts = ["ζηθ ικλμ νξο πρσ τυφ", "жзи йклм ноп рст уфх"]
+    rows += [(i, text, lang) for i, text, lang in zip(ids, texts, ("el", "ru"))] + [(i, text, None) for i, text in zip(other, texts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = sorted(langid.predict_languages(df).collect())
+    got = {r.doc_id: r.lang_pred for r in whole}
+    assert [got[i] for i in ids + other] == ["el", "ru"] * 2
+    monkeypatch.setattr(langid, "LANGUAGES_AT_ONCE", 2)
+    parts = sorted(langid.predict_languages(df).collect())
+    assert [r[:3] for r in parts] == [r[:3] for r in whole]
+    assert all(abs(x.score - y.score) < 1e-12 for x, y in zip(parts, whole))
