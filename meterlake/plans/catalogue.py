@@ -106,7 +106,7 @@ def mixed_csv(spark: SparkSession, sf_dir: str) -> str:
         extra = {"tariff": F.lit("night"), "batch_no": F.col("event_id")}
         for i, (form, columns) in enumerate(FORMS.items()):
             part = text.where(F.col("event_id").cast("long") % 4 == i).withColumns(extra).select(*columns)
-            part.coalesce(1).write.option("header", True).csv(f"{path}/{form}")
+            part.write.option("header", True).csv(f"{path}/{form}")
 
     return _once(spark, sf_dir, "mixed_csv", write)
 
@@ -734,9 +734,10 @@ def _(spark, sf_dir):
 
 @query("k16_delivery_headers")
 def _(spark, sf_dir):
-    """One line a delivered file: what its header lacks, adds or moves."""
+    """One line a delivery and kind of header: what it lacks, adds or moves."""
     report = deliveries.header_report(spark, mixed_csv(spark, sf_dir))
-    return report.withColumn("delivery", F.element_at(F.split("file", "/"), -2)).drop("file")
+    kinds = report.withColumn("delivery", F.element_at(F.split("file", "/"), -2)).groupBy("delivery", "missing", "unexpected", "twice", "moved", "readable")
+    return kinds.agg(F.sum("readings").alias("readings"))
 
 
 @query("k16_unparseable_cells")

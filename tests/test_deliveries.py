@@ -1,15 +1,15 @@
 """Deliveries whose headers differ, discovery over them, versions of folders, and incremental extracts."""
 
 import pytest
-from making import GOOD, raw, records, scanned_partitions
+from making import GOOD, SF_SMALL, raw, records, scanned_partitions
 from pyspark.sql import functions as F
 
 from meterlake.operators import filters
 from meterlake.operators.clean import clean
-from meterlake.plans import views
+from meterlake.plans import catalogue, views
 from meterlake.schema import RAW_COLUMNS
 from meterlake.sinks import discovery, tables, versions
-from meterlake.sources import deliveries, files, paths
+from meterlake.sources import deliveries, demo, files, paths
 from meterlake.streaming import ingest
 
 
@@ -210,3 +210,17 @@ def test_sketches_err_as_little_as_they_say(spark):
         estimate = views.fleet_summary(source, approx=True).first().total_meters
         assert abs(estimate - 60_000) <= 60_000 * 3 * 1.04 / 2 ** (measures.LG_REGISTERS / 2)
     assert views.fleet_summary(sketches, approx=True).first().healthy == 60_000
+
+
+def test_a_delivery_is_written_by_as_many_tasks_as_its_readings_need(spark, monkeypatch):
+    """Deliveries of several files have the log, report and readings of deliveries of one."""
+    found = {}
+    for parts in (1, 3):
+        monkeypatch.setattr(catalogue, "_WRITTEN", {})
+        monkeypatch.setattr(catalogue, "raw", lambda spark, sf_dir: demo.raw_readings(spark, sf_dir).repartition(parts, "event_id"))
+        path = catalogue.mixed_csv(spark, SF_SMALL)
+        assert len(deliveries.delivered_files(spark, path)) == 4 * parts
+        names = "s01_several_headers", "k16_delivery_headers", "s11_raw_zone_log", "s11_raw_zone_versions"
+        dfs = [catalogue.QUERIES[name](spark, SF_SMALL) for name in names]
+        found[parts] = [sorted(map(repr, df.select(*sorted(df.columns)).collect())) for df in dfs]
+    assert found[3] == found[1]
