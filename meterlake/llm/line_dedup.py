@@ -13,6 +13,7 @@ masks of a fixed size, broadcast, tell which buckets, lines and rows may matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ SHINGLE = 5
 BANDS, BAND_ROWS = 20, 6  # misses a pair of similarity 0.8 with probability 0.0023, one of 0.85 with 0.00001
 #: Registers whose last two bits make the sketch that buckets are sorted by.
 SKETCHED = 32
-#: Words of the marks that rule pairs out.
-MARK_WORDS = 4
+#: Words of the marks that rule pairs out; lines of up to 2,000 shingles need so many.
+MARK_WORDS = 16
+#: Bands whose keys are shuffled at once. More rounds take less disk, and hardly more time.
+ROUND_BANDS = 5
 #: Lines that a task remembers, so that one which stands there often has keys only once or a few times.
 REMEMBERED = 1 << 20
 _NONE = np.uint64(2**64 - 1)
@@ -107,7 +110,7 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 def line_sketches(lines: DataFrame) -> DataFrame:
-    """(lh, sketch, size, marks, bands) of lines (lh, line). A line that a task meets again may be left out."""
+    """(lh, sketch, bands) of lines (lh, line). A line that a task meets again may be left out."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -122,9 +125,7 @@ def line_sketches(lines: DataFrame) -> DataFrame:
             batch = batch.take(pa.array(fresh, pa.int64()))
             h, owner, size = line_shingles(*code_points(batch.column("text")))
             n = len(size)
-            h, owner = distinct_shingles(h, owner)
-            drawn, different = signatures(h, owner, size), np.bincount(owner, minlength=n)
-            marks = parities(h, owner, n, MARK_WORDS)
+            drawn = signatures(h, owner, size)
             bands = np.zeros((n, BANDS), np.uint64)
             for j in range(BAND_ROWS):
                 bands = arrays.mixed(bands * np.uint64(31) + drawn[:, j::BAND_ROWS])
@@ -132,34 +133,62 @@ def line_sketches(lines: DataFrame) -> DataFrame:
             bits = (arrays.mixed(drawn[:, :SKETCHED]) & np.uint64(3)) << np.arange(0, 2 * SKETCHED, 2, dtype=np.uint64)
             sketch = np.bitwise_or.reduce(bits, axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(arrays.as_long(bands.ravel())))
-            columns = [batch.column("lh"), pa.array(arrays.as_long(sketch)), pa.array(different, pa.int32()), marks, lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["lh", "sketch", "size", "marks", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("lh"), pa.array(arrays.as_long(sketch)), lists], names=["lh", "sketch", "bands"])
 
     rows = lines.select("lh", F.col("line").alias("text"))
-    return rows.mapInArrow(draw, "lh long, sketch long, size int, marks array<long>, bands array<long>")
+    return rows.mapInArrow(draw, "lh long, sketch long, bands array<long>")
+
+
+def line_marks(texts: DataFrame) -> DataFrame:
+    """(key, size, marks) of lines (lh, line): the number of different shingles, and their parities."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrays.pieces(batches):
+            h, owner, _ = line_shingles(*code_points(batch.column("text")))
+            h, owner = distinct_shingles(h, owner)
+            size = pa.array(np.bincount(owner, minlength=batch.num_rows), pa.int32())
+            marks = parities(h, owner, batch.num_rows, MARK_WORDS)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), size, marks], names=["key", "size", "marks"])
+
+    rows = texts.select(F.col("lh").alias("key"), F.col("line").alias("text"))
+    return rows.mapInArrow(draw, "key long, size int, marks array<long>")
+
+
+def bucket_members(drawn: DataFrame) -> DataFrame:
+    """(bucket, key, sketch) of all buckets that several lines share, some bands at a time."""
+    rounds = []
+    for first in range(1, BANDS + 1, ROUND_BANDS):
+        bands = F.slice("bands", first, ROUND_BANDS)
+        keys = drawn.select(F.explode(bands).alias("bucket"), F.col("lh").alias("key"), "sketch")
+        # First the buckets of several lines, by aggregation; then only their members are shuffled.
+        shared = keys.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+        shared = settled(shared.select("bucket"))
+        tidy(drawn.sparkSession)  # that shuffle holds a row for each line and band of the round
+        members = masked(keys, "bucket", mask_of(shared, "bucket")).distinct().join(shared, "bucket", "left_semi")
+        rounds.append(settled(members))
+    return reduce(DataFrame.unionByName, rounds)
 
 
 def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
     """(node, root) of the hashes of lines that are linked to a different line by similarity."""
     drawn = settled(line_sketches(lines))
-    keys = drawn.select(F.explode("bands").alias("bucket"), F.col("lh").alias("key"), "sketch")
-    # First the buckets of several lines, by aggregation; then only their members are shuffled.
-    shared = keys.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
-    shared = settled(shared.select("bucket"))
-    tidy(lines.sparkSession)  # that shuffle holds a row for each line and band
-    members = masked(keys, "bucket", mask_of(shared, "bucket")).distinct().join(shared, "bucket", "left_semi")
-    members = settled(members)
+    members = bucket_members(drawn)
     company = members.groupBy("bucket").agg(F.count("*").alias("company"))
     members = settled(members.join(company, "bucket"))
-    marked_lines = drawn.select(F.col("lh").alias("key"), "size", "marks").join(members.select("key").distinct(), "key", "left_semi")
-    marks = settled(marked_lines.dropDuplicates(["key"]))
     release(drawn)
+    # Only lines that share a bucket are shuffled, once; a mask of a fixed size tells which.
+    wanted = settled(members.select(F.col("key").alias("lh")).distinct())
+    texts = masked(lines.select("lh", "line"), "lh", mask_of(wanted, "lh")).groupBy("lh").agg(F.min("line").alias("line"))
+    texts = settled(texts.join(wanted, "lh", "left_semi"))
+    marks = settled(line_marks(texts))
 
     def limit(x: Column, y: Column) -> Column:
-        return (x + y) * ((1 - similarity) / (1 + similarity)) + 1e-6
+        """What may be in only one of the two, and so at least the difference of their sizes."""
+        most = (x + y) * ((1 - similarity) / (1 + similarity)) + 1e-6
+        return F.when(F.abs(x - y) <= most, most).otherwise(F.lit(-1.0))
 
     def verify(pairs: DataFrame, few: bool) -> DataFrame:
-        return _verified(pairs, lines, similarity)
+        return _verified(pairs, texts, similarity)
 
     def turned(unsettled: DataFrame, number: int) -> DataFrame:
         """By the sketch, beginning with another register for each number."""
@@ -170,12 +199,10 @@ def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
     return linked(members, marks, MARK_WORDS, limit, verify, turned)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of line hashes whose lines are similar enough, by all their shingles; pairs is settled."""
-    wanted = pairs.select(F.col("a").alias("lh")).unionByName(pairs.select(F.col("b").alias("lh"))).distinct()
-    # Only lines of the pairs are shuffled; a mask of a fixed size tells which.
-    texts = masked(lines.select("lh", "line"), "lh", mask_of(wanted, "lh")).groupBy("lh").agg(F.min("line").alias("line"))
-    texts = settled(texts.join(wanted, "lh", "left_semi"))
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of line hashes whose lines (lh, line) are similar enough, by all their shingles; pairs is settled."""
+    wanted = pairs.select(F.col("a").alias("lh")).unionByName(pairs.select(F.col("b").alias("lh")))
+    texts = masked(texts, "lh", mask_of(wanted, "lh"))
     side = lambda s, name: texts.select(F.col("lh").alias(s), F.col("line").alias(name))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -317,6 +317,47 @@ def test_pairs_in_a_family_of_unlike_lines_meet(spark):
     assert all(got[a] == got[b] for a, b in pairs) and len(set(got.values())) == 150
 
 
+def test_long_lines_that_differ_are_ruled_out_unread(spark, monkeypatch):
+    """Lines with three fifths of their shingles in common share buckets, but hardly any pair has its texts compared."""
+    from random import Random
+
+    random = Random(15)
+    mark = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    template = mark(1125)
+    texts = [template + mark(375) for _ in range(40)]
+    texts.append(texts[0][:-20] + mark(20))
+    compared, verified = [], line_dedup._verified
+
+    def counted(pairs, *others):
+        compared.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    got = linked_lines(lines_of(spark, texts))
+    assert len(set(got.values())) == 40 and got[texts[0]] == got[texts[40]]
+    assert 1 <= sum(compared) <= 20
+
+
+def test_buckets_are_found_some_bands_at_a_time(spark, monkeypatch):
+    lines = line_rows(packed(spark.read.parquet(f"{SF}/documents.parquet")))
+    drawn = settled(line_dedup.line_sketches(lines))
+    held, kept = defaultdict(set), line_dedup.settled
+    for r in drawn.collect():
+        for bucket in r.bands:
+            held[bucket].add(r.lh)
+
+    def watched(df):
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert not re.search(r"explode\(bands", plan)
+        return kept(df)
+
+    monkeypatch.setattr(line_dedup, "settled", watched)
+    got = [(r.bucket, r.key) for r in line_dedup.bucket_members(drawn).collect()]
+    assert len(got) == len(set(got)) > 100
+    assert set(got) == {(b, key) for b, keys in held.items() if len(keys) > 1 for key in keys}
+    similar_lines(lines, 0.8)
+
+
 def test_line_dedup_keeps_one_of_each_kind(spark):
     base = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone tower "
     base += "and the river below it carries boats with lanterns to the harbour of the quiet city"
