@@ -261,9 +261,11 @@ def best_of_buckets(q: np.ndarray, own: np.ndarray, wanted: list[np.ndarray], x:
     return who[keep], ids[row[keep]], exact[keep]
 
 
-def _ranked(candidates: DataFrame, visits: DataFrame, queries: DataFrame, index: Index, k: int) -> DataFrame:
-    """The k best candidates of each query, shard by shard; both sides have tab, shard and block."""
-    asked = visits.groupBy("tab", "shard", "block", "query_id").agg(F.collect_set("bucket").alias("buckets"))
+def _ranked(candidates: DataFrame, asked: DataFrame, queries: DataFrame, index: Index, k: int) -> DataFrame:
+    """The k best candidates of each query, shard by shard; both sides have tab, shard and block.
+
+    asked has one row for a query and shard, with all the buckets that the query visits there.
+    """
     asked = asked.join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
 
     def meet(_, asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -309,18 +311,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
     visits = visits.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
     visits = settled(visits.select("tab", "bucket", "salt", shard, "query_id"))
     # A shard that too many queries visit meets them in several rounds; only then its rows are sent more than once.
-    rounds = visits.groupBy("tab", "shard").agg(F.approx_count_distinct("query_id").alias("asking"))
+    # From here on a query's visits to a shard are one row, so joins grow with the queries and not with their buckets.
+    asked_of = settled(visits.groupBy("tab", "shard", "query_id").agg(F.collect_set("bucket").alias("buckets")))
+    rounds = asked_of.groupBy("tab", "shard").agg(F.count("*").alias("asking"))
     rounds = settled(rounds.select("tab", "shard", F.ceil(F.col("asking") / QUERY_ROWS).cast("int").alias("rounds")))
     of_round = F.pmod(F.xxhash64("query_id"), F.col("rounds")).cast("int").alias("block")
-    visits = visits.join(rounds, ["tab", "shard"]).select("tab", "shard", of_round, "bucket", "query_id", "salt")
+    asking = asked_of.join(rounds, ["tab", "shard"]).select("tab", "shard", of_round, "query_id", "buckets")
     # Only rows of buckets that some query visits are sent at all.
     renewed = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
     visited = renewed(visits.select("tab", "bucket", "salt", "shard").distinct())
     salted = hashed.join(sizes, ["tab", "bucket"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
     candidates = salted.join(visited, ["tab", "bucket", "salt"]).join(renewed(rounds), ["tab", "shard"])
     candidates = candidates.select("tab", "shard", F.explode(F.expr("sequence(0, rounds - 1)")).alias("block"), "bucket", "vec_id", "v")
-    visits = visits.drop("salt")
-    found = settled(_ranked(candidates, visits, queries, index, k).distinct())
+    found = settled(_ranked(candidates, asking, queries, index, k).distinct())
     short = queries.select("vec_id").join(
         found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")), "vec_id", "left"
     )
@@ -332,7 +335,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
         parts = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
         everything = vectors.select(F.lit(0).alias("tab"), parts, F.lit(0).cast("long").alias("bucket"), "vec_id", "v", all_blocks)
         everywhere = short.select(F.col("vec_id").alias("query_id")).select(
-            F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block, F.lit(0).cast("long").alias("bucket"), "query_id"
+            F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block, "query_id", F.array(F.lit(0).cast("long")).alias("buckets")
         )
         found = found.unionByName(_ranked(everything, everywhere, queries, index, k)).distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

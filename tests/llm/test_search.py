@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.llm import ann, queries, topk
 from meterlake.llm.shared import ship_package
@@ -160,3 +161,18 @@ def test_hot_shards_meet_their_queries_in_rounds(spark, vectors, monkeypatch):
     for name, value in (("SHARD_ROWS", 100), ("SPLIT_ROWS", 40), ("QUERY_ROWS", 16)):
         monkeypatch.setattr(ann, name, value)
     assert sorted(map(tuple, ann.nearest(df, asked, 10, index).collect())) == whole
+
+
+def test_a_query_is_one_row_for_each_shard(spark, monkeypatch):
+    """However many buckets it visits there; else joins would grow with the buckets of all queries."""
+    held, ranked = [], ann._ranked
+
+    def watched(candidates, asked, *others):
+        held.append(asked.groupBy("tab", "shard", "block", "query_id").count().agg(F.max("count")).first()[0])
+        return ranked(candidates, asked, *others)
+
+    monkeypatch.setattr(ann, "_ranked", watched)
+    ship_package(spark)
+    vectors = ann.usable_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    assert ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20).count() > 0
+    assert held and set(held) == {1}
