@@ -106,14 +106,16 @@ def linked(
         if left <= PAIRS_A_MEMBER * there or left > LEFT * former:
             break
         turn, former = turn + 1, left
-    near = _all_between(rooted.select("bucket", "key", "root").join(marks, "key"), mixed, may_be_alike)
-    more = settled(verify(settled(near.distinct()), False))
+    buckets = rooted.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))
+    left_over = rooted.select("bucket", "key", "root").join(buckets, "key").join(marks, "key")
+    more = settled(verify(settled(_all_between(left_over, mixed, may_be_alike)), False))
     return roots if more.isEmpty() else settled_in(components(links.unionByName(more), few), few)
 
 
 def _all_between(members: DataFrame, mixed: DataFrame, may_be_alike: Column) -> DataFrame:
-    """In each bucket, all pairs of different components that may be alike.
+    """All pairs of different components that share a bucket and may be alike, each from the first of the buckets they share.
 
+    members has bucket, key, root, all of the key's `buckets` here, size and marks.
     Every pair has a member outside the bucket's largest component. Those members are in blocks, the others too, and
     each block of the first meets every block. So a task holds two blocks, whatever a bucket's size.
     """
@@ -125,7 +127,7 @@ def _all_between(members: DataFrame, mixed: DataFrame, may_be_alike: Column) ->
     rows = rows.withColumn("block", block)
 
     def placed(s: str, chosen: DataFrame, name: str, cells: list[Column]) -> DataFrame:
-        columns = [F.col(c).alias(f"{c}_{s}") for c in ("root", "size", "marks")]
+        columns = [F.col(c).alias(f"{c}_{s}") for c in ("root", "size", "marks", "buckets")]
         return chosen.select("bucket", F.col("key").alias(s), *columns, "block", "is_main", *cells).withColumnRenamed("block", name)
 
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -135,10 +137,11 @@ def _all_between(members: DataFrame, mixed: DataFrame, may_be_alike: Column) ->
     second = placed("b", others, "block_b", [F.explode(F.sequence(F.lit(0), F.col("block"))).alias("block_a")]).drop("is_main")
     once = (F.col("block_a") < F.col("block_b")) | (F.col("a") < F.col("b"))
     apart = F.col("root_a") != F.col("root_b")
-    among = first.join(second, cells).where(apart & once & may_be_alike)
+    here = F.col("bucket") == F.array_min(F.array_intersect("buckets_a", "buckets_b"))
+    among = first.join(second, cells).where(apart & once & may_be_alike & here)
     first = placed("a", others, "block_a", [F.explode(upto("main_blocks")).alias("block_b")]).drop("is_main")
     second = placed("b", rows.where("is_main"), "block_b", [F.explode(upto("blocks")).alias("block_a")]).drop("is_main")
-    to_main = first.join(second, cells).where(apart & may_be_alike)
+    to_main = first.join(second, cells).where(apart & may_be_alike & here)
     return among.select(*ordered_pairs("a", "b")).unionByName(to_main.select(*ordered_pairs("a", "b")))
 
 

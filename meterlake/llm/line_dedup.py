@@ -35,6 +35,10 @@ MARK_WORDS = 16
 ROUND_BANDS = 5
 #: Lines that a task remembers, so that one which stands there often has keys only once or a few times.
 REMEMBERED = 1 << 20
+#: Bytes of lines whose shingles a task holds at once. More of them take more memory, and no less time.
+SHINGLE_BYTES = 1 << 17
+#: Bits of a shingle's hash by which lines are compared; the number of the line in its piece stands above them.
+HASH_BITS = np.uint64(52)
 _NONE = np.uint64(2**64 - 1)
 
 
@@ -72,12 +76,26 @@ def line_shingles(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return arrays.mixed(arrays.mixed(low) ^ (letters[3] | (letters[4] << np.uint64(21)))), owner, size
 
 
-def distinct_shingles(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every shingle of a line once, in order."""
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])) if len(h) else np.zeros(0, bool)
-    return h[new], owner[new]
+def distinct_shingles(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Every shingle of a line once, in order: the number of the line, below 4,096 (`arrays.pieces`), and bits of the hash."""
+    keys = (owner.astype(np.uint64) << HASH_BITS) | (h >> (np.uint64(64) - HASH_BITS))
+    keys.sort()
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def owners(keys: np.ndarray) -> np.ndarray:
+    """The line of each shingle of `distinct_shingles`."""
+    return (keys >> HASH_BITS).astype(np.int64)
+
+
+def similar(text: pa.Array, other: pa.Array, similarity: float) -> np.ndarray:
+    """For each pair of lines whether their Jaccard similarity is at least the one given."""
+    sides = [distinct_shingles(*line_shingles(*code_points(lines))[:2]) for lines in (text, other)]
+    keys = np.concatenate(sides)
+    keys.sort()
+    twice = keys[1:][keys[1:] == keys[:-1]]
+    shared, both = (np.bincount(owners(k), minlength=len(text)) for k in (twice, keys))
+    return shared >= similarity * (both - shared) - 1e-9
 
 
 def line_signatures(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +132,7 @@ def line_sketches(lines: DataFrame) -> DataFrame:
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, SHINGLE_BYTES):
             fresh = []
             for i, lh in enumerate(batch.column("lh").to_pylist()):
                 if lh not in seen:
@@ -143,9 +161,9 @@ def line_marks(texts: DataFrame) -> DataFrame:
     """(key, size, marks) of lines (lh, line): the number of different shingles, and their parities."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
-            h, owner, _ = line_shingles(*code_points(batch.column("text")))
-            h, owner = distinct_shingles(h, owner)
+        for batch in arrays.pieces(batches, SHINGLE_BYTES):
+            h = distinct_shingles(*line_shingles(*code_points(batch.column("text")))[:2])
+            owner = owners(h)
             size = pa.array(np.bincount(owner, minlength=batch.num_rows), pa.int32())
             marks = parities(h, owner, batch.num_rows, MARK_WORDS)
             yield pa.RecordBatch.from_arrays([batch.column("key"), size, marks], names=["key", "size", "marks"])
@@ -206,17 +224,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     side = lambda s, name: texts.select(F.col("lh").alias(s), F.col("line").alias(name))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
-            sets = []
-            for name in ("text", "other"):
-                sets.append(distinct_shingles(*line_shingles(*code_points(batch.column(name)))[:2]))
-            h, owner = (np.concatenate(side) for side in zip(*sets))
-            order = np.lexsort((h, owner))
-            h, owner = h[order], owner[order]
-            twice = owner[1:][(h[1:] == h[:-1]) & (owner[1:] == owner[:-1])]
-            n = batch.num_rows
-            shared, both = np.bincount(twice, minlength=n), np.bincount(owner, minlength=n)
-            good = shared >= similarity * (both - shared) - 1e-9
+        for batch in arrays.pieces(batches, SHINGLE_BYTES):
+            good = similar(batch.column("text"), batch.column("other"), similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good))
 
     joined = pairs.join(side("a", "text"), "a").join(side("b", "other"), "b")

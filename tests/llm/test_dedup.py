@@ -358,6 +358,51 @@ def test_buckets_are_found_some_bands_at_a_time(spark, monkeypatch):
     similar_lines(lines, 0.8)
 
 
+def test_a_pair_that_shares_several_buckets_is_looked_at_once(spark, monkeypatch):
+    from random import Random
+
+    random = Random(16)
+    mark = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    template, made, between = mark(256), [], buckets._all_between
+    texts = [template + mark(104) for _ in range(150)]  # marks can't rule all of these pairs out
+    monkeypatch.setattr(line_dedup, "MARK_WORDS", 1)
+
+    def counted(*given):
+        pairs = between(*given)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(buckets, "_all_between", counted)
+    linked_lines(lines_of(spark, texts))
+    assert made and all(n == different > 50 for n, different in made)
+
+
+def test_shingles_are_held_for_a_piece_of_the_lines_at_a_time(spark, monkeypatch):
+    from random import Random
+
+    random, held, shingles = Random(17), [], line_dedup.line_shingles
+    text = pa.array(["".join(random.choice("abcdefgh ") for _ in range(400)) for _ in range(4000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(range(4000)), text, text], names=["a", "b", "text", "other"])
+
+    def counted(codes, at):
+        held.append(len(codes))
+        return shingles(codes, at)
+
+    class Rows:  # what a task is given
+        def mapInArrow(self, task, schema):
+            return pa.Table.from_batches(task(iter([batch])))
+
+    monkeypatch.setattr(line_dedup, "line_shingles", counted)
+    monkeypatch.setattr(line_dedup, "masked", lambda rows, *_: rows)
+    monkeypatch.setattr(line_dedup, "mask_of", lambda *_: None)
+    for name in ("join", "select"):
+        setattr(Rows, name, lambda self, *_: self)
+    rows = Rows()
+    rows.unionByName = lambda other: rows
+    assert line_dedup._verified(rows, rows, 0.8).num_rows == 4000
+    assert sum(held) == 2 * 400 * 4000 and max(held) <= line_dedup.SHINGLE_BYTES
+
+
 def test_line_dedup_keeps_one_of_each_kind(spark):
     base = "The quick brown fox jumps over the lazy dog while seven wizards watch from the old stone tower "
     base += "and the river below it carries boats with lanterns to the harbour of the quiet city"
