@@ -5,18 +5,20 @@ component that fills their norm up to 1, queries are scaled to norm 1. A table h
 projections, each cut into cells of width `w` at a random shift. For a query the chance that a neighbour lies in
 a cell is known for each projection, so the cells of a table are visited in order of their joint
 chance, until the chances add up to what the wanted recall needs. The candidates of all tables are merged and ranked
-by their exact inner product.
+by their exact inner product. A sample tells, for each query, which score only few times as many rows as are wanted reach; shards
+return no others, so what they return doesn't grow with their number. Queries that find too few in this way look again without it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from meterlake.llm import arrays
 from meterlake.llm.shared import settled
@@ -33,6 +35,10 @@ BUCKET_ROWS = 128
 #: Cells of a table that a query may visit. Queries whose chances don't add up in so many cells, or that find
 #: too few neighbours, are searched exhaustively.
 PROBES = 512
+#: Times the wanted rows that are to reach a query's floor, below which shards return nothing at first.
+FLOOR_ROWS = 3
+#: Rows of the sample that a floor stands on; for fewer it is carried on beyond them, as the normal distribution goes.
+TAIL = 16
 #: Share of the sampled queries that may be searched exhaustively before fewer projections are taken.
 SHORT_QUERIES = 0.05
 #: Rows of a table that one shard holds, and above which a bucket is split.
@@ -139,6 +145,13 @@ def normal(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(1.5976 * x + 0.070566 * x**3, -60, 60)))
 
 
+def _sample(vectors: DataFrame, n: int) -> list[Row]:
+    """At most SAMPLE_ROWS of the n vectors."""
+    share = min(1.0, 1.5 * SAMPLE_ROWS / n)
+    held = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
+    return held.select("vec_id", "v").limit(SAMPLE_ROWS).collect()
+
+
 def fit_index(vectors: DataFrame, k: int, tables: int = TABLES, width: float = WIDTH, recall: float = RECALL) -> Index | None:
     """Choose the number of projections from the row count, and the visits from a bounded sample.
 
@@ -149,9 +162,7 @@ def fit_index(vectors: DataFrame, k: int, tables: int = TABLES, width: float = W
     facts = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dims"), F.max(norm).alias("norm")).first()
     if not facts.n:
         return None
-    share = min(1.0, 1.5 * SAMPLE_ROWS / facts.n)
-    held = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = [r.v for r in held.select("v").limit(SAMPLE_ROWS).collect()]
+    rows = [r.v for r in _sample(vectors, facts.n)]
     hashes = max(1, round(np.log2(max(2.0, facts.n / BUCKET_ROWS)) / 1.3))
     index = Index(facts.dims, facts.norm, tables, hashes, width, 0.5, 1 - (1 - recall) ** (1 / tables))
     if len(rows) < 2:
@@ -214,8 +225,35 @@ def _probed(queries: DataFrame, index: Index) -> DataFrame:
     return queries.select("vec_id", "v").mapInArrow(visit, "query_id long, tab int, bucket long")
 
 
-def best_of_buckets(q: np.ndarray, own: np.ndarray, wanted: list[np.ndarray], x: np.ndarray, ids: np.ndarray, buckets: np.ndarray, k: int):
-    """For each query the k best rows of the buckets it visits: index of the query, vec_id and score."""
+def _floored(queries: DataFrame, vectors: DataFrame, index: Index, n: int, k: int) -> DataFrame:
+    """queries with `floor`, a score that about FLOOR_ROWS * k of the n vectors should reach; an estimate from the sample."""
+    rows, wanted = _sample(vectors, n), FLOOR_ROWS * k
+    m, place = len(rows), wanted * len(rows) / n
+    at = max(TAIL, int(np.ceil(place)))
+    further = 4 * at if place < at else at
+    if wanted >= n or further >= m:
+        return queries.withColumn("floor", F.lit(float("-inf")))
+    high = lambda share: NormalDist().inv_cdf(1 - share)
+    beyond = (high(wanted / n) - high(at / m)) / (high(at / m) - high(further / m)) if further > at else 0.0
+    ids, x = np.array([r.vec_id for r in rows]), index.padded([r.v for r in rows])
+
+    def lower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in range(0, batch.num_rows, 256):
+                rows = batch.slice(part, 256)
+                scores = index.padded(rows.column("v").to_pylist()) @ x.T
+                scores[rows.column("vec_id").to_numpy()[:, None] == ids] = -np.inf
+                scores.sort(axis=1)
+                floor = scores[:, -at] + beyond * (scores[:, -at] - scores[:, -further])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(floor)], names=["vec_id", "v", "floor"])
+
+    return queries.select("vec_id", "v").mapInArrow(lower, "vec_id long, v array<double>, floor double")
+
+
+def best_of_buckets(
+    q: np.ndarray, own: np.ndarray, floor: np.ndarray, wanted: list[np.ndarray], x: np.ndarray, ids: np.ndarray, buckets: np.ndarray, k: int
+):
+    """For each query the k best rows of the buckets it visits, of those that reach its floor: index of the query, vec_id and score."""
     order = np.lexsort((ids, buckets))
     x, ids, buckets = x[order], ids[order], buckets[order]
     begin = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
@@ -234,17 +272,16 @@ def best_of_buckets(q: np.ndarray, own: np.ndarray, wanted: list[np.ndarray], x:
         held = x[begin[b] : end[b]]
         scores = q[asking] @ held.T
         scores[own[asking][:, None] == ids[begin[b] : end[b]][None, :]] = -np.inf
+        least = floor[asking]
         if scores.shape[1] > k:
-            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            keep = scores >= (least - 1e-9 * np.maximum(1, np.abs(least)))[:, None]
-        else:
-            keep = np.ones(scores.shape, bool)
+            least = np.maximum(least, np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k])
+        keep = scores >= (least - 1e-9 * np.maximum(1, np.abs(least)))[:, None]
         i, j = np.nonzero(keep & (scores > -np.inf))
         found.append((asking[i], begin[b] + j, scores[i, j]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     who, row, score = (np.concatenate(c) for c in zip(*found))
-    if not len(who):  # all met only themselves
+    if not len(who):  # all met only themselves, or nothing that reaches their floor
         return who, row, score
     order = np.lexsort((ids[row], -score, who))
     who, row, score = who[order], row[order], score[order]
@@ -257,16 +294,16 @@ def best_of_buckets(q: np.ndarray, own: np.ndarray, wanted: list[np.ndarray], x:
     exact = np.concatenate([np.add.reduce(q[who[a : a + 8192]] * x[row[a : a + 8192]], axis=1) for a in range(0, len(who), 8192)])
     order = np.lexsort((ids[row], -exact, who))
     who, row, exact = who[order], row[order], exact[order]
-    keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+    keep = (np.arange(len(who)) - np.searchsorted(who, who) < k) & (exact >= floor[who])
     return who[keep], ids[row[keep]], exact[keep]
 
 
 def _ranked(candidates: DataFrame, asked: DataFrame, queries: DataFrame, index: Index, k: int) -> DataFrame:
-    """The k best candidates of each query, shard by shard; both sides have tab, shard and block.
+    """The k best candidates of each query that reach its floor, shard by shard; both sides have tab, shard and block.
 
     asked has one row for a query and shard, with all the buckets that the query visits there.
     """
-    asked = asked.join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
+    asked = asked.join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "floor"), "query_id")
 
     def meet(_, asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asking) or not len(held):
@@ -275,6 +312,7 @@ def _ranked(candidates: DataFrame, asked: DataFrame, queries: DataFrame, index:
         who, vec, score = best_of_buckets(
             index.padded(asking.q.tolist()),
             own,
+            asking.floor.to_numpy(),
             [np.asarray(b, np.int64) for b in asking.buckets],
             index.padded(held.v.tolist()),
             held.vec_id.to_numpy(),
@@ -310,33 +348,54 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index | None
     visits = _probed(queries.repartition(-(-asked // PROBED_ROWS), "vec_id"), index).join(sizes, ["tab", "bucket"])
     visits = visits.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
     visits = settled(visits.select("tab", "bucket", "salt", shard, "query_id"))
-    # A shard that too many queries visit meets them in several rounds; only then its rows are sent more than once.
-    # From here on a query's visits to a shard are one row, so joins grow with the queries and not with their buckets.
-    asked_of = settled(visits.groupBy("tab", "shard", "query_id").agg(F.collect_set("bucket").alias("buckets")))
-    rounds = asked_of.groupBy("tab", "shard").agg(F.count("*").alias("asking"))
-    rounds = settled(rounds.select("tab", "shard", F.ceil(F.col("asking") / QUERY_ROWS).cast("int").alias("rounds")))
-    of_round = F.pmod(F.xxhash64("query_id"), F.col("rounds")).cast("int").alias("block")
-    asking = asked_of.join(rounds, ["tab", "shard"]).select("tab", "shard", of_round, "query_id", "buckets")
-    # Only rows of buckets that some query visits are sent at all.
     renewed = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
-    visited = renewed(visits.select("tab", "bucket", "salt", "shard").distinct())
-    salted = hashed.join(sizes, ["tab", "bucket"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
-    candidates = salted.join(visited, ["tab", "bucket", "salt"]).join(renewed(rounds), ["tab", "shard"])
-    candidates = candidates.select("tab", "shard", F.explode(F.expr("sequence(0, rounds - 1)")).alias("block"), "bucket", "vec_id", "v")
-    found = settled(_ranked(candidates, asking, queries, index, k).distinct())
-    short = queries.select("vec_id").join(
-        found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")), "vec_id", "left"
-    )
-    # Not all queries are candidates, so the number of rows to find is one less only for those that are.
-    own = vectors.select("vec_id", F.lit(1).alias("own"))
-    short = settled(short.join(own, "vec_id", "left").where(F.coalesce("n", F.lit(0)) < F.least(F.lit(k), F.lit(n) - F.coalesce("own", F.lit(0)))).select("vec_id"))
-    if not short.isEmpty():
+
+    def met(visits: DataFrame, queries: DataFrame) -> DataFrame:
+        # A shard that too many queries visit meets them in several rounds; only then its rows are sent more than once.
+        # From here on a query's visits to a shard are one row, so joins grow with the queries and not with their buckets.
+        asked_of = settled(visits.groupBy("tab", "shard", "query_id").agg(F.collect_set("bucket").alias("buckets")))
+        rounds = asked_of.groupBy("tab", "shard").agg(F.count("*").alias("asking"))
+        rounds = settled(rounds.select("tab", "shard", F.ceil(F.col("asking") / QUERY_ROWS).cast("int").alias("rounds")))
+        of_round = F.pmod(F.xxhash64("query_id"), F.col("rounds")).cast("int").alias("block")
+        asking = asked_of.join(rounds, ["tab", "shard"]).select("tab", "shard", of_round, "query_id", "buckets")
+        # Only rows of buckets that some query visits are sent at all.
+        visited = renewed(visits.select("tab", "bucket", "salt", "shard").distinct())
+        salted = hashed.join(sizes, ["tab", "bucket"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
+        candidates = salted.join(visited, ["tab", "bucket", "salt"]).join(renewed(rounds), ["tab", "shard"])
+        candidates = candidates.select("tab", "shard", F.explode(F.expr("sequence(0, rounds - 1)")).alias("block"), "bucket", "vec_id", "v")
+        return _ranked(candidates, asking, queries, index, k)
+
+    def everywhere(short: DataFrame, queries: DataFrame) -> DataFrame:
         all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
         parts = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
         everything = vectors.select(F.lit(0).alias("tab"), parts, F.lit(0).cast("long").alias("bucket"), "vec_id", "v", all_blocks)
-        everywhere = short.select(F.col("vec_id").alias("query_id")).select(
+        of_all = short.select(F.col("vec_id").alias("query_id")).select(
             F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block, "query_id", F.array(F.lit(0).cast("long")).alias("buckets")
         )
-        found = found.unionByName(_ranked(everything, everywhere, queries, index, k)).distinct()
+        return _ranked(everything, of_all, queries, index, k)
+
+    def lacking(found: DataFrame) -> DataFrame:
+        """Queries that have fewer rows than there are for them."""
+        have = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"))
+        # Not all queries are candidates, so the number of rows to find is one less only for those that are.
+        own = vectors.select("vec_id", F.lit(1).alias("own"))
+        least = F.least(F.lit(k), F.lit(n) - F.coalesce("own", F.lit(0)))
+        rows = queries.select("vec_id").join(have, "vec_id", "left").join(own, "vec_id", "left")
+        return settled(rows.where(F.coalesce("n", F.lit(0)) < least).select("vec_id"))
+
+    # Whoever finds enough rows that reach its floor has found the best; the others look again without one.
+    floored = settled(_floored(queries.repartition(-(-asked // PROBED_ROWS), "vec_id"), vectors, index, n, k))
+    free = queries.withColumn("floor", F.lit(float("-inf")))
+    found = settled(met(visits, floored).distinct())
+    short = lacking(found)
+    again = settled(visits.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi"))
+    if not again.isEmpty():
+        found = settled(found.unionByName(met(again, free)).distinct())
+        short = lacking(found)
+    for of in (floored, free):
+        if short.isEmpty():
+            break
+        found = settled(found.unionByName(everywhere(short, of)).distinct())
+        short = lacking(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.llm import ann, queries, topk
-from meterlake.llm.shared import ship_package
+from meterlake.llm.shared import settled, ship_package
 
 SF = "/root/testdata/sf0.1"
 
@@ -176,3 +176,43 @@ def test_a_query_is_one_row_for_each_shard(spark, monkeypatch):
     vectors = ann.usable_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"))
     assert ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20).count() > 0
     assert held and set(held) == {1}
+
+
+def test_shards_return_no_more_rows_when_there_are_more_of_them(spark, monkeypatch):
+    """And what queries find is the same as without floors."""
+    random = np.random.default_rng(10)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(random.standard_normal((6000, 24)))]
+    rows += [(6000 + i, rows[0][1]) for i in range(100)]  # queries of id 0 and their like have more ties than are wanted
+    vectors = ann.usable_vectors(made(spark, rows))
+    index, made_rows, ranked = ann.fit_index(vectors, 10), [], ann._ranked
+
+    def counted(*given):
+        found = settled(ranked(*given))
+        made_rows.append(found.count())
+        return found
+
+    monkeypatch.setattr(ann, "_ranked", counted)
+
+    def search():
+        made_rows.clear()
+        got = ann.nearest(vectors, vectors.where("vec_id % 60 = 0"), 10, index).collect()
+        return sorted(map(tuple, got)), sum(made_rows)
+
+    monkeypatch.setattr(ann, "SHARD_ROWS", 300)
+    got, many = search()
+    monkeypatch.setattr(ann, "FLOOR_ROWS", 1000)
+    assert search()[0] == got
+    monkeypatch.undo()
+    monkeypatch.setattr(ann, "_ranked", counted)
+    whole, few = search()
+    assert whole == got and many <= 1.5 * few
+
+
+def test_queries_whose_floor_is_too_high_look_again(spark, monkeypatch):
+    random = np.random.default_rng(11)
+    vectors = ann.usable_vectors(made(spark, [(i, [float(c) for c in v]) for i, v in enumerate(random.standard_normal((1000, 8)))]))
+    asked, index = vectors.where("vec_id % 20 = 0"), ann.fit_index(vectors, 10)
+    expected = sorted(map(tuple, ann.nearest(vectors, asked, 10, index).collect()))
+    floored = ann._floored
+    monkeypatch.setattr(ann, "_floored", lambda *given: floored(*given).withColumn("floor", F.expr("if(vec_id % 40 = 0, 1e9, double('nan'))")))
+    assert sorted(map(tuple, ann.nearest(vectors, asked, 10, index).collect())) == expected
