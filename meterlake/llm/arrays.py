@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 21
+#: Powers are held for whole numbers of so many places: no more than the pieces at hand need.
+POWER_STEP = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -54,7 +56,7 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Itera
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """First n powers of the hash base and of its inverse, modulo 2 to the 64th."""
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, PIECE_BYTES + (1 << 16))
+        size = -(-n // POWER_STEP) * POWER_STEP
         for name, base in (("up", _BASE), ("down", _BACK)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -69,7 +71,7 @@ def prime_powers(n: int, base: int, prime: int) -> np.ndarray:
     held = _PRIME_POWERS.get((base, prime))
     if held is not None and len(held) >= n:
         return held[:n]
-    size = max(n, PIECE_BYTES + (1 << 16))
+    size = -(-n // POWER_STEP) * POWER_STEP
     out = np.ones(size, np.uint32)
     done = 1
     while done < size:

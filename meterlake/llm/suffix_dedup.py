@@ -24,6 +24,8 @@ GRAM = 6
 WINDOW = 16
 #: Words that two suffixes must share: what a passage of the least length has from its first kept position on.
 HEAD = LEAST_WORDS - WINDOW + 1
+#: Bytes of texts that a task works on at once. Each word has many numbers here, so more of them take more memory, and no less time.
+HELD_BYTES = 1 << 18
 
 KEY = "doc_id long, r1 long"
 SPANS = "array<struct<begin:int,end:int>>"
@@ -77,7 +79,7 @@ def suffixes(rows: DataFrame, least_words: int) -> DataFrame:
     head_words = least_words - WINDOW + 1
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, HELD_BYTES):
             data, offsets = arrays.column_bytes(batch.column("text"))
             starts, ends, owner = arrays.words(data, offsets)
             words = arrays.span_hashes(data, starts, ends)
@@ -168,7 +170,7 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     )
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, HELD_BYTES):
             row, begin, end = [], [], []
             flat, cut = zip(*(text_words(batch.column(c)) for c in ("text", "other")))
             hits = batch.column("hits")
@@ -283,14 +285,14 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     spans = found.groupBy("doc_id", "r1").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
     spans = settled(spans)
     rows = marked(source, "r1", mask_of(spans, "r1"))
-    # Only rows that may lose words are joined, and so shuffled.
-    touched = rows.where("may").alias("s").join(
+    # Only rows that may lose words are joined, and so shuffled; their text goes along once, in the row.
+    touched = rows.where("may").drop("text").alias("s").join(
         spans.alias("c"), F.col("s.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("s.r1") == F.col("c.r1")), "left"
-    ).select("s.row", "s.text", "c.spans")
+    ).select("s.row", F.col("s.row")["text"].cast("string").alias("text"), "c.spans")
     rest = rows.where("not may").select("row", "text", F.lit(0).cast("long").alias("words_cut"), F.lit(None).cast(SPANS).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.pieces(batches, HELD_BYTES):
             texts, spans = batch.column("text"), batch.column("spans")
             out, count, cuts = texts.to_pylist(), [0] * batch.num_rows, [None] * batch.num_rows
             has = np.flatnonzero(np.asarray(spans.is_valid()))

@@ -548,3 +548,32 @@ def test_marks_rule_out_no_pair_that_is_alike(spark):
                 assert differing <= len(set(h[x].tolist()) ^ set(h[y].tolist()))
                 if alike >= similarity:
                     assert differing <= max(weight[x].sum(), weight[y].sum()) * near_dedup.most_apart(similarity) + 1e-6
+
+
+def test_passages_hold_little_memory_at_a_time(spark):
+    """However many texts a batch has, and whatever the step, numpy holds numbers for the words of a few of them."""
+    import tracemalloc
+
+    from meterlake.llm import suffix_dedup
+
+    class Rows:  # what a task is given
+        tasks = []
+
+        def mapInArrow(self, task, schema):
+            self.tasks.append(task)
+            return self
+
+    for name in ("select", "where", "withColumn"):
+        setattr(Rows, name, lambda self, *_: self)
+    text = [" ".join(f"w{(i * 7919 + j * j) % 100_003}" for j in range(400)) for i in range(6000)]
+    column, number = pa.array(text), pa.array(range(6000))
+    suffix_dedup.suffixes(Rows(), 50)
+    arrays._POWERS.clear()
+    arrays._PRIME_POWERS.clear()
+    batch = pa.RecordBatch.from_arrays([number, number, column], names=["doc_id", "r1", "text"])
+    tracemalloc.start()
+    kept = sum(out.num_rows for out in Rows.tasks[0](iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 2 * arrays.PIECE_BYTES and kept > 100_000
+    assert most < 40 << 20
