@@ -45,7 +45,7 @@ _NONE = np.uint64(2**64 - 1)
 def line_rows(source: DataFrame) -> DataFrame:
     """Lines that aren't blank: row, number, hash, and a place to order them by: id, then line."""
     lines = source.select("doc_id", "r1", "r2", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    lines = lines.where(F.col("line").rlike(r"\S"))
+    lines = lines.where(F.ltrim("line", F.lit(" \t\x0b\f\r")) != "")
     # Rows without an id come last, in the order of a hash of their text.
     after = F.col("r1").cast("decimal(20,0)") + F.lit(str(2**64)).cast("decimal(20,0)")
     document = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), after.cast("decimal(20,0)"))
@@ -64,16 +64,25 @@ def line_shingles(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     """Hash and line of every shingle, repeated ones too, and how many each line has. A shorter line is its own shingle."""
     n, length = len(at) - 1, np.diff(at)
     size = np.where(length < SHINGLE, np.minimum(length, 1), length - SHINGLE + 1)
-    first = arrays.ragged(at[:-1], size)
     owner = np.repeat(np.arange(n), size)
     padded = np.concatenate([codes, np.zeros(SHINGLE, codes.dtype)]).astype(np.uint64)
-    short = np.repeat(length < SHINGLE, size)
-    letters = [padded[first + j] for j in range(SHINGLE)]
-    if short.any():  # what follows is another line; one more than the code points there are stands for the end
-        for j in range(1, SHINGLE):
-            letters[j][short] = np.where(length[owner[short]] > j, letters[j][short], np.uint64(0x110000))
+    h = _hashed([padded[j : j + len(codes)] for j in range(SHINGLE)])
+    # Everywhere a shingle begins but at the last places of a line; of a short line only the first place counts.
+    begins, long = np.ones(len(codes), bool), length >= SHINGLE
+    for j in range(1, SHINGLE):
+        begins[at[1:][long] - j] = False
+        begins[at[:-1][~long & (length > j)] + j] = False
+    h = h[begins]
+    short = np.flatnonzero(~long & (length > 0))
+    if len(short):  # what follows is another line; one more than the code points there are stands for the end
+        letters = [np.where(length[short] > j, padded[at[short] + j], np.uint64(0x110000)) for j in range(SHINGLE)]
+        h[(np.cumsum(size) - size)[short]] = _hashed(letters)
+    return h, owner, size
+
+
+def _hashed(letters: list[np.ndarray]) -> np.ndarray:
     low = letters[0] | (letters[1] << np.uint64(21)) | (letters[2] << np.uint64(42))
-    return arrays.mixed(arrays.mixed(low) ^ (letters[3] | (letters[4] << np.uint64(21)))), owner, size
+    return arrays.mixed(arrays.mixed(low) ^ (letters[3] | (letters[4] << np.uint64(21))))
 
 
 def distinct_shingles(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -246,6 +255,16 @@ def dropped_lines(source: DataFrame, similarity: float = SIMILARITY) -> DataFram
     return gone.groupBy("doc_id", "r1", "r2").agg(F.collect_set("at").alias("gone"))
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines of these numbers. It is split once: a lambda would split it anew for every line it takes."""
+
+    def rest(lines: Column) -> Column:
+        left = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone))
+        return F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
+
+    return F.transform(F.array(F.split(text, "\n", -1)), rest)[0]
+
+
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every row of docs as `row`, with `text` without repeated lines, and `lines_cut`.
 
@@ -257,17 +276,14 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     source = packed(docs)
     gone = settled(dropped_lines(source, similarity))
     rows = marked(source, "r1", mask_of(gone, "r1"))
-    # Only rows that may lose lines are joined, and so shuffled.
-    touched = rows.where("may").alias("s").join(
+    # Only rows that may lose lines are joined, and so shuffled; their text goes along once, in the row.
+    touched = rows.where("may").drop("text").alias("s").join(
         gone.alias("g"),
         (F.col("s.r1") == F.col("g.r1")) & (F.col("s.r2") == F.col("g.r2")) & F.col("s.doc_id").eqNullSafe(F.col("g.doc_id")),
         "left",
     )
-    lines = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(F.array_sort(left), lambda i: F.element_at(lines, i + 1)), "\n")
-    )
+    text = F.col("s.row")["text"].cast("string")
+    text = F.when(F.col("gone").isNull(), text).otherwise(without_lines(text, F.col("gone")))
     touched = touched.select("s.row", text.alias("text"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_cut"))
     rest = rows.where("not may").select("row", "text", F.lit(0).cast("long").alias("lines_cut"))
     return touched.unionByName(rest)

@@ -577,3 +577,49 @@ def test_passages_hold_little_memory_at_a_time(spark):
     tracemalloc.stop()
     assert batch.nbytes > 2 * arrays.PIECE_BYTES and kept > 100_000
     assert most < 40 << 20
+
+
+def test_rows_that_may_change_are_shuffled_with_one_text(spark):
+    """Their text is in `row`; a second copy would double the shuffle and every batch that is made of it."""
+    words = " ".join(f"w{i}" for i in range(80))
+    df = documents(spark, [(1, f"{words} a"), (2, f"{words} b"), (3, f"own line of text\n{words} a"), (4, None)])
+
+    def joined(node):
+        if node.nodeName() == "Join":
+            yield {side.output().apply(i).name() for side in (node.left(), node.right()) for i in range(side.output().size())}
+        for i in range(node.children().size()):
+            yield from joined(node.children().apply(i))
+
+    for cut in (cut_repeats, dedup_lines):
+        names = [x for x in joined(cut(df)._jdf.queryExecution().optimizedPlan()) if "row" in x and x & {"spans", "gone"}]
+        assert len(names) == 1 and "text" not in names[0]
+    assert [r.words_cut for r in cut_repeats(df).orderBy("row.doc_id").collect()] == [0, 80, 81, 0]
+
+
+def test_a_text_is_split_once_to_take_lines_out(spark):
+    import time
+
+    n = 40_000
+    rows = [("\n".join(f"line {i}" for i in range(n)), list(range(0, n, 2))), ("a\nb\n\nc\n", [3, 1]), ("a", [0]), ("é\n😀", [0])]
+    df = spark.createDataFrame(rows, "text string, gone array<int>")
+    began = time.time()
+    got = [r[0] for r in df.select(line_dedup.without_lines(F.col("text"), F.col("gone"))).collect()]
+    assert got == ["\n".join(f"line {i}" for i in range(1, n, 2)), "a\n\n", "", "😀"]
+    assert time.time() - began < 20
+
+
+def test_shingles_of_short_and_long_lines_are_their_own():
+    """A line has the same shingles whatever stands beside it."""
+    lines = ["", "a", "ab", "abc", "abcd", "abcde", "日本語", "日本語テスト", "😀", "", "abcd", "aaaaaaaaaaaaa", "x"]
+    alone = [line_dedup.line_shingles(*line_dedup.code_points(pa.array([x]))) for x in lines]
+    h, owner, size = line_dedup.line_shingles(*line_dedup.code_points(pa.array(lines)))
+    assert size.tolist() == [max(len(x) - 4, min(len(x), 1)) for x in lines] == [int(s[0]) for _, _, s in alone]
+    for i, (own, _, _) in enumerate(alone):
+        assert h[owner == i].tolist() == own.tolist() and len(set(own.tolist())) == len(shingle_set(lines[i]) if lines[i] else [])
+    assert len({int(own[0]) for own, _, _ in alone[1:9]}) == 8
+
+
+def test_blank_lines_are_those_of_white_space(spark):
+    text = "\n".join(["", " ", "\t \x0b\f\r", "\xa0", " a", "\u2003", "b "])
+    got = sorted(r["at"] for r in line_rows(packed(documents(spark, [(1, text)]))).collect())
+    assert got == [3, 4, 5, 6]
