@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 21
+#: The same where each word has many numbers: more of them take more memory, and no less time.
+HELD_BYTES = 1 << 18
 #: Powers are held for whole numbers of so many places: no more than the pieces at hand need.
 POWER_STEP = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -100,7 +100,7 @@ def sketch(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
     """Key of the word sequence, total weight, marks and band hashes of every row."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             n = batch.num_rows
             data, offsets = arrays.column_bytes(batch.column("text"))
             words, owner = word_hashes(data, offsets)
@@ -163,7 +163,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """Pairs (a, b) of keys whose texts are similar enough, exactly."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             n = batch.num_rows
             sides = []
             for name in ("text", "other"):

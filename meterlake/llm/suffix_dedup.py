@@ -24,8 +24,6 @@ GRAM = 6
 WINDOW = 16
 #: Words that two suffixes must share: what a passage of the least length has from its first kept position on.
 HEAD = LEAST_WORDS - WINDOW + 1
-#: Bytes of texts that a task works on at once. Each word has many numbers here, so more of them take more memory, and no less time.
-HELD_BYTES = 1 << 18
 
 KEY = "doc_id long, r1 long"
 SPANS = "array<struct<begin:int,end:int>>"
@@ -79,7 +77,7 @@ def suffixes(rows: DataFrame, least_words: int) -> DataFrame:
     head_words = least_words - WINDOW + 1
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches, HELD_BYTES):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             data, offsets = arrays.column_bytes(batch.column("text"))
             starts, ends, owner = arrays.words(data, offsets)
             words = arrays.span_hashes(data, starts, ends)
@@ -170,7 +168,7 @@ def repeated_spans(source: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     )
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches, HELD_BYTES):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             row, begin, end = [], [], []
             flat, cut = zip(*(text_words(batch.column(c)) for c in ("text", "other")))
             hits = batch.column("hits")
@@ -292,7 +290,7 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     rest = rows.where("not may").select("row", "text", F.lit(0).cast("long").alias("words_cut"), F.lit(None).cast(SPANS).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches, HELD_BYTES):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             texts, spans = batch.column("text"), batch.column("spans")
             out, count, cuts = texts.to_pylist(), [0] * batch.num_rows, [None] * batch.num_rows
             has = np.flatnonzero(np.asarray(spans.is_valid()))

@@ -69,7 +69,7 @@ def terms_of(texts: DataFrame, among: list[int] | None = None) -> DataFrame:
     wanted = None if among is None else np.sort(np.array(among, np.int64))
 
     def list_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             lower, starts, ends, owner = word_table(*arrays.column_bytes(batch.column("text")))
             for stem, (hashes, word) in enumerate(term_hashes(lower, starts, ends)):
                 h, o = arrays.as_long(hashes), owner[word]
@@ -185,7 +185,7 @@ def with_features(docs: DataFrame, lexicon: list[tuple[int, bool, float]], keep:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = FeatureMaker(lexicon)
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, arrays.HELD_BYTES):
             values = maker.features(*arrays.column_bytes(batch.column("text")))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel())

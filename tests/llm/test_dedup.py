@@ -551,10 +551,10 @@ def test_marks_rule_out_no_pair_that_is_alike(spark):
 
 
 def test_passages_hold_little_memory_at_a_time(spark):
-    """However many texts a batch has, and whatever the step, numpy holds numbers for the words of a few of them."""
+    """However many texts a batch has, numpy holds numbers for the words of a few of them."""
     import tracemalloc
 
-    from meterlake.llm import suffix_dedup
+    from meterlake.llm import suffix_dedup, toxicity
 
     class Rows:  # what a task is given
         tasks = []
@@ -568,15 +568,18 @@ def test_passages_hold_little_memory_at_a_time(spark):
     text = [" ".join(f"w{(i * 7919 + j * j) % 100_003}" for j in range(400)) for i in range(6000)]
     column, number = pa.array(text), pa.array(range(6000))
     suffix_dedup.suffixes(Rows(), 50)
-    arrays._POWERS.clear()
-    arrays._PRIME_POWERS.clear()
-    batch = pa.RecordBatch.from_arrays([number, number, column], names=["doc_id", "r1", "text"])
-    tracemalloc.start()
-    kept = sum(out.num_rows for out in Rows.tasks[0](iter([batch])))
-    most = tracemalloc.get_traced_memory()[1]
-    tracemalloc.stop()
-    assert batch.nbytes > 2 * arrays.PIECE_BYTES and kept > 100_000
-    assert most < 40 << 20
+    near_dedup.sketch(Rows(), 24, 5)
+    toxicity.terms_of(Rows())
+    batch = pa.RecordBatch.from_arrays([number, number, number, column], names=["doc_id", "r1", "r2", "text"])
+    assert batch.nbytes > 2 * arrays.PIECE_BYTES and len(Rows.tasks) == 3
+    for task in Rows.tasks:
+        arrays._POWERS.clear()
+        arrays._PRIME_POWERS.clear()
+        tracemalloc.start()
+        assert sum(out.num_rows for out in task(iter([batch]))) >= 6000
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 40 << 20, (task.__qualname__, most)
 
 
 def test_rows_that_may_change_are_shuffled_with_one_text(spark):
